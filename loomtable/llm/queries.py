@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomtable.llm import simhash
+from loomtable.llm import fmindex, mixing, quality, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,8 +17,26 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fmindex.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.report(table(spark, sf_dir, "documents"))
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash": op4_simhash,
+    "op6_fm_index": op6_fm_index,
+    "op7_quality_rules": op7_quality_rules,
+    "op9_mixing": op9_mixing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op7_quality_rules": quality.SQL,
+    "op9_mixing": mixing.SQL.format(docs="documents", keep="doc_id,"),
+}
