@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from loomtable.llm import fmindex, mixing, quality, simhash
+from loomtable.llm import fmindex, mixing, quality, rlz, simhash
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +18,12 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_rlz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rlz.dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
 def op6_fm_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fmindex.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -31,12 +38,14 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_simhash": op4_simhash,
+    "op5_rlz": op5_rlz,
     "op6_fm_index": op6_fm_index,
     "op7_quality_rules": op7_quality_rules,
     "op9_mixing": op9_mixing,
 }
 
 ORACLES: dict[str, str] = {
+    "op5_rlz": rlz.SQL,
     "op7_quality_rules": quality.SQL,
     "op9_mixing": mixing.SQL.format(docs="documents", keep="doc_id,"),
 }
