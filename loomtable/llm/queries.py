@@ -7,13 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomtable.llm import fmindex, mixing, quality, rlz, simhash
+from loomtable.llm import fmindex, mixing, quality, rlz, simhash, templates
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = templates.drop_templates(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -37,6 +42,7 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_line_templates": op1_line_templates,
     "op4_simhash": op4_simhash,
     "op5_rlz": op5_rlz,
     "op6_fm_index": op6_fm_index,
@@ -45,6 +51,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_line_templates": templates.SQL,
     "op5_rlz": rlz.SQL,
     "op7_quality_rules": quality.SQL,
     "op9_mixing": mixing.SQL.format(docs="documents", keep="doc_id,"),
