@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -22,12 +23,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomtable.llm.common import crc_mod
+from loomtable.llm.common import crc_mod, written
 
 #: Labelled rows that the classifier is fitted on, the first by a hash of their id: its only sample.
 FIT_ROWS = 20_000
 #: Words with a weight at most, the most significant ones.
 LEXICON = 5_000
+#: Lengths of word beginnings that may be features, and the share of a text's words from which they are.
+STEMS, DENSE = (4, 5, 6, 7, 8), 0.005
 ORDER = 4
 BASE = 32  # character classes: 0 gap, 1-26 letters, 27 beyond ASCII
 
@@ -147,22 +150,49 @@ class Restorer:
             out.append("".join(" " if x == 0 else "\x7f" if x == 27 else chr(96 + x) for x in chars))
         return "".join(reversed(out))
 
-    def words(self, text: str | None) -> set[str]:
-        """The words of a text, as written and as restored."""
+    def words(self, text: str | None) -> list[str]:
+        """The words of a text in lower case as written, then the disguised ones as restored."""
         if not text:
-            return set()
+            return []
         low = text.lower()
-        found = set(_WORDS.findall(low))
+        found = _WORDS.findall(low)
         for m in DISGUISED.finditer(low):
             token = m.group()
-            if len(token) <= LONGEST:
-                found.update(self.restore(token).split())
-            else:  # a long row of single letters, piece by piece
-                for at in range(0, len(token), LONGEST // 2):
-                    found.update(self.restore(token[at : at + LONGEST]).split())
+            step = len(token) if len(token) <= LONGEST else LONGEST // 2  # a long row of single letters, piece by piece
+            for at in range(0, len(token), step):
+                found += self.restore(token[at : at + max(step, LONGEST)]).split()
         return found
 
 
+def features(words: list[str]) -> set[str]:
+    """Each word; and each beginning of ``STEMS`` letters that makes up a ``DENSE`` share of the words, with * for one word and ** for more."""
+    found = set(words)
+    least = max(1, math.ceil(DENSE * len(words)))
+    for k in STEMS:
+        for stem, n in Counter(w[:k] for w in words if len(w) >= k).items():
+            if n >= least:
+                found.add(stem + "*")
+                if n >= 2:
+                    found.add(stem + "**")
+    return found
+
+
+def known_features(words: list[str], known: dict[str, float], roots: set[str], stems: set[str]) -> set[str]:
+    """The features that have a weight: ``features(words) & known.keys()`` without making the others."""
+    found = known.keys() & set(words)
+    counts: Counter[str] = Counter()
+    for w in words:
+        if w[: STEMS[0]] in roots:
+            counts.update(x for k in STEMS if len(w) >= k and (x := w[:k]) in stems)
+    least = max(1, math.ceil(DENSE * len(words)))
+    for stem, n in counts.items():
+        if n >= least:
+            found |= {stem + "*"} & known.keys()
+            if n >= 2:
+                found |= {stem + "**"} & known.keys()
+    return found
+
+
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, folds: int, out: int, rows: int) -> DataFrame:
     """text, y of the first ``rows`` labelled documents by a hash of their id, without the held-out fold ``out``."""
     ids = (
@@ -178,43 +208,56 @@ def fit(docs: DataFrame, labels: DataFrame, lm: np.ndarray, rows: int = FIT_ROWS
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         r = Restorer(lm)
         for b in batches:
-            ws = [sorted(r.words(t)) for t in b.column(0).to_pylist()]
+            ws = [sorted(features(r.words(t))) for t in b.column(0).to_pylist()]
             yield pa.record_batch([pa.array(ws, pa.list_(pa.string())), b.column(1).cast(pa.int32())], names=["ws", "y"])
 
-    seen = training_rows(docs, labels, "toxic", 3, 1, rows).mapInArrow(spread, "ws array<string>, y int").persist()
+    seen = written(training_rows(docs, labels, "toxic", 3, 1, rows).mapInArrow(spread, "ws array<string>, y int"))
     n, pos = seen.agg(F.count("*"), F.coalesce(F.sum("y"), F.lit(0))).first()
     if not pos or pos == n:
-        seen.unpersist()
         return {}, math.log((pos + 0.5) / (n - pos + 0.5))
-    rate = pos / n
-    by = seen.select("y", F.explode("ws").alias("w")).groupBy("w").agg(F.count("*").alias("n"), F.sum("y").alias("pos")).where("pos >= 3")
     z2 = 1.96**2  # lower end of Wilson's interval of the share of toxic rows
     share = F.col("pos") / F.col("n")
     low = (share + z2 / (2 * F.col("n")) - 1.96 * F.sqrt((share * (1 - share) + z2 / (4 * F.col("n"))) / F.col("n"))) / (1 + z2 / F.col("n"))
-    lexicon = [r.w for r in by.where(low > min(0.9, 2 * rate)).orderBy(low.desc(), "w").limit(LEXICON).collect()]
+    seen = seen.withColumn("row", F.xxhash64("ws", "y").cast("decimal(38,0)"))
+    by = seen.select("y", "row", F.explode("ws").alias("w")).groupBy("w").agg(F.count("*").alias("n"), F.sum("y").alias("pos"), F.sum("row").alias("where"))
+    by = by.where("pos >= 3").where(low > max(0.3, min(0.9, 2 * pos / n)))
+    same = by.groupBy("where").agg(F.max_by("w", F.struct(F.length("w"), "w")).alias("w"), F.max("n").alias("n"), F.max("pos").alias("pos"))  # of those found in the same rows, the longest
+    lexicon = [r.w for r in same.orderBy(low.desc(), "w").limit(LEXICON).collect()]
     index = {w: k for k, w in enumerate(lexicon)}
-    known = seen.select("y", F.array_intersect("ws", F.array(*map(F.lit, lexicon)) if lexicon else F.array().cast("array<string>")).alias("ws"))
-    table = known.groupBy("y", "ws").agg(F.count("*").alias("n")).toArrow().to_pylist()  # of ``rows`` rows at most
-    seen.unpersist()
-    weights, bias = logistic([[index[w] for w in r["ws"]] for r in table], np.array([r["y"] for r in table], float), np.array([r["n"] for r in table], float), len(index))
-    return {w: float(weights[k]) for w, k in index.items()}, bias
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ks = [sorted(index[w] for w in ws if w in index) for ws in b.column(0).to_pylist()]
+            yield pa.record_batch([pa.array(ks, pa.list_(pa.int32())), b.column(1)], names=["ks", "y"])
+
+    table = seen.mapInArrow(cut, "ks array<int>, y int").groupBy("ks", "y").agg(F.count("*").alias("n")).orderBy("ks", "y").toArrow()  # ``rows`` rows at most
+    weights, bias = logistic(table.column("ks").to_pylist(), *(table.column(c).to_numpy().astype(float) for c in ("y", "n")), len(index))
+    return {w: float(weights[k]) for w, k in index.items() if weights[k] > 0}, bias
 
 
-def logistic(rows: list[list[int]], y: np.ndarray, n: np.ndarray, width: int, l2: float = 0.5, steps: int = 300) -> tuple[np.ndarray, float]:
-    """Weights of indicators, not below 0, and a bias, by proximal Newton-scaled gradient steps."""
+def logistic(rows: list[list[int]], y: np.ndarray, n: np.ndarray, width: int, l2: float = 0.01, sweeps: int = 60) -> tuple[np.ndarray, float]:
+    """Weights of indicators, not below 0, and a bias: Newton steps on one coordinate after another."""
     who = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     what = np.fromiter((k for r in rows for k in r), np.int64, len(who))
+    order = np.argsort(what, kind="stable")
+    columns = np.split(who[order], np.searchsorted(what[order], np.arange(1, width)))
     w, b = np.zeros(width), math.log(((y * n).sum() + 0.5) / (((1 - y) * n).sum() + 0.5))
-    for _ in range(steps):
-        z = b + np.bincount(who, w[what], len(rows))
+    z = np.full(len(rows), b)
+    for _ in range(sweeps):
         p = 1 / (1 + np.exp(-z))
-        g, h = n * (p - y), n * p * (1 - p)
-        grad = np.bincount(what, g[who], width) + l2 * w
-        curve = np.bincount(what, h[who], width) + l2
-        step = np.maximum(0, w - 0.5 * grad / curve) - w
-        db = -0.5 * g.sum() / max(h.sum(), 1e-9)
-        w, b = w + step, b + db
-        if max(np.abs(step).max(initial=0), abs(db)) < 1e-6:
+        db = -float((n * (p - y)).sum() / max((n * p * (1 - p)).sum(), 1e-9))
+        db = max(-1.0, min(1.0, db))
+        b, z, most = b + db, z + db, abs(db)
+        for k in range(width):
+            r = columns[k]
+            p = 1 / (1 + np.exp(-z[r]))
+            grad, curve = (n[r] * (p - y[r])).sum() + l2 * w[k], (n[r] * p * (1 - p)).sum() + l2
+            step = max(-w[k], max(-1.0, min(1.0, -grad / curve)))
+            if step:
+                w[k] += step
+                z[r] += step
+                most = max(most, abs(step))
+        if most < 1e-3:
             break
     return w, float(b)
 
@@ -231,9 +274,11 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, rows: int
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        r, known = Restorer(lm), weights.keys()
+        r = Restorer(lm)
+        stems = {w.rstrip("*") for w in weights if w[-1] == "*"}
+        roots = {w[: STEMS[0]] for w in stems}
         for b in batches:
-            z = [bias + sum(weights[w] for w in sorted(r.words(t) & known)) for t in b.column(1).to_pylist()]
+            z = [bias + sum(weights[f] for f in sorted(known_features(r.words(t), weights, roots, stems))) for t in b.column(1).to_pylist()]
             yield pa.record_batch([b.column(0), pa.array(1 / (1 + np.exp(-np.array(z, float))))], names=["doc_id", "score"])
 
     out = docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, score double")
