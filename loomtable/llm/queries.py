@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomtable.llm import fmindex, mixing, quality, rlz, simhash, templates, toxicity
+from loomtable.llm import fmindex, mixing, nbsvm, quality, rlz, simhash, templates, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,6 +45,10 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nbsvm.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_templates": op1_line_templates,
     "op4_simhash": op4_simhash,
@@ -53,6 +57,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_quality_rules": op7_quality_rules,
     "op8_toxicity": op8_toxicity,
     "op9_mixing": op9_mixing,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 ORACLES: dict[str, str] = {
