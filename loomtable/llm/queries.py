@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomtable.llm import fmindex, licenses, mixing, nbsvm, quality, rlz, simhash, templates, toxicity
+from loomtable.llm import fmindex, licenses, lm_score, mixing, nbsvm, quality, rlz, simhash, templates, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +19,11 @@ def op1_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
+def op2_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = lm_score.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "n_tokens", *[F.round(c, 6).alias(c) for c in ("loss_target", "loss_background", "score")])
+
+
 def op3_license_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"), licenses.known_table(spark))
 
@@ -55,6 +60,7 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_templates": op1_line_templates,
+    "op2_lm_score": op2_lm_score,
     "op3_license_digests": op3_license_digests,
     "op4_simhash": op4_simhash,
     "op5_rlz": op5_rlz,
@@ -67,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op1_line_templates": templates.SQL,
+    "op2_lm_score": lm_score.SQL,
     "op3_license_digests": licenses.sql(),
     "op5_rlz": rlz.SQL,
     "op7_quality_rules": quality.SQL,
