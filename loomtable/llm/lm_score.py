@@ -12,7 +12,7 @@ of its own, so c(v) counts every v. Counts are exact and grow with the corpus; n
 Documents are dealt into blocks by a hash of their id. A block asks for each of its different words and pairs once:
 it sends their hashes with its own counts, packed and cut by ranges of the hash, so a word that a third of all texts
 hold is one entry a block. Each range adds up its counts and answers every block in the order that it asked, and the
-block reads its documents again with all counts at hand. The deal of documents is one exchange, read twice.
+block reads its documents again with all counts at hand. Documents are dealt twice, by the same hash.
 """
 
 from __future__ import annotations

@@ -13,7 +13,7 @@ A word goes if a window of ``WINDOW`` words that covers it also starts in a docu
 4. An anchor in more than ``HOT`` pieces would fill its block. Its windows go singly instead, under a 128-bit hash of
    their words, to a minimum of the ids with partial sums before the shuffle: the same answer, without a group.
 
-Spans come back to the documents by id and hash of the text. Text is shuffled once; both joins read that exchange.
+Spans come back to the documents by id and hash of the text. Text is shuffled twice: to be cut, and to lose its spans.
 """
 
 from __future__ import annotations
@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from loomtable.llm.common import parts, text_bytes, written
 
-WINDOW, GRAM, RUN, HOT = 50, 10, 64, 2000
+WINDOW, GRAM, RUN, HOT, SALTS = 50, 10, 64, 2000, 32
 #: Bytes of pieces in a reference block, if all text repeated.
 BLOCK_BYTES = 12 << 20
 _LATE = (1 << 63) - 1  # stands for a null id: after all others
@@ -229,7 +229,9 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: i
     cold = pieces.where("block is not null").groupBy("block").applyInArrow(parse, "d long, h long, starts array<int>")
     single = pieces.where("block is null").select("d", "h", "body", "a")
     first = single.groupBy("body").agg(F.min("d").alias("lo"), F.max("d").alias("hi")).where("lo < hi")
-    late = single.join(first, "body").where("d > lo").select("d", "h", F.array("a").alias("starts"))
+    salted = single.withColumn("salt", F.pmod(F.xxhash64("d", "a"), F.lit(SALTS)).cast("int"))  # a window may be in a third of all documents
+    first = first.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    late = salted.join(first, ["body", "salt"]).where("d > lo").select("d", "h", F.array("a").alias("starts"))
     starts = cold.unionByName(late).groupBy("d", "h").agg(F.flatten(F.collect_list("starts")).alias("starts"))  # of one document
     return laid.join(starts, ["d", "h"], "left").select("doc_id", "t", "starts").mapInArrow(
         _remover(window), f"doc_id {base.schema['doc_id'].dataType.simpleString()}, n_words long, n_removed long, kept_text string"
