@@ -8,6 +8,7 @@ from urllib.parse import urljoin
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: All 29 code points that Unicode counts as white space for stripping: Java's class and four separators it leaves out.
 SPACE = r"[\s\x1c-\x1f]"
@@ -15,12 +16,12 @@ _EDGES = rf"(?U)^{SPACE}+|{SPACE}+$"
 _RUNS = rf"(?U){SPACE}+"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _decode(x: pd.Series) -> pd.Series:
     return x.map(html.unescape, na_action="ignore")
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(T.ArrayType(T.StringType()))
 def _decode_all(x: pd.Series) -> pd.Series:
     return x.map(lambda values: [None if v is None else html.unescape(v) for v in values], na_action="ignore")
 
@@ -137,7 +138,7 @@ def utc_iso(ts: Column) -> Column:
     return F.date_format(F.convert_timezone(None, F.lit("UTC"), ts.cast("timestamp_ntz")), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+00:00'")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def resolve_url(base: pd.Series, url: pd.Series) -> pd.Series:
     """A link as seen from its page (T13); null if either is."""
     return pd.Series([None if b is None or u is None else urljoin(b, u) for b, u in zip(base, url, strict=True)], dtype=object)
@@ -148,7 +149,7 @@ def python_text(x: Column) -> Column:
     return _python_text(F.to_json(x))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _python_text(x: pd.Series) -> pd.Series:
     import json
 
