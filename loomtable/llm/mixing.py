@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-ROWS_A_BUCKET = 20_000
+#: Rows of a key range, and ranges at most: beyond, ranges grow instead of the table of their sums.
+ROWS_A_BUCKET, MOST_BUCKETS = 1_000, 100_000
 
 
 def n_words(text: Column) -> Column:
@@ -70,7 +71,7 @@ def mix(
     by size, and rows equal in both may swap. An empty table gives no rows. Columns outside ``keep`` are ignored,
     whatever their names; names in ``keep`` must differ from the five.
     """
-    buckets = max(1, -(-docs.count() // ROWS_A_BUCKET))
+    buckets = max(1, min(MOST_BUCKETS, -(-docs.count() // ROWS_A_BUCKET)))
     key = F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary"))
     rows = docs.select(
         F.col(doc_id).alias("doc_id"), F.col(source).alias("__source"), n_words(F.col(text)).alias("size"), key.alias("__key"),
