@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from loomtable.llm.common import let, words, written
 
 LEAD, MIN_DOCS, ALIKE = 3, 5, 0.6
+#: Parts of a leaf's lines in joins with its one template: a leaf may hold a third of all lines.
+SALTS = 16
 MASK = "<*>"
 _LATE = (1 << 63) - 1  # stands for a null id: after all others
 
@@ -40,6 +42,12 @@ def _lines(docs: DataFrame) -> DataFrame:
     )
 
 
+def _with_template(lines: DataFrame, templates: DataFrame, how: str) -> DataFrame:
+    """Lines beside their leaf's row of ``templates``, which is copied to each part of the leaf."""
+    parts = templates.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return lines.withColumn("salt", F.pmod(F.xxhash64("d", "pos"), F.lit(SALTS)).cast("int")).join(parts, ["leaf", "salt"], how).drop("salt")
+
+
 def drop_templates(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", keep: Sequence[str] = (), min_docs: int = MIN_DOCS, alike: float = ALIKE
 ) -> DataFrame:
@@ -76,9 +84,9 @@ def drop_templates(
     same = F.aggregate(
         F.transform(F.slice("w", F.lit(LEAD + 1), F.size("w")), lambda t, p: (F.element_at("fields", p) == t).eqNullSafe(True).cast("int")), F.lit(LEAD), lambda a, x: a + x
     )
-    follow = rest.join(most, "leaf", "left").where(same >= F.lit(alike) * F.size("w")).select("d", "h", "pos", "leaf")
+    follow = _with_template(rest, most, "left").where(same >= F.lit(alike) * F.size("w")).select("d", "h", "pos", "leaf")
     wide = follow.groupBy("leaf", "d").agg(F.lit(1)).groupBy("leaf").agg(F.count("*").alias("docs"), F.min("d").alias("first"))
-    fields = follow.join(wide.where(F.col("docs") >= min_docs), "leaf").where("d > first").select("d", "h", "pos")
+    fields = _with_template(follow, wide.where(F.col("docs") >= min_docs), "inner").where("d > first").select("d", "h", "pos")
     gone = fixed.unionByName(fields).groupBy("d", "h").agg(F.collect_set("pos").alias("gone"))  # lines of one document
     whole = docs.select(
         F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.coalesce(F.col(doc_id).cast("long"), F.lit(_LATE)).alias("__d"),
