@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomtable.llm import fmindex, mixing, quality, simhash, templates
-from loomtable.llm.common import let, words, written
+from loomtable.llm.common import let, sweep, words, written
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -76,6 +76,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         docs = stage(spark, docs, sf_dir)
         if k + 1 < len(STAGES):
             docs = written(docs)
+            sweep(spark, keep=docs)
     return docs
 
 

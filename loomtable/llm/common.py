@@ -29,14 +29,29 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: Folders that this driver has written and not swept.
+_FOLDERS: list[str] = []
+
+
 def written(df: DataFrame, compression: str = "zstd") -> DataFrame:
     """``df`` written to the shared folder as Parquet and read again: cuts lineage and survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/stage-{uuid.uuid4().hex}"
     df.write.option("compression", compression).parquet(path)
+    _FOLDERS.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def sweep(spark: SparkSession, keep: DataFrame | None = None) -> None:
+    """Deletes what ``written`` has left in the shared folder, but for ``keep``'s files. Only for when no lazy result still reads them."""
+    held = {f.rsplit("/", 1)[0] for f in keep.inputFiles()} if keep is not None else set()
+    jvm = spark.sparkContext._jvm
+    for path in [p for p in _FOLDERS if not any(h.endswith(p.rsplit("/", 1)[1]) for h in held)]:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        _FOLDERS.remove(path)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once, also where ``body`` uses it in a lambda."""
     return F.element_at(F.transform(F.array(value), body), 1)
