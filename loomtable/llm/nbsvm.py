@@ -10,7 +10,6 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -18,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomtable.llm.common import crc_mod
+from loomtable.llm.common import crc_mod, written
 from loomtable.llm.toxicity import training_rows
 
 #: Labelled rows that the classifier is fitted on, the first by a hash of their id: its only sample.
@@ -115,20 +114,16 @@ def calibrate(margin: np.ndarray, y: np.ndarray) -> tuple[float, float]:
     return float(a), float(b)
 
 
-def fit(sample: list[tuple[set, int]]) -> tuple[dict, float, float, float]:
+def fit(rows: list[np.ndarray], y: np.ndarray, width: int) -> tuple[np.ndarray, float, float, float]:
     """Weight of each indicator (ratio times SVM weight), bias, and the two calibration terms.
 
-    The calibration sees margins of rows that the model which made them has not: two halves are fitted crosswise.
+    ``rows`` holds each row's indicators by number, ``y`` is 1 or -1. The calibration sees margins of rows that the
+    model which made them has not: two halves are fitted crosswise.
     """
-    seen = Counter(f for g, _ in sample for f in g)
-    known = sorted((f for f, n in seen.items() if n >= LEAST_ROWS), key=repr)
-    index = {f: k for k, f in enumerate(known)}
-    rows = [np.array(sorted(index[f] for f in g if f in index), np.int64) for g, _ in sample]
-    y = np.array([1.0 if v else -1.0 for _, v in sample])
 
     def train(which: np.ndarray) -> tuple[np.ndarray, float]:
         rs, ys = [rows[i] for i in which], y[which]
-        count = lambda s: np.bincount(np.concatenate([np.empty(0, np.int64), *[r for r, v in zip(rs, ys, strict=True) if v == s]]), minlength=len(index)).astype(float)
+        count = lambda s: np.bincount(np.concatenate([np.empty(0, np.int64), *[r for r, v in zip(rs, ys, strict=True) if v == s]]), minlength=width).astype(float)
         ratio = log_count_ratio(count(1), count(-1))
         weight = len(ys) / 2 / np.maximum(1, np.where(ys > 0, (ys > 0).sum(), (ys < 0).sum()))  # both classes weigh the same
         w = dual_coordinate_descent(rs, ratio, ys, C * weight)
@@ -142,7 +137,16 @@ def fit(sample: list[tuple[set, int]]) -> tuple[dict, float, float, float]:
             margins[i] = w[rows[i]].sum() + b
     a, c = calibrate(margins, y)
     w, b = train(every)
-    return {f: float(w[k]) for f, k in index.items() if abs(w[k]) > 1e-9}, b, a, c
+    return w, b, a, c
+
+
+def _named(found: set) -> list[bytes]:
+    """Indicators as bytes that tell both kinds apart."""
+    return sorted(b"w" + x if isinstance(x, bytes) else b"s" + b" ".join(x) for x in found)
+
+
+def _unnamed(name: bytes) -> bytes | tuple[bytes, ...]:
+    return name[1:] if name[:1] == b"w" else tuple(name[1:].split(b" ")) if len(name) > 1 else ()
 
 
 def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, rows: int = FIT_ROWS) -> DataFrame:
@@ -153,27 +157,30 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, rows: int
     largest counts. Rows that repeat an id are scored each; a null id is not held out. An empty table gives no rows;
     other columns are ignored.
     """
-    taken = training_rows(docs, labels, "quality", 5, 0, rows).orderBy("text", "y")
-
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shapes = _Shapes()
         for b in batches:
-            sets = [grams(t, shapes) for t in b.column(0).to_pylist()]
-            words = [sorted(x for x in s if isinstance(x, bytes)) for s in sets]
-            runs = [sorted(b" ".join(x) for x in s if not isinstance(x, bytes)) for s in sets]
-            yield pa.record_batch([pa.array(words, pa.list_(pa.binary())), pa.array(runs, pa.list_(pa.binary())), b.column(1).cast(pa.int32())], names=["words", "runs", "y"])
-
-    found = taken.mapInArrow(gather, "words array<binary>, runs array<binary>, y int").toArrow()  # ``rows`` rows at most
-    sample = [
-        ({*w, *(tuple(r.split(b" ")) if r else () for r in rs)}, y)
-        for w, rs, y in zip(*(found.column(c).to_pylist() for c in ("words", "runs", "y")), strict=True)
-    ]
-    good = sum(y for _, y in sample)
-    if 0 < good < len(sample):
-        weights, bias, a, c = fit(sample)
+            names = pa.array([_named(grams(t, shapes)) for t in b.column(0).to_pylist()], pa.list_(pa.binary()))
+            yield pa.record_batch([names, b.column(1).cast(pa.int32())], names=["names", "y"])
+
+    seen = written(training_rows(docs, labels, "quality", 5, 0, rows).mapInArrow(gather, "names array<binary>, y int"))
+    known = seen.select(F.explode("names").alias("name")).groupBy("name").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_ROWS)
+    index = {bytes(r.name): k for k, r in enumerate(known.select("name").orderBy("name").collect())}  # of ``rows`` rows, five for each at least
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ks = [[index[x] for x in names if x in index] for names in b.column(0).to_pylist()]
+            yield pa.record_batch([pa.array(ks, pa.list_(pa.int32())), b.column(1)], names=["ks", "y"])
+
+    sample = seen.mapInArrow(number, "ks array<int>, y int").orderBy("ks", "y").toArrow()  # ``rows`` rows at most
+    y = np.where(sample.column("y").to_numpy() > 0, 1.0, -1.0)
+    good = int((y > 0).sum())
+    if 0 < good < len(y):
+        w, bias, a, c = fit([np.asarray(r.as_py(), np.int64) for r in sample.column("ks")], y, len(index))
+        weights = {_unnamed(f): float(w[k]) for f, k in index.items() if abs(w[k]) > 1e-9}
     else:
-        weights, bias, a, c = {}, 0.0, 1.0, math.log((good + 0.5) / (len(sample) - good + 0.5))
-    del sample, found
+        weights, bias, a, c = {}, 0.0, 1.0, math.log((good + 0.5) / (len(y) - good + 0.5))
+    del index, sample
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
