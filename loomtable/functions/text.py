@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html
+import json
 from urllib.parse import urljoin
 
 import pandas as pd
@@ -144,13 +145,16 @@ def resolve_url(base: pd.Series, url: pd.Series) -> pd.Series:
     return pd.Series([None if b is None or u is None else urljoin(b, u) for b, u in zip(base, url, strict=True)], dtype=object)
 
 
-def python_text(x: Column) -> Column:
-    """A VARIANT value as Python would print it (T04): True, None, 1.0, ['a']; nested objects likewise."""
-    return _python_text(F.to_json(x))
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _python_texts(x: pd.Series) -> pd.Series:
+    return x.map(lambda values: [str(json.loads(v)) for v in values], na_action="ignore")
 
 
-@F.pandas_udf(T.StringType())
-def _python_text(x: pd.Series) -> pd.Series:
-    import json
+def python_attributes(line: Column) -> Column:
+    """Attributes of a listing's JSON text as Python would print them (T04): True, None, 1.0, ['a'].
 
-    return x.map(lambda v: str(None if v is None else (w if isinstance(w := json.loads(v), str) else w)))
+    An opt-in for data whose nulls and booleans must read as before; the usual path takes a null as absent. Keys come
+    in code point order, as VARIANT keeps them.
+    """
+    found = F.try_variant_get(F.try_parse_json(line), "$.attributes", "map<string,variant>")
+    return F.map_from_arrays(F.map_keys(found), _python_texts(F.transform(F.map_values(found), lambda v: F.coalesce(F.to_json(v), F.lit("null")))))

@@ -68,3 +68,9 @@ def test_ingest(spark):
     picked = ingest.to_listings(df, ingest.Mapping("name", attribute_fields={"c": "colour", "gone": "nowhere"}, url_field="img"), seq="k").first()
     assert picked.attributes == {"c": "red"} and picked.url == "i.jpg"
     assert ingest.Mapping("name", "img", None, "u").reserved() == {"name", "img", "u"}
+
+
+def test_python_spelling(spark):
+    line = '{"title": "t", "attributes": {"a": true, "b": null, "c": 1.5, "d": ["x", 1], "e": "s"}}'
+    got = spark.createDataFrame([(line,), ("{}",), ("oops",)], "j string").select(X.python_attributes(F.col("j")).alias("a")).collect()
+    assert got[0].a == {"a": "True", "b": "None", "c": "1.5", "d": "['x', 1]", "e": "s"} and got[1].a is None and got[2].a is None
