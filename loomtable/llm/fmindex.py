@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomtable.llm.common import written
+
 WINDOW = 10
 #: Words of a shard (a longer document is a shard of its own) and suffix positions between samples.
 SHARD_WORDS, SAMPLE = 1 << 20, 8
@@ -187,8 +189,8 @@ def shards(batches: Iterator[pa.RecordBatch], words: int = SHARD_WORDS) -> Itera
         yield pa.Table.from_batches(held), docs
 
 
-def passes(benchmark: DataFrame, item_id: str, text: str, most: int) -> Iterator[list[tuple[object, str]]]:
-    """The benchmark's items in groups of about ``most`` bytes at most (or of one larger text), one group at a time."""
+def passes(benchmark: DataFrame, item_id: str, text: str, most: int) -> Iterator[tuple[list[tuple[object, str]], int]]:
+    """The benchmark's items in groups of about ``most`` bytes at most (or of one larger text), and how many groups follow."""
     items = benchmark.select(F.col(item_id).alias("i"), F.col(text).alias("t")).where("t is not null")
     total = items.agg(F.sum(F.octet_length("t").cast("long"))).first()[0] or 0
     n = 1 if total <= most else -(-2 * total // most)
@@ -210,8 +212,6 @@ def scan(
     each. Columns outside ``keep`` are ignored, whatever their names; names in ``keep`` must differ from the others here.
     A benchmark of more than ``most`` bytes is searched in passes; rows go through the shared folder between them.
     """
-    from loomtable.llm.common import written
-
     kept = [c for c in keep if c != doc_id]
     now = docs.select(
         F.col(doc_id).alias("doc_id"), F.col(text).alias("__text"), F.lit(None).cast("binary").alias("__mask"),

@@ -45,6 +45,7 @@ LOOKS = {
 }
 LOOK_COST, WILD_COST, DROP_COST, RUN_COST = 0.5, 1.0, 0.3, 0.2
 _MARKS = "-_.*~'`·,"
+_UNSEEN = "\u00ad\u200b\u200c\u200d\u2060\ufeff"
 LONGEST = 40
 _LEET = r"0-9@$!|+(<€£¡*#"
 _LETTER = r"a-zà-öø-ÿ"
@@ -155,6 +156,9 @@ class Restorer:
         if not text:
             return []
         low = text.lower()
+        for c in _UNSEEN:
+            if c in low:
+                low = low.replace(c, "")
         found = _WORDS.findall(low)
         for m in DISGUISED.finditer(low):
             token = m.group()
