@@ -7,6 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Headings of the report (fixed values: readers of earlier reports look for them).
+TITLE, NOTHING = "# Evaluation Comparison Report\n", "No results to compare.\n"
+EXACT = ("## Exact Match\n", "| Run | Exact Match | Samples |", "|-----|------------|---------|")
 
 def across(values: DataFrame, key: str, runs: Sequence[str], *, by_name: bool = False) -> DataFrame:
     """One row for each key, one column for each run; 0.0 where a run has no such key.
@@ -41,9 +44,9 @@ def _table(title: str, first: str, runs: Sequence[str], rule: str, rows: list[tu
 def report(results: Sequence[tuple[str, dict]]) -> str:
     """Markdown comparison of named results (G06); one that has no categories counts 0.0 in them."""
     if not results:
-        return "No results to compare.\n"
+        return NOTHING
     runs = [name for name, _ in results]
-    lines = ["# Evaluation Comparison Report\n", "## Exact Match\n", "| Run | Exact Match | Samples |", "|-----|------------|---------|"]
+    lines = [TITLE, *EXACT]
     lines += [f"| {name} | {r['exact_match']:.1%} | {r['total_samples']} |" for name, r in results]
     lines.append("")
     pick = lambda what, key: [(r.get(what) or {}).get(key, 0.0) for _, r in results]
