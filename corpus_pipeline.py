@@ -29,9 +29,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the smallest id stays.
 
-    Groups are those of op4's contract: SimHash of three-word shingles, linked at two differing bits or fewer.
+    Texts are linked if the SimHashes of their three-word shingles differ in two bits or fewer, or if they share 0.8 or
+    more of their five-word shingles.
     """
-    groups = simhash.near_duplicates(docs).where("doc_id <=> component_id").select("doc_id").distinct()
+    groups = simhash.near_duplicates(docs, similarity=0.8).where("doc_id <=> component_id").select("doc_id").distinct()
     return docs.join(groups, "doc_id", "left_semi").select(*COLUMNS)
 
 

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 
+import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -52,6 +53,16 @@ def sweep(spark: SparkSession, keep: DataFrame | None = None) -> None:
         _FOLDERS.remove(path)
 
 
+class WordHashes(dict):
+    """Hash of a word in 63 bits, kept for a bounded number of words."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) > 500_000:
+            self.clear()
+        found = self[word] = xxhash.xxh64_intdigest(word) >> 1
+        return found
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once, also where ``body`` uses it in a lambda."""
     return F.element_at(F.transform(F.array(value), body), 1)

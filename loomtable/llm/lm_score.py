@@ -24,8 +24,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomtable.llm.common import parts, text_bytes, written
-from loomtable.llm.rlz import _Hashes
+from loomtable.llm.common import WordHashes, parts, text_bytes, written
 
 BLOCK_BYTES, RANGE_BYTES = 8 << 20, 8 << 20
 MIX = 0.5
@@ -50,7 +49,7 @@ class Block:
         good = {i for i, y in zip(rows.column("doc_id").to_pylist(), rows.column("y").to_pylist(), strict=True) if y == 1}
         docs = rows.filter(pa.compute.is_null(rows.column("y")))
         self.ids = docs.column("doc_id").combine_chunks()
-        hashes, parts_ = _Hashes(), []
+        hashes, parts_ = WordHashes(), []
         for t in docs.column("t"):
             s = t.as_py()
             w = s.encode().lower().split() if s else []

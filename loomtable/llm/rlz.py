@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomtable.llm.common import parts, text_bytes, written
+from loomtable.llm.common import WordHashes, parts, text_bytes, written
 
 WINDOW, GRAM, RUN, HOT, SALTS = 50, 10, 64, 2000, 32
 #: Bytes of pieces in a reference block, if all text repeated.
@@ -34,23 +34,13 @@ BLOCK_BYTES = 12 << 20
 _LATE = (1 << 63) - 1  # stands for a null id: after all others
 
 
-class _Hashes(dict):
-    """64-bit hash of a word, kept for a bounded number of words."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 500_000:
-            self.clear()
-        found = self[word] = xxhash.xxh64_intdigest(word) >> 1
-        return found
-
-
 class _Numbers(dict):
     def __missing__(self, word: bytes) -> int:
         found = self[word] = len(self)
         return found
 
 
-def runs(words: list[bytes], hashes: _Hashes, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def runs(words: list[bytes], hashes: WordHashes, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """anchor, first and last start of each run of windows that share an anchor; at most ``RUN`` starts in a run."""
     n = len(words) - window + 1
     if n < 1:
@@ -168,7 +158,7 @@ def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: i
     blocks = parts(text_bytes(docs, text) * 4, BLOCK_BYTES)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
+        hashes = WordHashes()
         for b in batches:
             out: list[list[np.ndarray]] = [[], [], [], [], []]
             for k in range(b.num_rows):

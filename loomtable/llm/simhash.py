@@ -10,6 +10,11 @@ A key shared by more than ``cap`` different fingerprints would make too many pai
 and are linked exactly in another way (tau <= 2): each emits all values within one bit of itself; two fingerprints
 within two bits meet at such a value, and all that meet at one are within two bits of each other, so one star of links
 (at most 64 a value) replaces the pairs.
+
+Texts that share most of their words but differ in several places lie many bits apart. ``similarity`` links them too:
+a text's shingles are dealt by their hash into 32 segments, each with a SimHash of its own few shingles. Segments that
+agree name candidates, each with the smallest id that has the segment, never with all others; the share of common
+shingles decides.
 """
 
 from __future__ import annotations
@@ -23,10 +28,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomtable.llm.common import written
+from loomtable.llm.common import WordHashes, written
 from loomtable.llm.graph import components
 
 SEGMENTS = 8
+#: Shingles that a text's sample may hold.
+SAMPLED = 256
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
@@ -54,6 +61,68 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sh
     return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, f"doc_id {kind}, fp long")
 
 
+def sketch(text: str | None, hashes: WordHashes, shingle: int = 5) -> tuple[list[int], list[int], int]:
+    """Sampled shingle hashes of a text, keys of its segments' fingerprints, and the sample's level.
+
+    At level L a shingle is sampled if its hash ends in L zero bits; a text's level leaves it ``SAMPLED`` at most, so a
+    short text keeps all. A text near the limit has keys at the next level as well, to meet slightly longer ones.
+    """
+    w = text.encode().lower().split() if text else []
+    if not w:
+        return [], [], 0
+    h = np.fromiter(map(hashes.__getitem__, w), np.int64, len(w)).view(np.uint64)
+    n = max(1, len(h) - shingle + 1)
+    g = np.zeros(n, np.uint64)
+    for j in range(min(shingle, len(h))):
+        g = g * np.uint64(0x9E3779B97F4A7C15) + h[j : j + n]
+    g ^= g >> np.uint64(32)
+    g *= np.uint64(0xD6E8FEB86659FD93)
+    g ^= g >> np.uint64(32)
+    g = np.unique(g)
+    level = max(0, (len(g) - 1) // SAMPLED).bit_length()
+    keys: list[int] = []
+    for at in (level, level + 1) if len(g) > 0.8 * SAMPLED * (1 << level) else (level,):
+        x = g[g & np.uint64((1 << at) - 1) == 0]
+        if not len(x):
+            continue
+        segment = (x >> np.uint64(59)).astype(np.int64)  # hashes are in order, so segments are
+        first = np.flatnonzero(np.concatenate([[True], segment[1:] != segment[:-1]]))
+        size = np.diff(np.append(first, len(x)))
+        ones = np.add.reduceat(np.unpackbits(x.byteswap().view(np.uint8).reshape(-1, 8), axis=1).astype(np.int32), first, axis=0)
+        own = np.packbits(2 * ones > size[:, None], axis=1).view(">u8").ravel().astype(np.uint64)
+        keys += (own * np.uint64(0xC2B2AE3D27D4EB4F) + (segment[first].astype(np.uint64) << np.uint64(8)) + np.uint64(at)).view(np.int64).tolist()
+    return g[g & np.uint64((1 << level) - 1) == 0].view(np.int64).tolist(), keys, level
+
+
+def similar(docs: DataFrame, doc_id: str, text: str, similarity: float, shingle: int = 5) -> DataFrame:
+    """Edges a, b between fingerprints of texts whose share of common shingles, in their samples, is ``similarity`` or more."""
+    kind = docs.schema[doc_id].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for b in batches:
+            texts = b.column(1).to_pylist()
+            made = [sketch(t, hashes, shingle) for t in texts]
+            fps = np.fromiter((fingerprint(t) for t in texts), np.uint64, len(texts))
+            longs = pa.list_(pa.int64())
+            yield pa.record_batch(
+                [b.column(0), pa.array(fps.view(np.int64)), pa.array([m[0] for m in made], longs), pa.array([m[1] for m in made], longs), pa.array([m[2] for m in made], pa.int32())],
+                names=["doc_id", "fp", "sample", "keys", "level"],
+            )
+
+    made = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, f"doc_id {kind}, fp long, sample array<long>, keys array<long>, level int")
+    made = written(made.groupBy("fp").agg(F.min_by(F.struct("sample", "keys", "level"), "doc_id").alias("x"), F.min("doc_id").alias("first")).select("fp", "first", "x.*"))
+    keyed = made.select("fp", "first", F.explode("keys").alias("key"))
+    centre = keyed.groupBy("key").agg(F.min(F.struct("first", "fp")).alias("c"), F.count("*").alias("n")).where("n > 1").select("key", F.col("c.fp").alias("a"))
+    pairs = keyed.join(centre, "key").where("fp <> a").select("a", F.col("fp").alias("b")).distinct()
+    side = lambda c: made.select(F.col("fp").alias(c), F.col("sample").alias(f"s{c}"), F.col("level").alias(f"l{c}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    mask = F.call_function("shiftleft", F.lit(1).cast("long"), F.greatest("la", "lb")) - 1
+    kept = both.select("a", "b", *[F.filter(c, lambda h: h.bitwiseAND(mask) == 0).alias(c) for c in ("sa", "sb")])
+    common = F.size(F.array_intersect("sa", "sb"))
+    return kept.where(common >= F.lit(similarity) * (F.size("sa") + F.size("sb") - common)).where("size(sa) > 0").select("a", "b")
+
+
 def links(fps: DataFrame, tau: int = 2, cap: int = 16) -> DataFrame:
     """Edges a, b that connect exactly the fingerprints within ``tau`` bits, directly or through a common neighbour.
 
@@ -106,9 +175,11 @@ def _turn(name: str, by: int):
 
 
 def near_duplicates(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, tau: int = 2, cap: int = 16
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, tau: int = 2, cap: int = 16,
+    similarity: float | None = None,
 ) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable by links of ``tau`` bits or fewer).
+    """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable by links of ``tau`` bits or fewer,
+    and, with ``similarity``, by five-word shingles in common; see ``similar``).
 
     One row for each input row. Null and empty texts have fingerprint 0, linked like any other. Rows that repeat a
     doc_id are each fingerprinted; a null doc_id keeps its row, and its component_id is the smallest other id, or null.
@@ -116,7 +187,10 @@ def near_duplicates(
     """
     fps = written(fingerprints(docs, doc_id, text, shingle))
     ids = fps.groupBy("fp").agg(F.min("doc_id").alias("first"))
-    found = written(components(links(ids.select("fp"), tau, cap)))
+    edges = links(ids.select("fp"), tau, cap)
+    if similarity is not None:
+        edges = edges.unionByName(similar(docs, doc_id, text, similarity))
+    found = written(components(edges))
     classes = ids.join(found, ids.fp == found.node, "left").select(ids.fp, "first", F.coalesce("root", ids.fp).alias("root"))
     least = classes.groupBy("root").agg(F.min("first").alias("component_id"))
     named = classes.join(least, "root").select("fp", "component_id")
