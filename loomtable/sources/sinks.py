@@ -49,3 +49,10 @@ def write_report(report: str, path: str | Path) -> None:
 def write_manifest(manifests: DataFrame, path: str) -> None:
     """The manifest as JSON lines, which scale; ``read_manifest`` and Spark read both forms."""
     manifests.write.mode("overwrite").option("ignoreNullFields", False).json(path)
+
+
+def result_lines(result: dict) -> list[str]:
+    """An evaluation result as lines for the console."""
+    rows = [("exact match", result["exact_match"]), *result["per_attribute"].items(), *(result.get("category_breakdown") or {}).items()]
+    width = max(len(n) for n, _ in rows)
+    return [f"{n:<{width}}  {v:6.1%}" for n, v in rows] + [f"{'samples':<{width}}  {result['total_samples']:6d}"]
