@@ -612,8 +612,8 @@ def o01(spark, d):
     return part_listings(spark, d).select("seq", F.array_join(F.transform(X.sorted_entries(F.col("attributes")), lambda e: e["key"]), ",").alias("keys"))
 
 
-@query("x_event_windows", "SELECT time_bucket(INTERVAL '1 hour', ts) AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
+@query("x_event_windows", "SELECT strftime(time_bucket(INTERVAL '1 hour', ts), '%Y-%m-%d %H:%M:%S') AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
 def x_windows(spark, d):
     e = table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
     got = e.groupBy(F.window("ts", "1 hour"), "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
-    return got.select(F.col("window.start").alias("start"), "event_type", "n", "total")
+    return got.select(F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("start"), "event_type", "n", "total")
