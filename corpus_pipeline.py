@@ -30,10 +30,12 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the smallest id stays.
 
     Texts are linked if the SimHashes of their three-word shingles differ in two bits or fewer, or if they share 0.8 or
-    more of their five-word shingles.
+    more of their five-word shingles. Of rows that repeat an id and a text one stays; rows that share an id otherwise stay
+    or go together, as do those without an id, which stay if one of them has a group without any id.
     """
-    groups = simhash.near_duplicates(docs, similarity=0.8).where("doc_id <=> component_id").select("doc_id").distinct()
-    return docs.join(groups, "doc_id", "left_semi").select(*COLUMNS)
+    first = simhash.near_duplicates(docs, similarity=0.8).where("doc_id <=> component_id").select(F.col("doc_id").alias("first")).distinct()
+    kept = docs.join(first, F.col("doc_id").eqNullSafe(F.col("first")), "left_semi")
+    return kept.withColumn("__text", F.xxhash64("text")).dropDuplicates(["doc_id", "__text"]).select(*COLUMNS)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -228,6 +228,17 @@ def test_pipeline_stages(spark, corpus, tmp_path):
     assert keyed(whole, "doc_id", "epoch", "text") == keyed(mixed, "doc_id", "epoch", "text")
 
 
+def test_stages_take_odd_rows(spark, corpus, tmp_path):
+    spark.createDataFrame([(1, None), (2, "some words")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    odd = corpus.select(*corpus_pipeline.COLUMNS)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, odd.limit(0), str(tmp_path)).count() == 0
+        got = stage(spark, odd, str(tmp_path))
+        assert got.columns[:5] == list(corpus_pipeline.COLUMNS) and got.count() > 0
+    near = keyed(dict(corpus_pipeline.STAGES)["near_dedup"](spark, odd, str(tmp_path)), "doc_id", "text")
+    assert len(near) == len(set(near)) and (None, None) in near or any(i is None for i, _ in near)
+
+
 def test_every_operator_has_a_query():
     assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
     assert hashlib.sha256(b"").hexdigest() and simhash.SEGMENTS == 8 and templates.LEAD == 3
