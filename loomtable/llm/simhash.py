@@ -62,7 +62,7 @@ def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sh
 
 
 def sketch(text: str | None, hashes: WordHashes, shingle: int = 5) -> tuple[list[int], list[int], int]:
-    """Sampled shingle hashes of a text, keys of its segments' fingerprints, and the sample's level.
+    """Sampled shingle hashes of a text (31 bits from its level on), keys of its segments' fingerprints, and the level.
 
     At level L a shingle is sampled if its hash ends in L zero bits; a text's level leaves it ``SAMPLED`` at most, so a
     short text keeps all. A text near the limit has keys at the next level as well, to meet slightly longer ones.
@@ -91,7 +91,8 @@ def sketch(text: str | None, hashes: WordHashes, shingle: int = 5) -> tuple[list
         ones = np.add.reduceat(np.unpackbits(x.byteswap().view(np.uint8).reshape(-1, 8), axis=1).astype(np.int32), first, axis=0)
         own = np.packbits(2 * ones > size[:, None], axis=1).view(">u8").ravel().astype(np.uint64)
         keys += (own * np.uint64(0xC2B2AE3D27D4EB4F) + (segment[first].astype(np.uint64) << np.uint64(8)) + np.uint64(at)).view(np.int64).tolist()
-    return g[g & np.uint64((1 << level) - 1) == 0].view(np.int64).tolist(), keys, level
+    sample = g[g & np.uint64((1 << level) - 1) == 0] >> np.uint64(level)
+    return (sample & np.uint64(0x7FFFFFFF)).tolist(), keys, level
 
 
 def similar(docs: DataFrame, doc_id: str, text: str, similarity: float, shingle: int = 5) -> DataFrame:
@@ -104,21 +105,31 @@ def similar(docs: DataFrame, doc_id: str, text: str, similarity: float, shingle:
             texts = b.column(1).to_pylist()
             made = [sketch(t, hashes, shingle) for t in texts]
             fps = np.fromiter((fingerprint(t) for t in texts), np.uint64, len(texts))
-            longs = pa.list_(pa.int64())
+            ints, longs = pa.list_(pa.int32()), pa.list_(pa.int64())
             yield pa.record_batch(
-                [b.column(0), pa.array(fps.view(np.int64)), pa.array([m[0] for m in made], longs), pa.array([m[1] for m in made], longs), pa.array([m[2] for m in made], pa.int32())],
+                [b.column(0), pa.array(fps.view(np.int64)), pa.array([m[0] for m in made], ints), pa.array([m[1] for m in made], longs), pa.array([m[2] for m in made], pa.int32())],
                 names=["doc_id", "fp", "sample", "keys", "level"],
             )
 
-    made = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, f"doc_id {kind}, fp long, sample array<long>, keys array<long>, level int")
+    made = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, f"doc_id {kind}, fp long, sample array<int>, keys array<long>, level int")
     made = written(made.groupBy("fp").agg(F.min_by(F.struct("sample", "keys", "level"), "doc_id").alias("x"), F.min("doc_id").alias("first")).select("fp", "first", "x.*"))
     keyed = made.select("fp", "first", F.explode("keys").alias("key"))
     centre = keyed.groupBy("key").agg(F.min(F.struct("first", "fp")).alias("c"), F.count("*").alias("n")).where("n > 1").select("key", F.col("c.fp").alias("a"))
     pairs = keyed.join(centre, "key").where("fp <> a").select("a", F.col("fp").alias("b")).distinct()
-    side = lambda c: made.select(F.col("fp").alias(c), F.col("sample").alias(f"s{c}"), F.col("level").alias(f"l{c}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
-    mask = F.call_function("shiftleft", F.lit(1).cast("long"), F.greatest("la", "lb")) - 1
-    kept = both.select("a", "b", *[F.filter(c, lambda h: h.bitwiseAND(mask) == 0).alias(c) for c in ("sa", "sb")])
+    pairs = written(pairs)
+    met = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
+    some = made.select("fp", "sample", "level").join(met, "fp", "left_semi")  # samples of texts in pairs alone go on
+    side = lambda c: some.select(F.col("fp").alias(c), F.col("sample").alias(f"s{c}"), F.col("level").alias(f"l{c}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("top", F.greatest("la", "lb"))
+
+    def at_top(c: str, level: str):
+        """A sample as it is at the pair's higher level, in 30 bits."""
+        more = F.col("top") - F.col(level)
+        ends = F.call_function("shiftleft", F.lit(1), more) - 1
+        kept = F.filter(c, lambda h: h.bitwiseAND(ends) == 0)
+        return F.transform(kept, lambda h: F.call_function("shiftright", h, more).bitwiseAND(F.lit(0x3FFFFFFF))).alias(c)
+
+    kept = both.select("a", "b", at_top("sa", "la"), at_top("sb", "lb"))
     common = F.size(F.array_intersect("sa", "sb"))
     return kept.where(common >= F.lit(similarity) * (F.size("sa") + F.size("sb") - common)).where("size(sa) > 0").select("a", "b")
 
