@@ -11,14 +11,20 @@ and are linked exactly in another way (tau <= 2): each emits all values within o
 within two bits meet at such a value, and all that meet at one are within two bits of each other, so one star of links
 (at most 64 a value) replaces the pairs.
 
-Texts that share most of their words but differ in several places lie many bits apart. ``similarity`` links them too:
-a text's shingles are dealt by their hash into 32 segments, each with a SimHash of its own few shingles. Segments that
-agree name candidates, each with the smallest id that has the segment, never with all others; the share of common
-shingles decides.
+Texts that share most of their words but differ in several places lie many bits apart. ``similarity`` links them too,
+exactly, by prefix filtering: in any one order of all shingles, two texts whose shingles have a share t or more in common
+share one among the first n - ceil(t * n) + 1 of each. Shingles that a sample of the texts repeats come last in the
+order, so a common passage is a key of such texts only that hold little else. Lengths and places prune the pairs of a
+key; the whole shingle sets decide.
+
+A key of more than ``HOT`` texts is taken in two steps: each text meets the smallest one, then, once the links so far
+have made groups, each pair of texts from different groups is taken, in salted parts. A family of near copies is one
+group by then and makes no pairs; texts that are alike are never left uncompared.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -32,8 +38,10 @@ from loomtable.llm.common import WordHashes, written
 from loomtable.llm.graph import components
 
 SEGMENTS = 8
-#: Shingles that a text's sample may hold.
-SAMPLED = 256
+#: Texts of a shingle beyond which its pairs are taken in two steps, and the parts of the second.
+HOT, PARTS = 32, 16
+#: One text in ``SAMPLE`` is looked through for common shingles: those in ``OFTEN`` such texts, ``LISTED`` shingles at most.
+SAMPLE, OFTEN, LISTED = 16, 3, 1 << 20
 
 
 def fingerprint(text: str | None, shingle: int = 3) -> int:
@@ -50,26 +58,23 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
-    """doc_id, fp (the 64 bits as a signed long) of every row; null and empty texts have 0."""
+    """doc_id, fp (the 64 bits as a signed long), th (a hash of the whole text) of every row; null and empty texts have fp 0."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = np.fromiter((fingerprint(t.as_py(), shingle) for t in b.column(1)), np.uint64, b.num_rows)
-            yield pa.record_batch([b.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.record_batch([b.column(0), pa.array(fps.view(np.int64)), b.column(2)], names=["doc_id", "fp", "th"])
 
     kind = docs.schema[doc_id].dataType.simpleString()
-    return docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, f"doc_id {kind}, fp long")
-
+    rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("th"))
+    return rows.mapInArrow(run, f"doc_id {kind}, fp long, th long")
 
-def sketch(text: str | None, hashes: WordHashes, shingle: int = 5) -> tuple[list[int], list[int], int]:
-    """Sampled shingle hashes of a text (31 bits from its level on), keys of its segments' fingerprints, and the level.
 
-    At level L a shingle is sampled if its hash ends in L zero bits; a text's level leaves it ``SAMPLED`` at most, so a
-    short text keeps all. A text near the limit has keys at the next level as well, to meet slightly longer ones.
-    """
+def shingles(text: str | None, hashes: WordHashes, shingle: int = 5) -> np.ndarray:
+    """64-bit hashes of a text's different shingles, in order; a shorter text is one shingle, one without words has none."""
     w = text.encode().lower().split() if text else []
     if not w:
-        return [], [], 0
+        return np.zeros(0, np.uint64)
     h = np.fromiter(map(hashes.__getitem__, w), np.int64, len(w)).view(np.uint64)
     n = max(1, len(h) - shingle + 1)
     g = np.zeros(n, np.uint64)
@@ -78,60 +83,144 @@ def sketch(text: str | None, hashes: WordHashes, shingle: int = 5) -> tuple[list
     g ^= g >> np.uint64(32)
     g *= np.uint64(0xD6E8FEB86659FD93)
     g ^= g >> np.uint64(32)
-    g = np.unique(g)
-    level = max(0, (len(g) - 1) // SAMPLED).bit_length()
-    keys: list[int] = []
-    for at in (level, level + 1) if len(g) > 0.8 * SAMPLED * (1 << level) else (level,):
-        x = g[g & np.uint64((1 << at) - 1) == 0]
-        if not len(x):
-            continue
-        segment = (x >> np.uint64(59)).astype(np.int64)  # hashes are in order, so segments are
-        first = np.flatnonzero(np.concatenate([[True], segment[1:] != segment[:-1]]))
-        size = np.diff(np.append(first, len(x)))
-        ones = np.add.reduceat(np.unpackbits(x.byteswap().view(np.uint8).reshape(-1, 8), axis=1).astype(np.int32), first, axis=0)
-        own = np.packbits(2 * ones > size[:, None], axis=1).view(">u8").ravel().astype(np.uint64)
-        keys += (own * np.uint64(0xC2B2AE3D27D4EB4F) + (segment[first].astype(np.uint64) << np.uint64(8)) + np.uint64(at)).view(np.int64).tolist()
-    sample = g[g & np.uint64((1 << level) - 1) == 0] >> np.uint64(level)
-    return (sample & np.uint64(0x7FFFFFFF)).tolist(), keys, level
-
-
-def similar(docs: DataFrame, doc_id: str, text: str, similarity: float, shingle: int = 5) -> DataFrame:
-    """Edges a, b between fingerprints of texts whose share of common shingles, in their samples, is ``similarity`` or more."""
-    kind = docs.schema[doc_id].dataType.simpleString()
+    return np.unique(g)
+
+
+def prefix(g: np.ndarray, common: np.ndarray, rank: np.ndarray, similarity: float) -> np.ndarray:
+    """The first shingles of ``g``, common ones last by rank: a text with ``similarity`` or more in common has one of them first as well."""
+    n = len(g) - math.ceil(similarity * len(g) - 1e-9) + 1 if len(g) else 0
+    if not n or not len(common):
+        return g[:n]
+    at = np.minimum(np.searchsorted(common, g), len(common) - 1)
+    listed = common[at] == g
+    return np.concatenate([g[~listed], g[listed][np.argsort(rank[at[listed]], kind="stable")]])[:n]
+
+
+def _common(texts: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that the sampled texts repeat, in order, and the power of two of their counts. ``texts`` has th, text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for b in batches:
+            for t in b.column(0):
+                yield pa.record_batch([pa.array(shingles(t.as_py(), hashes, shingle).view(np.int64))], names=["key"])
+
+    some = texts.where(F.pmod("th", F.lit(SAMPLE)) == 0).dropDuplicates(["th"]).select("text").mapInArrow(run, "key long")
+    found = written(some.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= OFTEN).select("key", F.floor(F.log2("n")).cast("int").alias("rank")))
+    least, total = 99, 0
+    for r in sorted(found.groupBy("rank").count().collect(), reverse=True):  # a row for each power of two
+        total += r["count"]
+        if total > LISTED:
+            break
+        least = r["rank"]
+    listed = found.where(F.col("rank") >= least).toArrow()
+    keys = listed.column("key").to_numpy().view(np.uint64)
+    order = np.argsort(keys)
+    return keys[order], listed.column("rank").to_numpy()[order]
+
+
+def _near_sizes(similarity: float):
+    """Whether postings a and b with a key in common can be of texts alike, by sizes n and places p of the key."""
+    rest = F.least(F.col("a.n") - F.col("a.p"), F.col("b.n") - F.col("b.p"))
+    return rest >= F.lit(similarity / (1 + similarity)) * (F.col("a.n") + F.col("b.n")) - 1e-6
+
+
+def _only(texts: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Rows of ``texts`` whose th is in ``wanted``; a bitmap of fixed size keeps most others out of the shuffle of the exact join."""
+    word = F.pmod("th", F.lit(1 << 20)).cast("int")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.shiftright("th", 20), F.lit(64)).cast("int"))
+    bits = wanted.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()  # 2^20 rows at most
+    full = np.zeros(1 << 20, np.int64)
+    full[bits.column("word").to_numpy()] = bits.column("bits").to_numpy()
+    bitmap = texts.sparkSession.sparkContext.broadcast(full)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            th = b.column(0).to_numpy()
+            yield b.filter(pa.array(bitmap.value[th & ((1 << 20) - 1)] >> (th >> 20 & 63) & 1 == 1))
+
+    return texts.select("th", "text").mapInArrow(run, "th long, text string").join(wanted, "th", "left_semi")
+
+
+def _alike(pairs: DataFrame, made: DataFrame, texts: DataFrame, similarity: float, shingle: int) -> DataFrame:
+    """Those of ``pairs`` (a, b, without repeats) whose whole shingle sets have ``similarity`` or more in common.
+
+    What two texts differ by is at least the sum of the differences of their parts' sizes, so pairs beyond the
+    difference allowed are known without their texts.
+    """
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x, y = (np.frombuffer(b"".join(b.column(c).to_pylist()), np.uint8).reshape(-1, 64).astype(np.int32) for c in (4, 5))
+            most = (b.column(2).to_numpy() + b.column(3).to_numpy()) * (1 - similarity) / (1 + similarity)
+            yield pa.record_batch([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(np.abs(x - y).sum(axis=1) <= most + 1e-6))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for b in batches:
+            sets = [shingles(t.as_py(), hashes, shingle).view(np.int64) for t in b.column(1)]
+            yield pa.record_batch([b.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["th", "s"])
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            x, y = b.column(2), b.column(3)
+            good = np.zeros(b.num_rows, bool)
+            for i in range(b.num_rows):
+                u, v = x[i].values.to_numpy(), y[i].values.to_numpy()
+                both = len(np.intersect1d(u, v, assume_unique=True))
+                good[i] = both >= similarity * (len(u) + len(v) - both)
+            yield pa.record_batch([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(good))
+
+    size = lambda c: made.select(F.col("th").alias(c), F.col("n").alias(f"n{c}"), F.col("parts").alias(f"p{c}"))
+    pairs = written(pairs.join(size("a"), "a").join(size("b"), "b").select("a", "b", "na", "nb", "pa", "pb").mapInArrow(near, "a long, b long"))
+    if pairs.isEmpty():
+        return pairs
+    met = written(pairs.select(F.explode(F.array("a", "b")).alias("th")).distinct())
+    sets = written(_only(texts, met).dropDuplicates(["th"]).select("th", "text").mapInArrow(run, "th long, s array<long>"))
+    side = lambda c: sets.select(F.col("th").alias(c), F.col("s").alias(f"s{c}"))
+    return written(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb").mapInArrow(check, "a long, b long"))
+
+
+def similar(docs: DataFrame, text: str, similarity: float, shingle: int = 5) -> DataFrame:
+    """Edges a, b between texts, by their hashes, that connect exactly those whose share of common shingles is ``similarity`` or more.
+
+    A text stands for all rows that hold it, whatever their ids. ``similarity`` is above 0.
+    """
+    texts = docs.select(F.xxhash64(F.col(text)).alias("th"), F.col(text).alias("text")).where("text is not null")
+    listed = docs.sparkSession.sparkContext.broadcast(_common(texts, shingle))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
+        common, rank = listed.value
         for b in batches:
-            texts = b.column(1).to_pylist()
-            made = [sketch(t, hashes, shingle) for t in texts]
-            fps = np.fromiter((fingerprint(t) for t in texts), np.uint64, len(texts))
-            ints, longs = pa.list_(pa.int32()), pa.list_(pa.int64())
+            made = [shingles(t, hashes, shingle) for t in b.column(1).to_pylist()]
+            first = [prefix(g, common, rank, similarity).view(np.int64) for g in made]
+            parts = [np.minimum(np.bincount((g >> np.uint64(58)).astype(np.int64), minlength=64), 255).astype(np.uint8).tobytes() for g in made]
             yield pa.record_batch(
-                [b.column(0), pa.array(fps.view(np.int64)), pa.array([m[0] for m in made], ints), pa.array([m[1] for m in made], longs), pa.array([m[2] for m in made], pa.int32())],
-                names=["doc_id", "fp", "sample", "keys", "level"],
+                [b.column(0), pa.array([len(g) for g in made], pa.int32()), pa.array(parts, pa.binary()), pa.array(first, pa.list_(pa.int64()))],
+                names=["th", "n", "parts", "keys"],
             )
 
-    made = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).mapInArrow(run, f"doc_id {kind}, fp long, sample array<int>, keys array<long>, level int")
-    made = written(made.groupBy("fp").agg(F.min_by(F.struct("sample", "keys", "level"), "doc_id").alias("x"), F.min("doc_id").alias("first")).select("fp", "first", "x.*"))
-    keyed = made.select("fp", "first", F.explode("keys").alias("key"))
-    centre = keyed.groupBy("key").agg(F.min(F.struct("first", "fp")).alias("c"), F.count("*").alias("n")).where("n > 1").select("key", F.col("c.fp").alias("a"))
-    pairs = keyed.join(centre, "key").where("fp <> a").select("a", F.col("fp").alias("b")).distinct()
-    pairs = written(pairs)
-    met = pairs.select(F.explode(F.array("a", "b")).alias("fp")).distinct()
-    some = made.select("fp", "sample", "level").join(met, "fp", "left_semi")  # samples of texts in pairs alone go on
-    side = lambda c: some.select(F.col("fp").alias(c), F.col("sample").alias(f"s{c}"), F.col("level").alias(f"l{c}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b").withColumn("top", F.greatest("la", "lb"))
-
-    def at_top(c: str, level: str):
-        """A sample as it is at the pair's higher level, in 30 bits."""
-        more = F.col("top") - F.col(level)
-        ends = F.call_function("shiftleft", F.lit(1), more) - 1
-        kept = F.filter(c, lambda h: h.bitwiseAND(ends) == 0)
-        return F.transform(kept, lambda h: F.call_function("shiftright", h, more).bitwiseAND(F.lit(0x3FFFFFFF))).alias(c)
-
-    kept = both.select("a", "b", at_top("sa", "la"), at_top("sb", "lb"))
-    common = F.size(F.array_intersect("sa", "sb"))
-    return kept.where(common >= F.lit(similarity) * (F.size("sa") + F.size("sb") - common)).where("size(sa) > 0").select("a", "b")
+    made = written(texts.select("th", "text").mapInArrow(run, "th long, n int, parts binary, keys array<long>").dropDuplicates(["th"]))
+    keyed = made.select("th", "n", F.posexplode("keys").alias("p", "key")).repartition("key")  # one shuffle for both uses
+    shared = keyed.groupBy("key").agg(F.count("*").alias("m"), F.min("th").alias("least")).where("m > 1")
+    keyed = written(keyed.join(shared, "key"))
+    few = keyed.where(F.col("m") <= HOT)
+    a, b = few.alias("a"), few.alias("b")
+    pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.th") < F.col("b.th")) & _near_sizes(similarity)).select(F.col("a.th").alias("a"), F.col("b.th").alias("b"))
+    hot = keyed.where(F.col("m") > HOT)
+    stars = hot.where("th <> least").select(F.col("least").alias("a"), F.col("th").alias("b"))
+    done = pairs.unionByName(stars).distinct()
+    edges = _alike(done, made, texts, similarity, shingle)
+    root = written(components(edges))
+    grouped = hot.join(root, hot.th == root.node, "left").select("key", "th", "n", "p", F.coalesce("root", "th").alias("root"))
+    split = grouped.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("key")
+    grouped = written(grouped.join(split, "key"))
+    a = grouped.withColumn("part", F.pmod(F.xxhash64("th"), F.lit(PARTS)).cast("int")).alias("a")
+    b = grouped.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1)))).alias("b")
+    apart = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.part") == F.col("b.part")) & (F.col("a.th") < F.col("b.th")) & (F.col("a.root") != F.col("b.root")) & _near_sizes(similarity))
+    more = _alike(apart.select(F.col("a.th").alias("a"), F.col("b.th").alias("b")).distinct(), made, texts, similarity, shingle)
+    return edges.unionByName(more)
 
 
 def links(fps: DataFrame, tau: int = 2, cap: int = 16) -> DataFrame:
@@ -196,11 +285,15 @@ def near_duplicates(
     doc_id are each fingerprinted; a null doc_id keeps its row, and its component_id is the smallest other id, or null.
     An empty table gives no rows. Other columns of ``docs`` are ignored, whatever their names.
     """
-    fps = written(fingerprints(docs, doc_id, text, shingle))
+    fps = fingerprints(docs, doc_id, text, shingle)
+    fps = written(fps if similarity is not None else fps.drop("th"))
     ids = fps.groupBy("fp").agg(F.min("doc_id").alias("first"))
     edges = links(ids.select("fp"), tau, cap)
     if similarity is not None:
-        edges = edges.unionByName(similar(docs, doc_id, text, similarity))
+        own = fps.select("th", "fp").distinct()
+        side = lambda c: own.select(F.col("th").alias(c), F.col("fp").alias(f"fp_{c}"))
+        alike = similar(docs, text, similarity).join(side("a"), "a").join(side("b"), "b")
+        edges = edges.unionByName(alike.select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b")).where("a <> b"))
     found = written(components(edges))
     classes = ids.join(found, ids.fp == found.node, "left").select(ids.fp, "first", F.coalesce("root", ids.fp).alias("root"))
     least = classes.groupBy("root").agg(F.min("first").alias("component_id"))

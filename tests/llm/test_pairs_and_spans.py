@@ -187,3 +187,49 @@ def test_templates(corpus):
     assert got == brute_templates(rows)
     assert sum("logged in" in (r[1] or "") for r in got) == 2 and sum("fixed footer" in (r[1] or "") for r in got) == 1
     assert templates.drop_templates(corpus.limit(0)).count() == 0
+
+
+def brute_alike(rows):
+    """component_id of each row by links of two bits or 0.8 of the five-word shingles."""
+    group = brute_groups([brute_fingerprint(t) for _, t in rows], 2)
+    sets = [{tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if (w := low(t).split()) else set() for _, t in rows]
+    for i, a in enumerate(sets):
+        for j in range(i):
+            if a and len(a & sets[j]) >= 0.8 * len(a | sets[j]):
+                x, y = sorted((group[i], group[j]))
+                group = [x if g == y else g for g in group]
+    least = defaultdict(list)
+    for (i, _), g in zip(rows, group, strict=True):
+        least[g] += [] if i is None else [i]
+    return sorted(((i, min(least[g], default=None)) for (i, _), g in zip(rows, group, strict=True)), key=repr)
+
+
+@pytest.mark.parametrize("hot", [3, 32])
+def test_no_similar_pair_is_lost(spark, monkeypatch, hot):
+    """Pairs about 0.8, alone, beside a family that shares their key, in long texts, with equal fingerprints and without ids."""
+    import random
+
+    monkeypatch.setattr(simhash, "HOT", hot)
+    monkeypatch.setattr(simhash, "SAMPLE", 1 if hot == 3 else 16)
+    rng = random.Random(8)
+    line = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+
+    def edited(w, edits):
+        w = list(w)
+        for at in rng.sample(range(0, len(w) // 6), edits):
+            w[6 * at] = f"x{rng.randrange(10**6)}"
+        return w
+
+    texts = []
+    base, head = line(120), line(30)
+    texts += [edited(base, rng.randrange(2, 9)) for _ in range(45)]  # a family, not all of it within 0.8
+    texts += [head + line(100) for _ in range(40)]  # a common passage in texts that are not alike
+    for n, edits in [(300, 6), (300, 7), (1200, 26), (1200, 27), (60, 1)]:
+        for _ in range(12):
+            w = line(n)
+            texts += [w, edited(w, edits)]
+    rows = [(i, " ".join(w)) for i, w in enumerate(texts)]
+    w = line(300)
+    rows += [(None, " ".join(w)), (None, " ".join(edited(w, 5))), (None, "one"), (9000, "ONE"), (9001, "one  two"), (9002, ""), (9003, None)]
+    got = keyed(simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(4), similarity=0.8), "doc_id", "component_id")
+    assert got == brute_alike(rows)
