@@ -9,6 +9,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator, Mapping
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -77,6 +78,51 @@ KNOWN: dict[str, list[str]] = {
     "CC0-1.0": ["SPDX-License-Identifier: CC0-1.0"],
 }
 
+
+def _add(name: str, *texts: str) -> None:
+    KNOWN.setdefault(name, []).extend(texts)
+
+
+#: Whole texts, one file each by name; where terms have an appendix, the terms alone as well.
+for _file in sorted((Path(__file__).parent / "license_texts").glob("*.txt")):
+    _whole = _file.read_text(encoding="utf-8")
+    _add(_file.stem, _whole)
+    if (_end := re.search(r"END OF TERMS AND CONDITIONS", _whole)) is not None:
+        _add(_file.stem, _whole[: _end.end()], _whole[: _end.start()])
+
+#: Usual notices of licences by their full names, and of the Creative Commons family (name, kind in words, versions).
+for _name, _full in {
+    "AGPL-3.0": "GNU Affero General Public License, version 3", "GPL-2.0": "GNU General Public License, version 2",
+    "GPL-3.0": "GNU General Public License, version 3", "LGPL-2.1": "GNU Lesser General Public License, version 2.1",
+    "LGPL-3.0": "GNU Lesser General Public License, version 3",
+}.items():
+    _v = _full.replace(", version", " version")
+    _add(_name, *[f"{how} the {_full}" for how in ("Licensed under", "Released under", "This work is licensed under", "This program is licensed under")])
+    _add(_name, *[f"Licensed under {s}" for s in (_name, _name.replace("-", " "), _name.replace("-", "v"), _name.removesuffix(".0"), _v.replace(" version ", " v"))])
+    _add(_name, *[f"SPDX-License-Identifier: {_name}{end}" for end in ("", "-only", "-or-later")])
+for _name, _full in {
+    "Apache-2.0": "Apache License 2.0", "BSD-2-Clause": "BSD 2-Clause License", "BSD-3-Clause": "BSD 3-Clause License", "CC0-1.0": "CC0 1.0 Universal",
+    "ISC": "ISC License", "MIT": "MIT License", "MPL-2.0": "Mozilla Public License 2.0", "Unlicense": "Unlicense",
+}.items():
+    _add(_name, *[f"{how} {the}{_full}" for how in ("Licensed under", "Released under", "This work is licensed under", "This project is licensed under") for the in ("", "the ")])
+    _add(_name, f"SPDX-License-Identifier: {_name}")
+_add("CC0-1.0", "Licensed under CC0 1.0.", "Released under CC0 1.0.")
+_add("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.")
+for _kind, _full in {
+    "BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-ND": "Attribution-NoDerivatives", "BY-NC": "Attribution-NonCommercial",
+    "BY-NC-SA": "Attribution-NonCommercial-ShareAlike", "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives",
+}.items():
+    for _v, _where in (("4.0", "International"), ("3.0", "Unported")):
+        _long = f"Creative Commons {_full if _v == '4.0' else _full.replace('NoDerivatives', 'NoDerivs')} {_v}"
+        _url = f"creativecommons.org/licenses/{_kind.lower()}/{_v}"
+        for _how in ("Licensed under", "Released under", "This work is licensed under", "This content is licensed under"):
+            _add(f"CC-{_kind}-{_v}", *[f"{_how} {x}" for x in (f"CC {_kind} {_v}", f"a CC {_kind} {_v} license", f"the CC {_kind} {_v} license")])
+            for _license in (f"{_long} {_where} License", f"{_long} License", _long, f"{_long} {_where}"):
+                for _the in ("", "a ", "the "):
+                    _notice = f"{_how} {_the}{_license}."
+                    _add(f"CC-{_kind}-{_v}", _notice, f"{_notice} To view a copy of this license, visit http://{_url}/.")
+        _add(f"CC-{_kind}-{_v}", f"SPDX-License-Identifier: CC-{_kind}-{_v}", f"http://{_url}/", f"http://{_url}/legalcode")
+
 #: A copyright line: the word or sign, then a sign, a year, a placeholder or "by"; to the line's end.
 COPYRIGHT_LINE = r"(?m)^[^a-z0-9(©\n]*(?:copyright|\(c\)|©)[ \t]*(?:\(c\)|©|[0-9]{4}|<|\[|by\b)[^\n]*$"
 NOT_WORD = r"[^\p{L}\p{N}]+"

@@ -3,6 +3,7 @@ import math
 import re
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -242,3 +243,18 @@ def test_stages_take_odd_rows(spark, corpus, tmp_path):
 def test_every_operator_has_a_query():
     assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
     assert hashlib.sha256(b"").hexdigest() and simhash.SEGMENTS == 8 and templates.LEAD == 3
+
+
+def test_licenses_beyond_notices(spark):
+    folder = Path(licenses.__file__).parent / "license_texts"
+    whole = {p.stem: p.read_text() for p in folder.glob("*.txt")}
+    assert {"Apache-2.0", "GPL-2.0", "GPL-3.0", "LGPL-3.0", "MPL-2.0", "CC0-1.0", "Unlicense"} <= whole.keys()
+    notes = {"Licensed under CC BY-NC 4.0.": "CC-BY-NC-4.0", "SPDX-License-Identifier: AGPL-3.0-or-later": "AGPL-3.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.": "CC-BY-SA-4.0"}
+    wanted = [*((t, n) for n, t in whole.items()), *notes.items()]
+    docs = spark.createDataFrame([(i, "\r\n  " + t.upper()) for i, (t, _) in enumerate(wanted)], "doc_id long, text string")
+    got = {r.doc_id: r.license for r in licenses.scan(docs, licenses.known_table(spark)).collect()}
+    assert got == {i: n for i, (_, n) in enumerate(wanted)}
+    owners = {}
+    for name, texts in licenses.KNOWN.items():
+        for t in texts:
+            assert owners.setdefault(licenses.canonical(t), name) == name
