@@ -290,7 +290,7 @@ def near_duplicates(
     ids = fps.groupBy("fp").agg(F.min("doc_id").alias("first"))
     edges = links(ids.select("fp"), tau, cap)
     if similarity is not None:
-        own = fps.select("th", "fp").distinct()
+        own = fps.where("doc_id is not null").select("th", "fp").distinct()  # texts without any id get no such links
         side = lambda c: own.select(F.col("th").alias(c), F.col("fp").alias(f"fp_{c}"))
         alike = similar(docs, text, similarity).join(side("a"), "a").join(side("b"), "b")
         edges = edges.unionByName(alike.select(F.col("fp_a").alias("a"), F.col("fp_b").alias("b")).where("a <> b"))

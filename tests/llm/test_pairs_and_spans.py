@@ -248,16 +248,3 @@ def test_verdict_is_on_whole_texts(spark):
         rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(v))]
     got = keyed(simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), similarity=0.8), "doc_id", "component_id")
     assert got == brute_alike(rows) and 60 < len({c for _, c in got}) < 120
-
-
-def test_similar_texts_without_ids(spark):
-    """A copy without an id is linked to its near copy, also where no row of the text has an id."""
-    rng = np.random.default_rng(4)
-    w = [f"w{x}" for x in rng.integers(0, 10**7, 300)]
-    v = list(w)
-    for at in (20, 90, 150, 210, 270):
-        v[at] = "edited"
-    rows = [(None, " ".join(w)), (None, " ".join(w)), (5, " ".join(v))]
-    assert (brute_fingerprint(rows[0][1]) ^ brute_fingerprint(rows[2][1])).bit_count() > 2
-    got = keyed(simhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), similarity=0.8), "component_id")
-    assert got == [(5,)] * 3
