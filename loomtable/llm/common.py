@@ -5,11 +5,15 @@ from __future__ import annotations
 import hashlib
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Code points that separate words in most contracts: space and tab to carriage return.
 SPACES = " \t\n\x0b\x0c\r"
@@ -19,38 +23,131 @@ WORD_GAP = r"[\x20\x09-\x0D]+"
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share, from ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (tests on one machine) a temporary folder is made and set.
+    Where that setting is absent a temporary folder is made, but only if all runs on this machine; a cluster without it
+    is an error, since its machines share no local folder.
     """
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
         sc = spark.sparkContext
         if sc.getCheckpointDir() is None:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
             sc.setCheckpointDir(tempfile.mkdtemp(prefix="loomtable-"))
         found = sc.getCheckpointDir()
     return found.rstrip("/")
 
 
-#: Folders that this driver has written and not swept.
-_FOLDERS: list[str] = []
+#: Folders that each application has written and not swept.
+_FOLDERS: dict[str, list[str]] = {}
+
+
+def _file_system(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
 def written(df: DataFrame, compression: str = "zstd") -> DataFrame:
-    """``df`` written to the shared folder as Parquet and read again: cuts lineage and survives lost executors."""
+    """``df`` written to the shared folder as Parquet and read again: cuts lineage and survives lost executors.
+
+    The folder goes with ``sweep``, or else when the application ends: a lazy result may read it until then.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/stage-{uuid.uuid4().hex}"
+    fs, p = _file_system(spark, path)
+    fs.deleteOnExit(p)
     df.write.option("compression", compression).parquet(path)
-    _FOLDERS.append(path)
+    _FOLDERS.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def sweep(spark: SparkSession, keep: DataFrame | None = None) -> None:
-    """Deletes what ``written`` has left in the shared folder, but for ``keep``'s files. Only for when no lazy result still reads them."""
+    """Deletes what ``written`` has left in this application, but for ``keep``'s files. Only for when no lazy result still reads them."""
     held = {f.rsplit("/", 1)[0] for f in keep.inputFiles()} if keep is not None else set()
-    jvm = spark.sparkContext._jvm
-    for path in [p for p in _FOLDERS if not any(h.endswith(p.rsplit("/", 1)[1]) for h in held)]:
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-        _FOLDERS.remove(path)
+    mine = _FOLDERS.get(spark.sparkContext.applicationId, [])
+    for path in [p for p in mine if not any(h.endswith(p.rsplit("/", 1)[1]) for h in held)]:
+        fs, p = _file_system(spark, path)
+        fs.delete(p, True)
+        mine.remove(path)
+
+
+#: Stands for a null id in ``numbered``: after all others, beside 2^63 - 1 itself.
+LATE = (1 << 63) - 1
+
+
+def numbered(docs: DataFrame, doc_id: str = "doc_id") -> tuple[DataFrame, Column]:
+    """``docs`` and a long in the order of its ids, null last.
+
+    Whole-number ids are that long themselves. Ids of any other kind are ranked: distinct ids are range-sorted, numbered
+    in that order, written, and joined back.
+    """
+    if isinstance(docs.schema[doc_id].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return docs, F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(LATE))
+    ids = docs.select(F.col(f"`{doc_id}`").alias("__id")).where("__id is not null").distinct()
+    ids = written(ids.repartitionByRange("__id").sortWithinPartitions("__id").withColumn("__rank", F.monotonically_increasing_id()))
+    return docs.join(ids, F.col(f"`{doc_id}`") == F.col("__id"), "left").drop("__id"), F.coalesce("__rank", F.lit(LATE))
+
+
+#: A key of more than one row in so many is hot: there can be no more hot keys than this.
+HOT_SHARE = 4096
+
+
+def beside(rows: DataFrame, one: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` joined with ``one``, a written table with one row for each key and n, how many rows have the key.
+
+    A third of all rows may share a key. Keys with more than 1/``HOT_SHARE`` of all that n counts are ``HOT_SHARE`` at most, so
+    they are broadcast and their rows stay where they are; the others are shuffled, and none of them is large.
+    """
+    total = one.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    is_hot = F.col("n") * HOT_SHARE > total
+    hot, cold = F.broadcast(one.where(is_hot).drop("n")), one.where(~is_hot).drop("n").hint("merge")
+    return rows.join(hot, keys).unionByName(rows.join(hot.select(*keys), keys, "left_anti").join(cold, keys))
+
+
+BITS = 26
+
+
+def bitmap(wanted: DataFrame, key: str) -> Broadcast:
+    """A bit for each value of the long ``key``, by its low bits: 2^``BITS`` bits, whatever the number of rows."""
+    word = F.pmod(key, F.lit(1 << (BITS - 6))).cast("int")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.shiftright(key, BITS - 6), F.lit(64)).cast("int"))
+    rows = wanted.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()  # 2^(BITS - 6) rows at most
+    full = np.zeros(1 << (BITS - 6), np.int64)
+    full[rows.column("word").to_numpy()] = rows.column("bits").to_numpy()
+    return wanted.sparkSession.sparkContext.broadcast(full)
+
+
+def flagged(bits: Broadcast, key: np.ndarray) -> np.ndarray:
+    """Whether a bitmap may hold each key: always for one that it was made of, seldom for others."""
+    return bits.value[key & ((1 << (BITS - 6)) - 1)] >> (key >> (BITS - 6) & 63) & 1 == 1
+
+
+def among(rows: DataFrame, bits: Broadcast, key: str) -> DataFrame:
+    """The rows whose ``key`` the bitmap may hold: keeps most others out of the shuffle of an exact join."""
+    at = rows.columns.index(key)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(flagged(bits, b.column(at).to_numpy())))
+
+    return rows.mapInArrow(run, rows.schema)
+
+
+def frequent(keys: DataFrame, least: int, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """Keys (column key, long) that are found ``least`` times or more, in order as unsigned, and the power of two of their counts.
+
+    The most frequent powers whose keys number ``most`` or fewer together: what reaches the driver has that bound.
+    """
+    found = written(keys.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= least).select("key", F.floor(F.log2("n")).cast("int").alias("rank")))
+    edge, total = 99, 0
+    for r in sorted(found.groupBy("rank").count().collect(), reverse=True):  # a row for each power of two
+        total += r["count"]
+        if total > most:
+            break
+        edge = r["rank"]
+    listed = found.where(F.col("rank") >= edge).toArrow()
+    at = listed.column("key").to_numpy().view(np.uint64)
+    order = np.argsort(at)
+    return at[order], listed.column("rank").to_numpy()[order]
 
 
 class WordHashes(dict):

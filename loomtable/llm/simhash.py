@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomtable.llm.common import WordHashes, written
+from loomtable.llm.common import WordHashes, among, bitmap, frequent, written
 from loomtable.llm.graph import components
 
 SEGMENTS = 8
@@ -106,17 +106,7 @@ def _common(texts: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
                 yield pa.record_batch([pa.array(shingles(t.as_py(), hashes, shingle).view(np.int64))], names=["key"])
 
     some = texts.where(F.pmod("th", F.lit(SAMPLE)) == 0).dropDuplicates(["th"]).select("text").mapInArrow(run, "key long")
-    found = written(some.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") >= OFTEN).select("key", F.floor(F.log2("n")).cast("int").alias("rank")))
-    least, total = 99, 0
-    for r in sorted(found.groupBy("rank").count().collect(), reverse=True):  # a row for each power of two
-        total += r["count"]
-        if total > LISTED:
-            break
-        least = r["rank"]
-    listed = found.where(F.col("rank") >= least).toArrow()
-    keys = listed.column("key").to_numpy().view(np.uint64)
-    order = np.argsort(keys)
-    return keys[order], listed.column("rank").to_numpy()[order]
+    return frequent(some, OFTEN, LISTED)
 
 
 def _near_sizes(similarity: float):
@@ -125,23 +115,6 @@ def _near_sizes(similarity: float):
     return rest >= F.lit(similarity / (1 + similarity)) * (F.col("a.n") + F.col("b.n")) - 1e-6
 
 
-def _only(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """Rows of ``texts`` whose th is in ``wanted``; a bitmap of fixed size keeps most others out of the shuffle of the exact join."""
-    word = F.pmod("th", F.lit(1 << 20)).cast("int")
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.shiftright("th", 20), F.lit(64)).cast("int"))
-    bits = wanted.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits")).toArrow()  # 2^20 rows at most
-    full = np.zeros(1 << 20, np.int64)
-    full[bits.column("word").to_numpy()] = bits.column("bits").to_numpy()
-    bitmap = texts.sparkSession.sparkContext.broadcast(full)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            th = b.column(0).to_numpy()
-            yield b.filter(pa.array(bitmap.value[th & ((1 << 20) - 1)] >> (th >> 20 & 63) & 1 == 1))
-
-    return texts.select("th", "text").mapInArrow(run, "th long, text string").join(wanted, "th", "left_semi")
-
-
 def _alike(pairs: DataFrame, made: DataFrame, texts: DataFrame, similarity: float, shingle: int) -> DataFrame:
     """Those of ``pairs`` (a, b, without repeats) whose whole shingle sets have ``similarity`` or more in common.
 
@@ -176,7 +149,7 @@ def _alike(pairs: DataFrame, made: DataFrame, texts: DataFrame, similarity: floa
     if pairs.isEmpty():
         return pairs
     met = written(pairs.select(F.explode(F.array("a", "b")).alias("th")).distinct())
-    sets = written(_only(texts, met).dropDuplicates(["th"]).select("th", "text").mapInArrow(run, "th long, s array<long>"))
+    sets = written(among(texts.select("th", "text"), bitmap(met, "th"), "th").join(met, "th", "left_semi").dropDuplicates(["th"]).select("th", "text").mapInArrow(run, "th long, s array<long>"))
     side = lambda c: sets.select(F.col("th").alias(c), F.col("s").alias(f"s{c}"))
     return written(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb").mapInArrow(check, "a long, b long"))
 

@@ -88,14 +88,25 @@ def brute_spans(rows, window):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize(("window", "hot"), [(50, 2000), (50, 0), (50, 3), (4, 2000), (1, 5)])
-def test_rlz(corpus, window, hot):
+@pytest.mark.parametrize(("window", "sample"), [(50, 16), (50, 1), (4, 1), (1, 16)])
+def test_rlz(corpus, window, sample, monkeypatch):
+    monkeypatch.setattr(rlz, "SAMPLE", sample)
     rows = [(r.doc_id, r.text) for r in corpus.collect()]
-    got = keyed(rlz.dedup(corpus, window=window, hot=hot), "doc_id", "n_words", "n_removed", "kept_text")
+    got = keyed(rlz.dedup(corpus, window=window), "doc_id", "n_words", "n_removed", "kept_text")
     assert got == brute_spans(rows, window)
     assert any(r[2] for r in got)
 
 
+def test_rlz_takes_text_ids(spark):
+    import random
+
+    rng = random.Random(1)
+    w = [f"w{rng.randrange(10**5)}" for _ in range(90)]
+    rows = [("b", " ".join(w)), ("a", " ".join(w[10:75])), ("c", " ".join(w)), (None, " ".join(w[30:] + ["x"])), ("c", " ".join(w))]
+    got = keyed(rlz.dedup(spark.createDataFrame(rows, "doc_id string, text string")), "doc_id", "n_words", "n_removed")
+    assert got == sorted([("a", 65, 0), ("b", 90, 65), ("c", 90, 90), ("c", 90, 90), (None, 61, 60)], key=repr)
+
+
 def test_rlz_empty(corpus):
     assert rlz.dedup(corpus.limit(0)).count() == 0
     assert keyed(rlz.dedup(corpus.where("text is null")), "n_words", "n_removed", "kept_text") == [(0, 0, "")] * 2
