@@ -3,8 +3,9 @@
 Fingerprints that are equal collapse to one row first, so copies never meet as pairs. For ``tau`` differing bits, the
 64 bits form a ring of eight segments of eight bits. By the strong pigeonring principle two fingerprints within tau
 have a start segment from which every chain of l consecutive segments differs in at most l * tau / 8 bits. The longest
-chain whose budget is zero is an equality key: one row for each start segment. Rows that share a key are candidates;
-the longer chains prune them before the full Hamming check.
+chain whose budget is zero is an equality key; for two bits these are three segments, and of the next four, which differ
+in one bit at most, the first two or the last two are equal as well: 40 bits for each start segment and half. Rows that
+share a key are candidates; the longer chains prune them before the full Hamming check.
 
 A key shared by more than ``cap`` different fingerprints would make too many pairs. Its members leave the pair join
 and are linked exactly in another way (tau <= 2): each emits all values within one bit of itself; two fingerprints
@@ -196,7 +197,7 @@ def similar(docs: DataFrame, text: str, similarity: float, shingle: int = 5) ->
     return edges.unionByName(more)
 
 
-def links(fps: DataFrame, tau: int = 2, cap: int = 16) -> DataFrame:
+def links(fps: DataFrame, tau: int = 2, cap: int = 64) -> DataFrame:
     """Edges a, b that connect exactly the fingerprints within ``tau`` bits, directly or through a common neighbour.
 
     ``fps`` has one column fp without repeats. tau is 0 to 2. Edges of hot keys run through values that need not be
@@ -206,15 +207,15 @@ def links(fps: DataFrame, tau: int = 2, cap: int = 16) -> DataFrame:
         raise ValueError("tau must be 0, 1 or 2")
     width = 64 // SEGMENTS
     zero = max(n for n in range(1, SEGMENTS) if n * tau // SEGMENTS == 0)  # longest chain without a difference
-    starts = F.array(*[
-        F.struct(
-            F.lit(s).alias("s"),
-            F.shiftrightunsigned(turned := _turn("fp", width * s), 64 - width * zero).alias("k"),
-            turned.alias("r"),
-        )
-        for s in range(SEGMENTS)
-    ])
-    keyed = fps.select("fp", F.explode(starts).alias("x")).select("fp", "x.s", "x.k", "x.r")
+    starts = []
+    for s in range(SEGMENTS):
+        turned = _turn("fp", width * s)
+        chain = F.shiftrightunsigned(turned, 64 - width * zero)
+        # With a budget of one bit for the next four segments, two neighbours of them are equal too.
+        halves = [32 - width, 16 - width] if tau == 2 else [None]
+        keys = [chain if h is None else F.shiftleft(chain, 16).bitwiseOR(F.shiftrightunsigned(turned, h).bitwiseAND(F.lit(0xFFFF))) for h in halves]
+        starts += [F.struct(F.lit(len(halves) * s + i).alias("s"), k.alias("k"), turned.alias("r")) for i, k in enumerate(keys)]
+    keyed = fps.select("fp", F.explode(F.array(*starts)).alias("x")).select("fp", "x.s", "x.k", "x.r")
     sizes = keyed.groupBy("s", "k").agg(F.count("*").alias("n")).where("n > 1")
     small = keyed.join(sizes.where(F.col("n") <= cap), ["s", "k"], "left_semi")
     a, b = small.alias("a"), small.alias("b")
@@ -248,7 +249,7 @@ def _turn(name: str, by: int):
 
 
 def near_duplicates(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, tau: int = 2, cap: int = 16,
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shingle: int = 3, tau: int = 2, cap: int = 64,
     similarity: float | None = None,
 ) -> DataFrame:
     """doc_id, fingerprint (16 hex digits), component_id (smallest doc_id reachable by links of ``tau`` bits or fewer,

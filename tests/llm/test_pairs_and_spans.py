@@ -34,7 +34,7 @@ def brute_groups(fps, tau):
     return group
 
 
-@pytest.mark.parametrize("cap", [0, 16])
+@pytest.mark.parametrize("cap", [0, 64])
 def test_simhash(spark, corpus, cap):
     rows = [(r.doc_id, r.text) for r in corpus.collect()]
     fps = [brute_fingerprint(t) for _, t in rows]
