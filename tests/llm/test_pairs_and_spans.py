@@ -169,23 +169,28 @@ def brute_templates(rows, min_docs=5, alike=0.6):
     constant = {w: min(d) for w, d in by.items() if len(d) >= min_docs}
     gone = {(i, t, p) for i, t, p, w in lines if w in constant and key(i) > constant[w]}
     leaves = defaultdict(list)
-    # Rows that are the same row count once in a leaf's lines of a document and text.
     for x in lines:
         if x[3] not in constant and len(x[3]) > 3:
             leaves[(len(x[3]), x[3][:3])].append(x)
     for (n, _), xs in leaves.items():
         if len({key(x[0]) for x in xs}) < min_docs:
             continue
-        most = {}
-        for p in range(3, n):
-            counts = defaultdict(int)
-            for x in xs:
-                counts[x[3][p]] += 1
-            most[p] = next((t for t, c in counts.items() if 2 * c > len(xs)), None)
-        follow = [x for x in xs if 3 + sum(x[3][p] == most[p] for p in most) >= alike * n]
-        docs = {key(x[0]) for x in follow}
-        if len(docs) >= min_docs:
-            gone |= {x[:3] for x in follow if key(x[0]) > min(docs)}
+        counts = defaultdict(int)
+        for x in xs:
+            for p in range(3, n):
+                counts[p, x[3][p]] += 1
+        level = {pt: next(k for k in range(50) if c < min_docs * 2**k) for pt, c in counts.items()}
+        templates_ = defaultdict(list)
+        for x in xs:
+            mine = {(p, x[3][p]): level[p, x[3][p]] for p in range(3, n)}
+            for least in set(mine.values()) - {0}:
+                constants = tuple(pt for pt, v in mine.items() if v >= least)
+                if len(constants) >= alike * (n - 3):
+                    templates_[constants].append(x)
+        for ys in templates_.values():
+            docs = {key(y[0]) for y in ys}
+            if len(docs) >= min_docs:
+                gone |= {y[:3] for y in ys if key(y[0]) > min(docs)}
     out = []
     for i, t in rows:
         ls = t.split("\n") if t is not None else []
@@ -201,6 +206,24 @@ def test_templates(corpus):
     assert templates.drop_templates(corpus.limit(0)).count() == 0
 
 
+def test_templates_share_a_leaf(spark):
+    """Two families of one length and beginning, lines that share no more than those, and text ids."""
+    rng = __import__("random").Random(4)
+    name = lambda: "".join(rng.choices("abcdefghijklmnop", k=9))
+    texts = [f"Alert from node worker {name()} lost its link to storage now" for _ in range(10)]
+    texts += [f"Alert from node master {name()} gained new lease on memory today" for _ in range(10)]
+    texts += [" ".join(["Alert from node", *[name() for _ in range(8)]]) for _ in range(60)]
+    texts += [f"There is no {name()}" for _ in range(12)] + [f"There is no {name()} {name()}" for _ in range(12)]
+    texts += [f"Job run on {rng.choice(['alpha', 'beta'])} by {name()} ended well at last" for _ in range(9)]
+    texts += [f"Job run on {name()} by {name()} ended well at last" for _ in range(9)]
+    rows = [(f"{i:03}", t) for i, t in enumerate(texts)]
+    got = keyed(templates.drop_templates(spark.createDataFrame(rows, "doc_id string, text string")), "doc_id", "text", "n_lines", "n_dropped")
+    late = {f"{i:03}": i for i in range(len(texts))}
+    assert got == [(f"{i:03}", *r) for i, *r in sorted(brute_templates([(late[i], t) for i, t in rows]))]
+    dropped = [r[3] for r in got]
+    assert sum(dropped[:20]) == 18 and sum(dropped[20:104]) == 0 and sum(dropped[104:]) == 17
+
+
 def brute_alike(rows):
     """component_id of each row by links of two bits or 0.8 of the five-word shingles."""
     group = brute_groups([brute_fingerprint(t) for _, t in rows], 2)
