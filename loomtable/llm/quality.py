@@ -1,14 +1,16 @@
 """Quality rules as a short-circuit cascade, in DataFrame operations only.
 
-Each rule is a Column that says whether a text fails. On a bounded sample each rule's cost (seconds) and selectivity
-(share rejected) are measured; rules then run in order of rejections per second, and a row that fails one skips the
-rest. The order changes the work, never the verdict: a row is kept if no rule rejects it.
+Each rule is a Column that says whether a text fails. On a bounded sample, drawn by a hash of the texts, each rule's
+selectivity (share rejected) is measured, and its cost: what the rule reads there (characters, words, lines) times what
+one of these costs, a stated figure. Rules then run in order of rejections per cost, and a row that fails one skips the
+rest. The order changes the work, never the verdict: a row is kept if no rule rejects it. One sample gives one order,
+whatever else the machine does.
 """
 
 from __future__ import annotations
 
-import time
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +19,7 @@ from loomtable.llm.common import SPACES, let, words
 
 SYMBOLS = "#*$%&|<>"
 GRAM = 5
-#: Rows, and characters of each, on which costs are measured; results never depend on them.
+#: Rows, and characters of each, on which costs are estimated; results never depend on them.
 SAMPLE_ROWS, SAMPLE_CHARS = 400, 20_000
 
 
@@ -33,8 +35,18 @@ def full_lines(text: Column) -> Column:
     return F.filter(F.split(text, "\n"), lambda x: F.length(F.translate(x, SPACES, "")) > 0)
 
 
-def dup_lines(text: Column) -> Column:
-    return let(full_lines(text), lambda x: F.size(x) - F.size(F.array_distinct(x)))
+def line_counts(text: Column) -> Column:
+    """n, dup: lines with a word, and those of them that are equal to an earlier one."""
+    return let(full_lines(text), lambda x: F.struct(F.size(x).alias("n"), (F.size(x) - F.size(F.array_distinct(x))).alias("dup")))
+
+
+def gram_hashes(w: Column) -> Column:
+    """A 64-bit hash of each window of five words, made of pairs: two of two words, and one more."""
+    n = F.size(w)
+    both = lambda a, b: F.xxhash64(a, b)
+    pairs = F.zip_with(F.slice(w, F.lit(1), n - 1), F.slice(w, F.lit(2), n - 1), both)
+    fours = let(pairs, lambda p: F.zip_with(F.slice(p, F.lit(1), n - 3), F.slice(p, F.lit(3), n - 3), both))
+    return F.when(n >= GRAM, F.zip_with(fours, F.slice(w, F.lit(GRAM), n - GRAM + 1), both)).otherwise(F.array().cast("array<bigint>"))
 
 
 def repeat_words(w: Column) -> Column:
@@ -43,8 +55,6 @@ def repeat_words(w: Column) -> Column:
     Windows are compared by a 64-bit hash. Texts without a repeated window, most of them, end at the distinct count;
     the others sort (hash, place) once, so the work is n log n in the text's length.
     """
-    places = F.sequence(F.lit(0), F.size(w) - GRAM)
-    hashes = F.when(F.size(w) >= GRAM, F.transform(places, lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(GRAM)]))).otherwise(F.array().cast("array<bigint>"))
 
     def covered(h: Column) -> Column:
         pairs = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
@@ -53,7 +63,7 @@ def repeat_words(w: Column) -> Column:
         steps = let(at, lambda p: F.transform(p, lambda v, j: F.least(F.lit(GRAM), F.coalesce(F.get(p, j + 1) - v, F.lit(GRAM)))))
         return F.aggregate(steps, F.lit(0), lambda a, x: a + x)
 
-    return let(hashes, lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(covered(h)))
+    return let(gram_hashes(w), lambda h: F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0)).otherwise(covered(h)))
 
 
 def upper(text: Column) -> Column:
@@ -64,74 +74,120 @@ def letters(text: Column) -> Column:
     return F.length(F.regexp_replace(text, r"\P{L}+", ""))
 
 
-#: Rule by name: from the text (never null) and its word array, whether the text fails.
-RULES: dict[str, object] = {
-    "few_words": lambda t, w: F.size(w) < 10,
-    "word_length": lambda t, w: (word_chars(t) < 2 * F.size(w)) | (word_chars(t) > 20 * F.size(w)),
-    "symbols": lambda t, w: 10 * count_of(t, SYMBOLS) > F.size(w),
-    "dup_lines": lambda t, w: let(full_lines(t), lambda x: 100 * (F.size(x) - F.size(F.array_distinct(x))) > 50 * F.size(x)),
-    "stutter": lambda t, w: 100 * F.size(F.filter(w, lambda x, i: (i > 0) & (x == F.get(w, i - 1)))) > 30 * F.size(w),
-    "upper": lambda t, w: 2 * upper(t) > letters(t),
-    "repeats": lambda t, w: 100 * repeat_words(w) > 20 * F.size(w),
+@dataclass(frozen=True)
+class Facts:
+    """What rules ask of a text (never null) and its words; where ``known`` has a count it is not made again."""
+
+    text: Column
+    words: Column
+    known: Column | None = None
+
+    def _of(self, name: str, make: Callable[[], Column]) -> Column:
+        return make() if self.known is None else self.known[name]
+
+    @property
+    def n(self) -> Column:
+        return self._of("n", lambda: F.size(self.words))
+
+    @property
+    def chars(self) -> Column:
+        return self._of("chars", lambda: word_chars(self.text))
+
+    @property
+    def marks(self) -> Column:
+        return self._of("marks", lambda: count_of(self.text, SYMBOLS))
+
+    @property
+    def lines(self) -> Column:
+        return self._of("lines", lambda: line_counts(self.text))
+
+    @property
+    def repeated(self) -> Column:
+        return self._of("repeated", lambda: repeat_words(self.words))
+
+
+@dataclass(frozen=True)
+class Rule:
+    """Whether a text fails, and what that costs: nanoseconds for a character and for a word, as timed on one core."""
+
+    fails: Callable[[Facts], Column]
+    char_ns: float = 0.0
+    word_ns: float = 0.0
+
+
+RULES: dict[str, Rule] = {
+    "few_words": Rule(lambda x: x.n < 10, word_ns=0.1),
+    "word_length": Rule(lambda x: let(x.chars, lambda c: (c < 2 * x.n) | (c > 20 * x.n)), char_ns=25),
+    "symbols": Rule(lambda x: 10 * x.marks > x.n, char_ns=25),
+    "dup_lines": Rule(lambda x: let(x.lines, lambda y: 100 * y["dup"] > 50 * y["n"]), char_ns=30),
+    "stutter": Rule(lambda x: 100 * F.size(F.filter(x.words, lambda v, i: (i > 0) & (v == F.get(x.words, i - 1)))) > 30 * x.n, word_ns=250),
+    "upper": Rule(lambda x: 2 * upper(x.text) > letters(x.text), char_ns=60),
+    "repeats": Rule(lambda x: 100 * x.repeated > 20 * x.n, word_ns=900),
 }
+#: Rules that decide ``base_failed`` of ``report``.
+BASE = ("few_words", "repeats")
 
 
-def estimate(docs: DataFrame, text: str = "text", rules: Mapping = RULES) -> list[tuple[str, float, float]]:
-    """(rule, seconds, share rejected) on the first rows, in the order of the cascade: most rejections a second first.
+def estimate(docs: DataFrame, text: str = "text", rules: Mapping[str, Rule] = RULES) -> list[tuple[str, float, float]]:
+    """(rule, nanoseconds a row, share rejected) on the sample, in the order of the cascade: most rejections for their cost first.
 
-    Only ``SAMPLE_ROWS`` beginnings of texts are measured. Equal ranks keep the rules' own order; an empty table keeps it throughout.
+    The sample are the ``SAMPLE_ROWS`` texts that are first by their hash, their beginnings alone. One job. Equal ranks keep
+    the rules' own order; an empty table keeps it throughout.
     """
-    spark = docs.sparkSession
-    rows = docs.select(F.substring(F.coalesce(F.col(text), F.lit("")), 1, SAMPLE_CHARS).alias("t")).take(SAMPLE_ROWS)
-    if not rows:
-        return [(name, 0.0, 0.0) for name in rules]
-    sample = spark.createDataFrame([(r.t,) for r in rows], "t string").coalesce(1).withColumn("w", words(F.col("t")))
-    found = []
-    for name, rule in rules.items():
-        began = time.perf_counter()
-        share = sample.agg(F.avg(rule(F.col("t"), F.col("w")).cast("int"))).first()[0]
-        found.append((name, time.perf_counter() - began, float(share)))
-    return sorted(found, key=lambda x: -x[2] / max(x[1], 1e-9))
-
-
-def verdict(text: Column, w: Column, order: Sequence[str], rules: Mapping = RULES) -> Column:
+    t = F.coalesce(F.col(text), F.lit(""))
+    sample = docs.select(F.substring(t, 1, SAMPLE_CHARS).alias("t"), F.xxhash64(t).alias("h")).orderBy("h", "t").limit(SAMPLE_ROWS).withColumn("w", words(F.col("t")))
+    x = Facts(F.col("t"), F.col("w"))
+    cost = lambda r: F.length("t") * F.lit(float(r.char_ns)) + F.size("w") * F.lit(float(r.word_ns))
+    found = sample.agg(*[F.avg(r.fails(x).cast("int")).alias(f"share_{n}") for n, r in rules.items()], *[F.avg(cost(r)).alias(f"cost_{n}") for n, r in rules.items()]).first()
+    ranks = [(n, float(found[f"cost_{n}"] or 0), float(found[f"share_{n}"] or 0)) for n in rules]
+    return sorted(ranks, key=lambda r: -r[2] / max(r[1], 1e-9))
+
+
+def verdict(x: Facts, order: Sequence[str], rules: Mapping[str, Rule] = RULES) -> Column:
     """True if no rule rejects; later rules run only for what the earlier ones passed."""
     kept = F.lit(True)
     for name in reversed(order):
-        kept = F.when(rules[name](text, w), F.lit(False)).otherwise(kept)
+        kept = F.when(rules[name].fails(x), F.lit(False)).otherwise(kept)
     return kept
 
 
-def keep_good(docs: DataFrame, text: str = "text", rules: Mapping = RULES) -> DataFrame:
+def keep_good(docs: DataFrame, text: str = "text", rules: Mapping[str, Rule] = RULES) -> DataFrame:
     """The rows that no rule rejects, with all columns as they were. Null and empty texts have no words and go.
 
-    Rows that repeat an id are judged each by its own text; an empty table stays empty; no column is added, so names can't clash.
+    Texts of any length are judged whole. Rows that repeat an id are judged each by its own text; an empty table stays
+    empty; no column is added, so names can't clash. Nothing hangs on order, so there are no ties.
     """
-    order = [x[0] for x in estimate(docs, text, rules)]
+    order = [r[0] for r in estimate(docs, text, rules)]
     t = F.coalesce(F.col(text), F.lit(""))
-    return docs.where(let(words(t), lambda w: verdict(t, w, order, rules)))
+    return docs.where(let(words(t), lambda w: verdict(Facts(t, w), order, rules)))
 
 
-def report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rules: Mapping = RULES) -> DataFrame:
+def report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", rules: Mapping[str, Rule] = RULES) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept of every row.
 
-    Null and empty texts count 0 throughout and fail. kept is false where base_failed, else the cascade's verdict over
-    the other rules. Rows that repeat an id are judged each; an empty table gives no rows; other columns are ignored.
+    Null and empty texts count 0 throughout and fail; texts of any length are counted whole. kept is false where
+    base_failed, else the cascade's verdict over the other rules, which only then run, on the counts that are there
+    anyway. Rows that repeat an id are judged each; an empty table gives no rows; other columns are ignored.
     """
-    order = [x[0] for x in estimate(docs, text, rules) if x[0] not in ("few_words", "repeats")]
+    order = [r[0] for r in estimate(docs, text, rules) if r[0] not in BASE]
     t = F.col("t")
     seen = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("t"))
-    both = let(words(t), lambda w: F.struct(F.size(w).alias("n"), repeat_words(w).alias("r"), verdict(t, w, order, rules).alias("ok")))
-    base = (F.col("x.n") < 10) | (100 * F.col("x.r") > 20 * F.col("x.n"))
-    return seen.withColumn("x", both).select(
-        "doc_id",
-        F.col("x.n").cast("long").alias("n_words"),
-        word_chars(t).cast("long").alias("word_chars"),
-        count_of(t, SYMBOLS).cast("long").alias("n_symbols"),
-        dup_lines(t).cast("long").alias("n_dup_lines"),
-        F.col("x.r").cast("long").alias("n_repeat_words"),
-        base.alias("base_failed"),
-        (~base & F.col("x.ok")).alias("kept"),
+
+    def counts(w: Column) -> Column:
+        return F.struct(
+            F.size(w).alias("n"), word_chars(t).alias("chars"), count_of(t, SYMBOLS).alias("marks"), line_counts(t).alias("lines"), repeat_words(w).alias("repeated"),
+        )
+
+    def judged(w: Column, k: Column) -> Column:
+        x = Facts(t, w, k)
+        base = rules["few_words"].fails(x) | rules["repeats"].fails(x)
+        return let(base, lambda b: F.struct(k.alias("k"), b.alias("failed"), F.when(b, F.lit(False)).otherwise(verdict(x, order, rules)).alias("kept")))
+
+    rows = seen.withColumn("x", let(words(t), lambda w: let(counts(w), lambda k: judged(w, k))))
+    long = lambda name: F.col(f"x.k.{name}").cast("long")
+    return rows.select(
+        "doc_id", long("n").alias("n_words"), long("chars").alias("word_chars"), long("marks").alias("n_symbols"), long("lines.dup").alias("n_dup_lines"),
+        long("repeated").alias("n_repeat_words"), F.col("x.failed").alias("base_failed"), F.col("x.kept").alias("kept"),
     )
 
 
