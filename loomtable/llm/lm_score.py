@@ -7,7 +7,11 @@ the target model's loss less the background model's, so low scores are close to
     p(w | v) = L * c(v, w) / c(v) + (1 - L) * (c(w) + 1) / (N + V)
 
 with L = 0 where the model has not seen v. A document begins with a start symbol; the end of a document is an event
-of its own, so c(v) counts every v. Counts are exact and grow with the corpus; none is capped or sampled.
+of its own, so c(v) counts every v. A document never scores itself: its own counts are taken out of every c and N, in the
+target model if it is part of that. Thus what only it says is unseen by both models, and what another document says as
+well is not. Both models have one order, one vocabulary and one smoothing; the background covers all documents, since a
+sample of the target's size would not know most repeats. Counts grow with the corpus; none is capped or sampled. Words
+are told apart by 63 bits and pairs by 63, so a sum may, once in some 10^9 different ones, hold two of them.
 
 Documents are dealt into blocks by a hash of their id. A block asks for each of its different words and pairs once:
 it sends their hashes with its own counts, packed and cut by ranges of the hash, so a word that a third of all texts
@@ -73,6 +77,20 @@ class Block:
         self.pairs, self.pair, n = np.unique(pairs, return_inverse=True, return_counts=True)
         self.n_pairs = n, np.bincount(self.pair, self.target, len(n))
 
+    def own(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of each place, how often its document has the word, the word before it (the start: once) and the pair."""
+
+        def times(values: np.ndarray, asked: np.ndarray) -> np.ndarray:
+            width = np.int64(max(len(self.words), len(self.pairs)) + 1)
+            keys, n = np.unique(self.doc * width + values, return_counts=True)
+            wanted = self.doc * width + asked
+            at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+            return np.where(keys[at] == wanted, n[at], 1)
+
+        if not len(self.doc):
+            return (np.empty(0, np.int64),) * 3
+        return times(self.at, self.at), times(self.at, self.before), times(self.pair, self.pair)
+
 
 def _dealt(docs: DataFrame, labels: DataFrame, label: str, blocks: int) -> DataFrame:
     """Texts and labels of a block together."""
@@ -88,9 +106,9 @@ def score(docs: DataFrame, labels: DataFrame, label: str = "quality", good: int
     """doc_id, n_tokens, loss_target, loss_background, score of every row.
 
     Words are runs without space, tab to carriage return, with A-Z in lower case. Null and empty texts have no words and
-    null scores. If no document has the label, the target model is uniform over the vocabulary. Labels with a null id or
-    value are left out; of several for an id the largest counts. Rows that repeat an id are counted and scored each; a
-    row with a null id is background. An empty table gives no rows; other columns are ignored.
+    null scores; a text of any length is read whole. If no other document has the label, the target model is uniform over the
+    vocabulary. Labels with a null id or value are left out; of several for an id the largest counts. Rows that repeat an id
+    are counted and scored each; a row with a null id is background. An empty table gives no rows; other columns are ignored.
     """
     if good != 1:
         labels = labels.withColumn(label, (F.col(label) == good).cast("int"))
@@ -143,18 +161,19 @@ def score(docs: DataFrame, labels: DataFrame, label: str = "quality", good: int
     def read(key: tuple, rows: pa.Table, answers: pa.Table) -> pa.Table:
         b = Block(rows)
         answers = answers.sort_by([("pair", "ascending"), ("range", "ascending")])
-        losses = []
+        losses, own, whole = [], b.own(), b.lens[b.doc]
         for c, size in (("t", sizes[1]), ("n", sizes[0])):
+            mine = b.target if c == "t" else np.ones(len(b.doc), bool)
             words, pairs = (
                 np.concatenate([np.empty(0), *[_unpack(x, np.uint64).astype(np.float64) for x in answers.filter(pa.compute.equal(answers.column("pair"), p)).column(c).to_pylist()]])
                 for p in (0, 1)
             )
             if len(words) != len(b.words) or len(pairs) != len(b.pairs):
                 raise RuntimeError("a block's documents changed between the two reads")
-            context = words[b.before]
-            p = (words[b.at] + 1) / (size + vocabulary)
+            context = words[b.before] - mine * own[1]
+            p = (words[b.at] - mine * own[0] + 1) / (size - mine * whole + vocabulary)
             seen = np.where(context > 0, MIX, 0.0)
-            p = (1 - seen) * p + seen * pairs[b.pair] / np.maximum(context, 1)
+            p = (1 - seen) * p + seen * (pairs[b.pair] - mine * own[2]) / np.maximum(context, 1)
             losses.append(np.bincount(b.doc, -np.log(p), len(b.lens)) / np.maximum(b.lens, 1))
         none = b.lens == 0
         cols = [pa.array(x, mask=none) for x in (losses[0], losses[1], losses[0] - losses[1])]
@@ -177,12 +196,18 @@ u AS (SELECT w, count(*) AS b, count(*) FILTER (WHERE good) AS g FROM t GROUP BY
 c AS (SELECT * FROM u UNION ALL SELECT '', count(*), count(*) FILTER (WHERE good) FROM d WHERE len(ws) > 0),
 p AS (SELECT v, w, count(*) AS b, count(*) FILTER (WHERE good) AS g FROM t GROUP BY v, w),
 s AS (SELECT count(*) AS vocabulary, sum(b) AS b, sum(g) AS g FROM u),
+o AS (SELECT doc_id, good, v, w, count(*) AS k FROM t GROUP BY ALL),
+x AS (SELECT doc_id, w, count(*) AS k FROM t GROUP BY ALL),
+e AS (
+  SELECT o.doc_id, o.k, vocabulary, p.b - o.k AS pb, p.g - o.k * q AS pg, c.b - coalesce(y.k, 1) AS cb, c.g - coalesce(y.k, 1) * q AS cg,
+         u.b - x.k + 1 AS ub, u.g - x.k * q + 1 AS ug, s.b - len(d.ws) + vocabulary AS nb, coalesce(s.g, 0) - len(d.ws) * q + vocabulary AS ng
+  FROM (SELECT *, CASE WHEN good THEN 1 ELSE 0 END AS q FROM o) o JOIN d ON o.doc_id = d.doc_id JOIN p ON o.v = p.v AND o.w = p.w JOIN c ON o.v = c.w JOIN u ON o.w = u.w
+  JOIN x ON o.doc_id = x.doc_id AND o.w = x.w LEFT JOIN x y ON o.doc_id = y.doc_id AND o.v = y.w, s),
 m AS (
-  SELECT p.v, p.w,
-    -ln(CASE WHEN c.b > 0 THEN 0.5 * p.b / c.b + 0.5 * (u.b + 1) / (s.b + vocabulary) ELSE CAST(u.b + 1 AS DOUBLE) / (s.b + vocabulary) END) AS lb,
-    -ln(CASE WHEN c.g > 0 THEN 0.5 * p.g / c.g + 0.5 * (u.g + 1) / (s.g + vocabulary) ELSE CAST(u.g + 1 AS DOUBLE) / (s.g + vocabulary) END) AS lg
-  FROM p JOIN c ON p.v = c.w JOIN u ON p.w = u.w, s)
-SELECT d.doc_id, CAST(any_value(len(ws)) AS BIGINT) AS n_tokens, round(avg(lg), 6) AS loss_target, round(avg(lb), 6) AS loss_background, round(avg(lg - lb), 6) AS score
-FROM d LEFT JOIN t ON d.doc_id = t.doc_id LEFT JOIN m ON t.v = m.v AND t.w = m.w
-GROUP BY d.doc_id
+  SELECT doc_id, sum(k) AS k,
+    sum(-k * ln(CASE WHEN cb > 0 THEN 0.5 * pb / cb + 0.5 * ub / nb ELSE CAST(ub AS DOUBLE) / nb END)) AS lb,
+    sum(-k * ln(CASE WHEN cg > 0 THEN 0.5 * pg / cg + 0.5 * ug / ng ELSE CAST(ug AS DOUBLE) / ng END)) AS lg
+  FROM e GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_tokens, round(lg / k, 6) AS loss_target, round(lb / k, 6) AS loss_background, round((lg - lb) / k, 6) AS score
+FROM d LEFT JOIN m ON d.doc_id = m.doc_id
 """
