@@ -153,7 +153,7 @@ def known_table(spark: SparkSession, known: Mapping[str, list[str]] = KNOWN) ->
 def scan(docs: DataFrame, known: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, digest (of the whole text), license (of the whole text, or null), line_licenses (sorted, comma-joined) of every row.
 
-    Null, empty and wordless texts have the digest of nothing and no licence; so has any table of ``known`` (digest,
+    A text of any length is looked up whole. Null, empty and wordless texts have the digest of nothing and no licence; so has any table of ``known`` (digest,
     license) that lists that digest. Lines that have no word are not looked up. If ``known`` repeats a digest the first
     licence by name counts. Rows that repeat an id are scanned each, an empty table gives no rows, other columns are
     ignored. The join is left to the planner: a small table of digests is broadcast below its checked threshold, and a
@@ -173,7 +173,8 @@ def scan(docs: DataFrame, known: DataFrame, doc_id: str = "doc_id", text: str =
 
     one = known.where(F.col("digest") != empty).groupBy("digest").agg(F.min("license").alias("license"))
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("t")).mapInArrow(run, f"doc_id {kind}, digest string, lines array<string>")
-    rows = written(rows.select("*", F.xxhash64("doc_id", "digest", "lines").alias("row")))
+    key = F.unhex(F.md5(F.concat_ws("\n", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "digest", F.array_join("lines", ","))))
+    rows = written(rows.withColumn("row", key))  # rows that share it have the same licences
     hits = rows.select("row", "digest", F.explode("lines").alias("line")).join(one.withColumnRenamed("digest", "line"), "line")
     by_row = hits.groupBy("row").agg(
         F.min(F.when(F.col("line") == F.col("digest"), F.col("license"))).alias("license"),
