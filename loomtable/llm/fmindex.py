@@ -9,6 +9,7 @@ their first, all at once, and found rows walk back to the next sampled suffix po
 
 from __future__ import annotations
 
+import itertools
 import re
 from collections.abc import Iterable, Iterator
 
@@ -119,7 +120,7 @@ class Phrases:
         for item, text in items:
             w = [self.ids.setdefault(x, len(self.ids) + 2) for x in tokens(text)]
             for i in range(max(len(w) - window, 0) + 1 if w else 0):
-                whose.setdefault(tuple(w[i : i + window]), set()).add(str(item))
+                whose.setdefault(tuple(w[i : i + window]), set()).update([] if item is None else [str(item)])
         by: dict[int, list[tuple[int, ...]]] = {}
         for p in whose:
             by.setdefault(len(p), []).append(p)
@@ -189,13 +190,23 @@ def shards(batches: Iterator[pa.RecordBatch], words: int = SHARD_WORDS) -> Itera
         yield pa.Table.from_batches(held), docs
 
 
-def passes(benchmark: DataFrame, item_id: str, text: str, most: int) -> Iterator[tuple[list[tuple[object, str]], int]]:
-    """The benchmark's items in groups of about ``most`` bytes at most (or of one larger text), and how many groups follow."""
+def passes(benchmark: DataFrame, item_id: str, text: str, most: int) -> Iterator[list[tuple[object, str]]]:
+    """The benchmark's items in groups of ``most`` bytes at most (or of one larger text), packed one after another.
+
+    Items come to the driver a partition at a time, and partitions are dealt by size, so it never holds much more than two
+    groups, however many items there are or how many are alike.
+    """
     items = benchmark.select(F.col(item_id).alias("i"), F.col(text).alias("t")).where("t is not null")
     total = items.agg(F.sum(F.octet_length("t").cast("long"))).first()[0] or 0
-    n = 1 if total <= most else -(-2 * total // most)
-    for k in range(n):
-        yield [(r.i, r.t) for r in items.where(F.pmod(F.xxhash64("t"), F.lit(n)) == k).collect()], n - 1 - k
+    group, size = [], 0
+    for r in items.repartition(max(1, -(-total // most)), F.xxhash64("i", "t", F.monotonically_increasing_id())).toLocalIterator():
+        n = len(r.t.encode())
+        if group and size + n > most:
+            yield group
+            group, size = [], 0
+        group.append((r.i, r.t))
+        size += n
+    yield group
 
 
 def scan(
@@ -207,29 +218,59 @@ def scan(
     A word is hit if an occurrence of a window covers it; an item of fewer words than the window is one window. With
     ``cut`` a column clean_text follows: the text without the merged spans of hit words (null stays null).
 
-    Null and empty texts have no words and no hits, items without words are never found, an empty benchmark hits nothing
-    and an empty table gives no rows. Items that repeat an id or a text all count. Rows that repeat a doc_id are searched
-    each. Columns outside ``keep`` are ignored, whatever their names; names in ``keep`` must differ from the others here.
-    A benchmark of more than ``most`` bytes is searched in passes; rows go through the shared folder between them.
+    Null and empty texts have no words and no hits, a text of any length is searched whole, items without words are never
+    found, an empty benchmark hits nothing and an empty table gives no rows. Items that repeat a text are all named, an id
+    that several items share is named once, and an item without an id hits words but has no name. Rows that repeat a
+    doc_id are searched each. Columns outside ``keep`` are ignored, whatever their names; names in ``keep`` must differ
+    from the others here. A benchmark of more than ``most`` bytes is searched in passes over the texts, each of which
+    writes no more than the hits; the last one brings them together with the rows.
     """
     kept = [c for c in keep if c != doc_id]
-    now = docs.select(
-        F.col(doc_id).alias("doc_id"), F.col(text).alias("__text"), F.lit(None).cast("binary").alias("__mask"),
-        F.array().cast("array<string>").alias("__items"), *[F.col(f"`{c}`") for c in kept],
-    )
+    now = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("__text"), *[F.col(f"`{c}`") for c in kept])
     kind = now.schema["doc_id"].dataType.simpleString()
-    middle = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in now.schema.fields)
-    last = ", ".join([f"doc_id {kind}, n_words long, n_hit long, items array<string>", *[f"`{f.name}` {f.dataType.simpleString()}" for f in now.schema.fields[4:]], *["clean_text string"] * cut])
-    for group, more in passes(benchmark, item_id, item_text, most):
-        sent = docs.sparkSession.sparkContext.broadcast(group)  # about ``most`` bytes
-        run = _searcher(sent, window, bool(more), cut)
-        now = now.mapInArrow(run, middle if more else last)
-        if more:
-            now = written(now)
-    return now
-
-
-def _searcher(sent, window: int, more: bool, cut: bool):
+    out = ", ".join([f"doc_id {kind}, n_words long, n_hit long, items array<string>", *[f"`{f.name}` {f.dataType.simpleString()}" for f in now.schema.fields[2:]], *["clean_text string"] * cut])
+    groups = passes(benchmark, item_id, item_text, most)
+    first, more = next(groups), next(groups, None)
+    send = docs.sparkSession.sparkContext.broadcast  # ``most`` bytes, or one text
+    none = [F.lit(None).cast("binary").alias("__mask"), F.array().cast("array<string>").alias("__items")]
+    if more is None:
+        return now.select("doc_id", "__text", *none, *[F.col(f"`{c}`") for c in kept]).mapInArrow(_searcher(send(first), window, cut), out)
+    # A text's hits are the same in every row that holds it, so they are kept by text.
+    key = [F.xxhash64("__text").alias("__k1"), F.xxhash64(F.lit(1), "__text").alias("__k2")]
+    texts = now.select(*key, "__text").where("__text is not null")
+    found = None
+    for group in itertools.chain([first, more], groups):
+        part = written(texts.mapInArrow(_finder(send(group), window), "__k1 long, __k2 long, mask binary, items array<string>"))
+        found = part if found is None else found.unionByName(part)
+    hits = found.groupBy("__k1", "__k2").agg(F.collect_set("mask").alias("__masks"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("__items"))
+    rows = now.select("doc_id", "__text", *key, *[F.col(f"`{c}`") for c in kept]).join(hits, ["__k1", "__k2"], "left")
+    one = F.udf(_together, "binary")("__masks").alias("__mask")
+    rows = rows.select("doc_id", "__text", one, F.coalesce("__items", F.array().cast("array<string>")).alias("__items"), *[F.col(f"`{c}`") for c in kept])
+    return rows.mapInArrow(_searcher(send([]), window, cut), out)
+
+
+def _together(masks: list[bytes] | None) -> bytes | None:
+    """The packed masks of one text from all passes as one; called for texts with hits alone."""
+    return np.bitwise_or.reduce([np.frombuffer(m, np.uint8) for m in masks]).tobytes() if masks else None
+
+
+def _finder(sent, window: int):
+    """Of rows (k1, k2, text), those with hits: the keys, the packed mask and the items."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        phrases = Phrases(sent.value, window)
+        for rows, words in shards((b.select([0, 2, 1]) for b in batches)):
+            got = [(k, np.packbits(m).tobytes(), sorted(items)) for k, (m, items) in enumerate(phrases.hits(words)) if m is not None]
+            at = pa.array([g[0] for g in got], pa.int64())
+            cols = [rows.column(0).take(at), rows.column(2).take(at), pa.array([g[1] for g in got], pa.binary()), pa.array([g[2] for g in got], pa.list_(pa.string()))]
+            yield from pa.Table.from_arrays(cols, names=["__k1", "__k2", "mask", "items"]).combine_chunks().to_batches()
+
+    return run
+
+
+def _searcher(sent, window: int, cut: bool):
+    """Rows (doc_id, text, mask, items, ...) searched for the phrases sent, together with the hits that they bring along."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         phrases = Phrases(sent.value, window)
         for rows, words in shards(batches):
@@ -240,18 +281,13 @@ def _searcher(sent, window: int, more: bool, cut: bool):
                     mask = old if mask is None else mask | old
                 masks.append(mask)
                 items.append(sorted(found.union(had)))
-            names = rows.column_names
-            if more:
-                packed = pa.array([None if m is None else np.packbits(m).tobytes() for m in masks], pa.binary())
-                cols = [rows.column(0), rows.column(1), packed, pa.array(items, pa.list_(pa.string())), *rows.columns[4:]]
-            else:
-                names = ["doc_id", "n_words", "n_hit", "items", *names[4:], *["clean_text"] * cut]
-                cols = [
-                    rows.column(0), pa.array([len(w) for w in words], pa.int64()),
-                    pa.array([0 if m is None else int(m.sum()) for m in masks], pa.int64()), pa.array(items, pa.list_(pa.string())), *rows.columns[4:],
-                ]
-                if cut:
-                    cols.append(pa.array([t if m is None else without(t, m) for t, m in zip(rows.column(1).to_pylist(), masks, strict=True)], pa.string()))
+            names = ["doc_id", "n_words", "n_hit", "items", *rows.column_names[4:], *["clean_text"] * cut]
+            cols = [
+                rows.column(0), pa.array([len(w) for w in words], pa.int64()),
+                pa.array([0 if m is None else int(m.sum()) for m in masks], pa.int64()), pa.array(items, pa.list_(pa.string())), *rows.columns[4:],
+            ]
+            if cut:
+                cols.append(pa.array([t if m is None else without(t, m) for t, m in zip(rows.column(1).to_pylist(), masks, strict=True)], pa.string()))
             yield from pa.Table.from_arrays(cols, names=names).combine_chunks().to_batches()
 
     return run
@@ -281,3 +317,18 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS ws FROM documents),
+b AS (SELECT item_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS ws FROM benchmark),
+i AS (SELECT DISTINCT item_id, least(len(ws), 10) AS n, array_to_string(ws[k:k+9], ' ') AS win FROM (SELECT *, unnest(generate_series(1, greatest(len(ws) - 9, 1))) AS k FROM b WHERE len(ws) > 0)),
+l AS (SELECT DISTINCT n FROM i),
+s AS (SELECT doc_id, n, k, array_to_string(ws[k:k+n-1], ' ') AS win FROM (SELECT doc_id, ws, n, unnest(generate_series(1, len(ws) - n + 1)) AS k FROM d, l WHERE len(ws) >= n)),
+h AS (SELECT s.doc_id, s.k, s.n, i.item_id FROM s JOIN i ON s.n = i.n AND s.win = i.win),
+c AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(generate_series(k, k + n - 1)) AS p FROM h) GROUP BY doc_id),
+t AS (SELECT doc_id, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item_id FROM h WHERE item_id IS NOT NULL) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN c ON d.doc_id = c.doc_id LEFT JOIN t ON d.doc_id = t.doc_id
+"""

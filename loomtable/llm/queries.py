@@ -76,6 +76,7 @@ ORACLES: dict[str, str] = {
     "op2_lm_score": lm_score.SQL,
     "op3_license_digests": licenses.sql(),
     "op5_rlz": rlz.SQL,
+    "op6_fm_index": fmindex.SQL,
     "op7_quality_rules": quality.SQL,
     "op9_mixing": mixing.SQL.format(docs="documents", keep="doc_id,"),
 }
