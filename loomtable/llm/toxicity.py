@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
@@ -49,6 +50,12 @@ _UNSEEN = "\u00ad\u200b\u200c\u200d\u2060\ufeff"
 LONGEST = 40
 _LEET = r"0-9@$!|+(<€£¡*#"
 _LETTER = r"a-zà-öø-ÿ"
+#: Letters of other scripts that look like Latin ones (fixed by the look of the characters). They are read as such in words that have Latin letters too.
+ALIKE = {
+    "а": "a", "в": "b", "с": "c", "ԁ": "d", "е": "e", "ё": "e", "ғ": "f", "һ": "h", "н": "h", "і": "i", "ї": "i", "ј": "j", "к": "k", "ӏ": "l", "м": "m", "п": "n", "о": "o", "р": "p",
+    "ԛ": "q", "г": "r", "ѕ": "s", "т": "t", "ц": "u", "ѵ": "v", "ԝ": "w", "х": "x", "у": "y", "α": "a", "β": "b", "ε": "e", "η": "n", "ι": "i", "κ": "k", "ν": "v", "ο": "o",
+    "ρ": "p", "τ": "t", "υ": "u", "χ": "x", "ω": "w", "ı": "i",
+}
 #: Tokens with a choice: look-alikes beside a letter, three or more single characters set apart, a character thrice.
 DISGUISED = re.compile(
     rf"(?<![{_LETTER}{_LEET}])(?:"
@@ -57,7 +64,11 @@ DISGUISED = re.compile(
     rf"|[{_LETTER}]*([{_LETTER}])\1\1[{_LETTER}]*"
     rf")(?![{_LETTER}])"
 )
-_WORDS = re.compile(rf"[{_LETTER}]+")
+#: Words of letters of any script. A mark that combines with a letter is part of its word.
+_WORDS = re.compile(r"(?:[^\W\d_][\u0300-\u036f]*)+")
+_FOREIGN = re.compile("[" + "".join(ALIKE) + "]")
+_LATIN = re.compile("[a-z]")
+_TO_LATIN = str.maketrans(ALIKE)
 
 
 def char_counts(docs: DataFrame, text: str = "text") -> np.ndarray:
@@ -152,13 +163,20 @@ class Restorer:
         return "".join(reversed(out))
 
     def words(self, text: str | None) -> list[str]:
-        """The words of a text in lower case as written, then the disguised ones as restored."""
+        """The words of a text in lower case as written, then the disguised ones as restored.
+
+        Forms of a character that differ in width or style count as the plain one. In words that mix Latin letters with
+        look-alikes of another script, each look-alike has one reading, the Latin letter, so they need no lattice.
+        """
         if not text:
             return []
-        low = text.lower()
-        for c in _UNSEEN:
-            if c in low:
-                low = low.replace(c, "")
+        low = (text if text.isascii() else unicodedata.normalize("NFKC", text)).lower()
+        if not low.isascii():
+            for c in _UNSEEN:
+                if c in low:
+                    low = low.replace(c, "")
+            if _FOREIGN.search(low):
+                low = _WORDS.sub(lambda m: m.group().translate(_TO_LATIN) if _LATIN.search(m.group()) else m.group(), low)
         found = _WORDS.findall(low)
         for m in DISGUISED.finditer(low):
             token = m.group()
@@ -198,12 +216,16 @@ def known_features(words: list[str], known: dict[str, float], roots: set[str], s
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, folds: int, out: int, rows: int) -> DataFrame:
-    """text, y of the first ``rows`` labelled documents by a hash of their id, without the held-out fold ``out``."""
+    """text, y of the first ``rows`` labelled documents by a hash of their id, without the held-out fold ``out``.
+
+    One row for each id, whatever the number of rows that repeat it: the first text in order, so ``rows`` bounds the sample.
+    """
     ids = (
         labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & (crc_mod(F.col("doc_id"), folds) != out))
         .groupBy("doc_id").agg(F.max(label).alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     )
-    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("text", "y")  # ``rows`` ids at most
+    found = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")  # ``rows`` ids at most
+    return found.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("y").alias("y")).select("text", "y")
 
 
 def fit(docs: DataFrame, labels: DataFrame, lm: np.ndarray, rows: int = FIT_ROWS) -> tuple[dict[str, float], float]:
@@ -285,7 +307,7 @@ def logistic(rows: list[list[int]], y: np.ndarray, n: np.ndarray, width: int, l2
 def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.7, rows: int = FIT_ROWS) -> DataFrame:
     """doc_id, held_out, score, predicted of every row.
 
-    Null and empty texts have no words and score the bias alone. Without both kinds of label all rows score the share
+    Words are of any script; a text of any length is read whole. Null and empty texts have no words and score the bias alone. Without both kinds of label all rows score the share
     of toxic labels. Labels with a null id or value are left out; of several for an id the largest counts. Rows that
     repeat an id are scored each; a null id is not held out. An empty table gives no rows; other columns are ignored.
     """
