@@ -22,8 +22,8 @@ from loomtable.llm.toxicity import training_rows
 
 #: Labelled rows that the classifier is fitted on, the first by a hash of their id: its only sample.
 FIT_ROWS = 10_000
-#: Rows of the sample that an indicator must be found in.
-LEAST_ROWS = 5
+#: Rows of the sample that an indicator must be found in, and the most indicators (those in most rows) that the model may have.
+LEAST_ROWS, FEATURES = 5, 1_000_000
 C, EPOCHS, SMOOTH = 0.1, 20, 1.0
 
 _SHAPE = bytes(65 if 65 <= c <= 90 else 97 if 97 <= c <= 122 else 48 if 48 <= c <= 57 else c for c in range(256))
@@ -152,7 +152,7 @@ def _unnamed(name: bytes) -> bytes | tuple[bytes, ...]:
 def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, rows: int = FIT_ROWS) -> DataFrame:
     """doc_id, held_out, score, predicted of every row.
 
-    Null and empty texts have one indicator, that there is no word. Without both kinds of label all rows score the
+    A text of any length is read whole. Null and empty texts have one indicator, that there is no word. Without both kinds of label all rows score the
     share of good labels (0.5 without any). Labels with a null id or value are left out; of several for an id the
     largest counts. Rows that repeat an id are scored each; a null id is not held out. An empty table gives no rows;
     other columns are ignored.
@@ -165,7 +165,7 @@ def score(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, rows: int
 
     seen = written(training_rows(docs, labels, "quality", 5, 0, rows).mapInArrow(gather, "names array<binary>, y int"))
     known = seen.select(F.explode("names").alias("name")).groupBy("name").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_ROWS)
-    index = {bytes(r.name): k for k, r in enumerate(known.select("name").orderBy("name").collect())}  # of ``rows`` rows, five for each at least
+    index = {bytes(r.name): k for k, r in enumerate(known.orderBy(F.desc("n"), "name").limit(FEATURES).collect())}
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
