@@ -67,14 +67,15 @@ def mix(
 
     size is the number of words (null and empty texts: 0, and take nothing). A null source is a source of its own, the
     last. taken counts words over all epochs: whole epochs times size, and in the last epoch the row's words up to the
-    source's exact budget, the whole part of its target. Rows that repeat an id are rows like any other: equal keys go
-    by size, and rows equal in both may swap. An empty table gives no rows. Columns outside ``keep`` are ignored,
+    source's exact budget, the whole part of its target; a text of any length is counted whole. Rows that repeat an id are
+    rows like any other: equal keys go by size, then by a hash of the text, so only equal rows may swap. Rows without an id
+    have the key of their text, so they are spread as well. An empty table gives no rows. Columns outside ``keep`` are ignored,
     whatever their names; names in ``keep`` must differ from the five.
     """
     buckets = max(1, min(MOST_BUCKETS, -(-docs.count() // ROWS_A_BUCKET)))
-    key = F.md5(F.coalesce(F.col(doc_id).cast("string"), F.lit("")).cast("binary"))
+    key = F.md5(F.coalesce(F.col(doc_id).cast("string"), F.concat(F.lit(" "), F.col(text)), F.lit("")).cast("binary"))
     rows = docs.select(
-        F.col(doc_id).alias("doc_id"), F.col(source).alias("__source"), n_words(F.col(text)).alias("size"), key.alias("__key"),
+        F.col(doc_id).alias("doc_id"), F.col(source).alias("__source"), n_words(F.col(text)).alias("size"), key.alias("__key"), F.xxhash64(F.col(text)).alias("__hash"),
         *[F.col(f"`{c}`") for c in keep if c != "doc_id"],
     ).withColumn("__bucket", F.floor(F.conv(F.substring("__key", 1, 8), 16, 10).cast("long") * buckets / F.lit(1 << 32)).cast("int"))
     sums = rows.groupBy("__source", "__bucket").agg(F.sum("size").alias("part"))
@@ -89,7 +90,7 @@ def mix(
             epochs.alias("__epochs"), (budget - epochs * F.col("source_size")).alias("__rest"),
         )
     )
-    inside = W.partitionBy("__source", "__bucket").orderBy("__key", "doc_id", "size").rowsBetween(W.unboundedPreceding, 0)
+    inside = W.partitionBy("__source", "__bucket").orderBy("__key", "doc_id", "size", "__hash").rowsBetween(W.unboundedPreceding, 0)
     placed = rows.withColumn("__before", F.sum("size").over(inside) - F.col("size")).join(
         plan, F.col("__source").eqNullSafe(F.col("p_source")) & (F.col("__bucket") == F.col("p_bucket"))
     )
