@@ -37,8 +37,9 @@ def with_reason(listings: DataFrame, schema: Schema, *, deduplicate: bool = True
 
     Reasons come in order: empty title, invalid attributes, duplicate of an earlier valid listing (same title and
     attributes; the smallest ``seq`` stays, A06), no image. Duplicates are found before images are looked at, so a
-    first copy without an image takes the others with it. Only hashes and order go through the shuffle's sort; a hash
-    that many rows share is reduced to its smallest ``seq`` before the shuffle.
+    first copy without an image takes the others with it. ``seq`` tells rows apart. Hashes of valid rows alone are shuffled
+    and reduced to their smallest ``seq`` before that, so a hash that a third of all rows share is one row a task; listings
+    meet the ``seq`` of duplicates, and stay where they are while those are few enough for the planner to broadcast.
     """
     rows = normalised(listings).withColumn("content_hash", X.content_hash(F.col("title"), F.col("attributes")))
     first = F.when(F.col("title") == "", F.lit("empty_title")).when(~valid(F.col("attributes"), schema), F.lit("invalid_attrs"))
@@ -46,11 +47,13 @@ def with_reason(listings: DataFrame, schema: Schema, *, deduplicate: bool = True
     no_image = F.size(F.coalesce("image_urls", F.array().cast("array<string>"))) == 0
     last = F.when(no_image, F.lit("missing_images")) if require_images else F.lit(None).cast("string")
     if deduplicate:
-        by_hash = W.partitionBy(F.col("__first").isNull(), "content_hash").orderBy(seq)
-        again = F.when(F.col("__first").isNull() & (F.row_number().over(by_hash) > 1), F.lit("duplicates"))
+        hashes = rows.where("__first is null").select("content_hash", seq)
+        many = hashes.groupBy("content_hash").agg(F.min(seq).alias("__least"), F.count("*").alias("__n")).where("__n > 1")
+        later = hashes.join(many, "content_hash").where(F.col(seq) > F.col("__least")).select(seq, F.lit("duplicates").alias("__again"))
+        rows = rows.join(later, seq, "left")
     else:
-        again = F.lit(None).cast("string")
-    return rows.withColumn("__again", again).withColumn("drop_reason", F.coalesce("__first", "__again", last)).drop("__first", "__again")
+        rows = rows.withColumn("__again", F.lit(None).cast("string"))
+    return rows.withColumn("drop_reason", F.coalesce("__first", "__again", last)).drop("__first", "__again")
 
 
 def clean(listings: DataFrame, schema: Schema, **options) -> DataFrame:

@@ -36,6 +36,16 @@ def results_table(results: DataFrame, what: str = "per_attribute", run: str = "r
     return results.select(F.col(run).alias("run"), F.posexplode(F.map_entries(what)).alias("ord", "e")).select("run", "ord", F.col("e.key").alias("name"), F.col("e.value").alias("accuracy"))
 
 
+def compared(paths: Sequence[str], names: Sequence[str] | None = None) -> str:
+    """The report over result files (G07); runs are called by their folders unless named."""
+    from pathlib import Path
+
+    from loomtable.sources.files import load_result
+
+    names = names or [Path(p).parent.name or Path(p).stem for p in paths]
+    return report([(n, load_result(p)) for n, p in zip(names, paths, strict=True)])
+
+
 def _table(title: str, first: str, runs: Sequence[str], rule: str, rows: list[tuple[str, list[float]]]) -> list[str]:
     head = [f"## {title}\n", f"| {first} | " + " | ".join(runs) + " |", rule + "|".join(["----------"] * len(runs)) + "|"]
     return [*head, *["| " + " | ".join([name, *(f"{v:.1%}" for v in values)]) + " |" for name, values in rows], ""]

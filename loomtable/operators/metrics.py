@@ -14,12 +14,10 @@ UNKNOWN = "unknown"
 
 
 def paired(predictions: DataFrame, truths: DataFrame, seq: str = "seq") -> DataFrame:
-    """seq, prediction, ground_truth of rows that belong together (J01); raises if one side has a row without the other."""
+    """seq, prediction, ground_truth of rows that belong together (J01); the job fails if one side has a row without the other."""
     both = predictions.select(seq, "prediction", F.lit(True).alias("__p")).join(truths.select(seq, "ground_truth", F.lit(True).alias("__t")), seq, "full_outer")
-    alone = both.where("__p is null or __t is null").limit(1).count()
-    if alone:
-        raise ValueError("predictions and truths differ in their rows")
-    return both.drop("__p", "__t")
+    alone = F.raise_error("predictions and truths differ in their rows").cast("boolean")
+    return both.where(F.when(F.col("__p").isNull() | F.col("__t").isNull(), alone).otherwise(True)).drop("__p", "__t")
 
 
 def _same(p: Column, t: Column, key: Column) -> Column:
@@ -76,6 +74,13 @@ def evaluate(rows: DataFrame, attributes: Sequence[str], category_field: str | N
     }
 
 
+def nested(result: dict) -> dict:
+    """A run's metrics as reports of benchmarks nest them (P13): overall figures, then one object for each attribute and category."""
+    overall = {k: result[k] for k in ("exact_match", "total_samples", "timestamp")}
+    parts = {"per_attribute": result["per_attribute"], "category_breakdown": result.get("category_breakdown") or {}}
+    return overall | {what: {name: {"accuracy": value} for name, value in found.items()} for what, found in parts.items()}
+
+
 def label_shares(rows: DataFrame, label: str, top: int = 20) -> DataFrame:
     """The ``top`` most frequent labels with their share of all rows."""
     counts = rows.groupBy(label).agg(F.count("*").alias("n"))

@@ -17,7 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomtable.plans.config import Pagination, Site
+from loomtable.operators.split import in_order
+from loomtable.plans.config import Settings
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _HIDDEN = frozenset(("script", "style", "template"))
@@ -208,7 +209,7 @@ def detail(html: str | None, url: str, selectors: dict[str, str]) -> tuple[str,
     return title, [urljoin(url, image)] if image else [], found
 
 
-def index(html: str | None, url: str, listing: str, pagination: Pagination) -> tuple[list[str], str | None]:
+def index(html: str | None, url: str, listing: str, pagination: Settings) -> tuple[list[str], str | None]:
     """listing_urls and next_page_url of an index page."""
     root = parse(html)
     links = [urljoin(url, u) for u in every(root, listing)]
@@ -234,7 +235,7 @@ def details(pages: DataFrame, selectors: dict[str, str], keep: tuple[str, ...] =
     return pages.select("url", "html", *keep).mapInArrow(run, "url string, title string, image_urls array<string>, attributes map<string,string>" + kinds)
 
 
-def indexes(pages: DataFrame, site: Site, keep: tuple[str, ...] = ()) -> DataFrame:
+def indexes(pages: DataFrame, site: Settings, keep: tuple[str, ...] = ()) -> DataFrame:
     """url, listing_urls, next_page_url of index pages."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -249,7 +250,7 @@ def indexes(pages: DataFrame, site: Site, keep: tuple[str, ...] = ()) -> DataFra
     return pages.select("url", "html", *keep).mapInArrow(run, "url string, listing_urls array<string>, next_page_url string" + kinds)
 
 
-def next_page(pagination: Pagination, found: str | None, scraped: int) -> str | None:
+def next_page(pagination: Settings, found: str | None, scraped: int) -> str | None:
     """Address of the page after ``scraped`` ones."""
     if pagination.type == "next_link":
         return found
@@ -258,38 +259,40 @@ def next_page(pagination: Pagination, found: str | None, scraped: int) -> str |
     raise NotImplementedError("infinite scroll needs a browser: see ``scrolled``")
 
 
-def numbered_pages(spark, pagination: Pagination, base_url: str) -> DataFrame:
+def numbered_pages(spark, pagination: Settings, base_url: str) -> DataFrame:
     """page, url of all pages that a pattern names; the first is ``base_url``."""
     ids = spark.range(1, pagination.max_pages + 1).select(F.col("id").alias("page"))
     made = F.replace(F.lit(pagination.url_pattern or ""), F.lit("{page}"), F.col("page").cast("string"))
     return ids.select("page", F.when(F.col("page") == 1, F.lit(base_url)).otherwise(made).alias("url"))
 
 
-def crawl(pages: DataFrame, site: Site) -> DataFrame:
+def crawl(pages: DataFrame, site: Settings) -> DataFrame:
     """Listings of a site over stored pages (url, html): S15 with L01 and L02.
 
-    Index pages follow one another, so their addresses are found one by one on the driver, ``max_pages`` at most; links
-    join the pages (J08) and details are taken in parallel. A page that is missing raises, as a failed fetch does. A link
-    that several index pages have is fetched for each.
+    Each index page is parsed once for its onward link. The walk over these links doubles its length with each join
+    (pages 1 to n, then n + 1 to 2n by links that go n pages on), so ``max_pages`` pages take a few joins of addresses and
+    no job each; details are taken in parallel (J08). A page that is missing raises, as a failed fetch does. A link that several
+    index pages have is fetched for each. A walk that comes back to a page ends there.
     """
-    spark = pages.sparkSession
+    spark, most = pages.sparkSession, site.pagination.max_pages
     if site.pagination.type == "page_number":
         front = numbered_pages(spark, site.pagination, site.base_url)
     else:
-        links, url, order = indexes(pages, site).select("url", "next_page_url"), site.base_url, []
-        while url is not None and len(order) < site.pagination.max_pages:
-            row = links.where(F.col("url") == url).first()
-            if row is None:
-                raise LookupError(f"page not found: {url}")
-            order.append((len(order) + 1, url))
-            url = next_page(site.pagination, row.next_page_url, len(order))
-        front = spark.createDataFrame(order, "page long, url string")
-    found = indexes(front.join(pages, "url"), site, keep=("page",)).select("page", F.posexplode("listing_urls").alias("pos", "url"))
+        jump = indexes(pages, site).select("url", F.col("next_page_url").alias("to"))
+        front, steps = spark.createDataFrame([(1, site.base_url)], "page long, url string"), 1
+        while steps < most and site.pagination.type == "next_link":
+            front = front.unionByName(front.join(jump, "url").where("to is not null").select((F.col("page") + steps).alias("page"), F.col("to").alias("url")))
+            jump = jump.join(jump.select(F.col("url").alias("to"), F.col("to").alias("on")), "to").select("url", F.col("on").alias("to"))
+            steps *= 2
+        front = front.where(F.col("page") <= most).groupBy("url").agg(F.min("page").alias("page"))  # a walk in a circle ends where it began
+    front = front.join(pages.select("url", "html", F.lit(True).alias("there")), "url", "left")
+    gone = F.raise_error(F.concat(F.lit("page not found: "), F.col("url"))).cast("string")
+    front = front.select("page", "url", F.when(F.col("there").isNull(), gone).otherwise(F.col("html")).alias("html"))
+    found = indexes(front, site, keep=("page",)).select("page", F.posexplode("listing_urls").alias("pos", "url"))
     if site.max_listings:
         found = found.orderBy("page", "pos").limit(site.max_listings)
     have = found.join(pages.select("url", "html", F.lit(True).alias("there")), "url", "left")
-    if have.where("there is null").limit(1).count():
-        raise LookupError("a listing's page was not found")
+    have = have.withColumn("html", F.when(F.col("there").isNull(), gone).otherwise(F.col("html")))
     got = details(have, site.detail_selectors, keep=("page", "pos"))
     return got.orderBy("page", "pos").select("url", "title", "image_urls", "attributes")
 
@@ -299,15 +302,15 @@ def unseen(links: DataFrame, seen: DataFrame, url: str = "url") -> DataFrame:
     return links.select(url).distinct().join(seen.select(url), url, "left_anti")
 
 
-def scrolled(snapshots: DataFrame, site: Site) -> DataFrame:
+def scrolled(snapshots: DataFrame, site: Settings) -> DataFrame:
     """Addresses by the order in which scrolling shows them (S16): snapshots (scroll, url, html) of one page, each address
     at its first scroll and place; the first scroll that shows none that is new ends it (X03), as ``max_pages`` does (L03)."""
-    from pyspark.sql.window import Window as W
-
     one = snapshots.where(F.col("scroll") <= site.pagination.max_pages)
     rows = indexes(one, site, keep=("scroll",)).select("scroll", F.posexplode_outer("listing_urls").alias("pos", "link"))
     first_seen = rows.where("link is not null").groupBy("link").agg(F.min(F.struct("scroll", "pos")).alias("at")).select("link", "at.scroll", "at.pos")
     fresh = one.select("scroll").distinct().join(first_seen.groupBy("scroll").count(), "scroll", "left")
     stop = fresh.where("count is null and scroll > 1").agg(F.coalesce(F.min("scroll"), F.lit(1 << 31)).alias("stop"))  # one row
-    got = first_seen.crossJoin(F.broadcast(stop)).where("scroll < stop").select("link", F.row_number().over(W.orderBy("scroll", "pos")).alias("seq"))
-    return got.where(F.col("seq") <= site.max_listings) if site.max_listings else got
+    got = first_seen.crossJoin(F.broadcast(stop)).where("scroll < stop").select("link", F.struct("scroll", "pos").alias("at"))
+    if site.max_listings:
+        got = got.orderBy("at").limit(site.max_listings)
+    return in_order(got, "at").select("link", (F.col("place") + 1).alias("seq"))

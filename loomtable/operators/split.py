@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from loomtable.plans.config import check_ratio
+from loomtable.plans.config import shares
 
 ROWS_A_RANGE = 50_000
 MISSING = "_unknown_"
@@ -39,6 +39,15 @@ def ranked(df: DataFrame, key: str, seed: int, by: Sequence[str] = ()) -> DataFr
     return placed.withColumn("rank", (F.col("__before") + F.col("__in")).cast("long")).drop("__h", "__r", "__in", "__before", *names)
 
 
+def in_order(df: DataFrame, seq: str) -> DataFrame:
+    """``df`` with place, from 0, in order of ``seq``: range-sorted, numbered inside each range, shifted by the ranges before it."""
+    rows = df.repartitionByRange(seq).sortWithinPartitions(seq).withColumn("__p", F.spark_partition_id()).withColumn("__at", F.monotonically_increasing_id())
+    counts = rows.groupBy("__p").agg(F.count("*").alias("__n"), F.min("__at").alias("__first"))
+    before = F.sum("__n").over(W.orderBy("__p")) - F.col("__n")  # a row for each range
+    shifts = counts.select("__p", (before - F.col("__first")).alias("__shift"))
+    return rows.join(shifts, "__p").withColumn("place", F.col("__at") + F.col("__shift")).drop("__p", "__at", "__shift")
+
+
 def part_of(rank: Column, n: Column, ratio: tuple[float, float, float]) -> Column:
     """train, val or test by rank: floors of the first two shares, the rest is test."""
     train = F.floor(n * F.lit(float(ratio[0])))
@@ -51,7 +60,7 @@ def split(
 ) -> DataFrame:
     """``df`` with a column split (U05). With a category each category is split by itself (U06), a missing one as a
     category of its own; if any category has a single row, all rows are split together instead (A07)."""
-    ratio = check_ratio(ratio)
+    ratio = shares(ratio)
     if category is not None:
         counts = df.groupBy(F.coalesce(F.col(category).cast("string"), F.lit(MISSING)).alias("c")).count()
         least = counts.agg(F.min("count")).first()[0]
@@ -62,6 +71,11 @@ def split(
     return rows.withColumn("split", part_of(F.col("rank"), F.col("n"), ratio)).drop("rank", "n")
 
 
+def reshuffled(rows: DataFrame, key: str, seed: int = 42, split: str = "split") -> DataFrame:
+    """Split rows with place, from 1, in a new seeded order inside each part (O06): categories no longer stand together."""
+    return ranked(rows, key, seed + 1, (split,)).withColumnRenamed("rank", "place").drop("n")
+
+
 def sample(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
     """``n`` rows by the seeded order, all if ``n`` is 0 or too large."""
     return df.orderBy(order_hash(seed, F.col(key)), key).limit(n) if n else df
@@ -74,9 +88,12 @@ def limited(df: DataFrame, seq: str, n: int | None) -> DataFrame:
 
 def cycled(df: DataFrame, seq: str, n: int, skip: int = 0) -> DataFrame:
     """``n`` requests that go round the rows in order after the first ``skip`` (W06): i and the row's columns."""
-    rows = df.withColumn("__k", F.row_number().over(W.orderBy(seq)) - 1)  # a benchmark's few records
-    size = rows.count()
+    size = df.count()
     if not size:
-        return rows.select(F.lit(0).cast("long").alias("i"), *df.columns).limit(0)
-    asked = df.sparkSession.range(n).select(F.col("id").alias("i"), F.pmod(F.col("id") + skip, F.lit(size)).cast("int").alias("__k"))
+        return df.select(F.lit(0).cast("long").alias("i"), *df.columns)
+    rows = df.orderBy(seq).limit(min(size, skip % size + n) if n < size else size)  # no more than the requests reach
+    if skip % size + n > size:
+        rows = df
+    rows = in_order(rows, seq).withColumnRenamed("place", "__k")
+    asked = df.sparkSession.range(n).select(F.col("id").alias("i"), F.pmod(F.col("id") + skip, F.lit(size)).alias("__k"))
     return asked.join(rows, "__k").drop("__k")

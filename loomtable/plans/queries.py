@@ -7,13 +7,16 @@ conversations are chat rows, events are chunks of requests, pages are pages.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomtable.functions import text as X
-from loomtable.operators import chat, clean, compare, images, ingest, latency, metrics, pages, split
-from loomtable.plans.schema import Attribute, Schema
+from loomtable.operators import chat, clean, compare, images, ingest, latency, metrics, pages, predict, split
+from loomtable.sources import files, sinks
+from loomtable.plans.config import Settings
+from loomtable.plans.schema import Attribute, Schema, attribute_table, json_schema, system_prompt, value_prompt
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -398,9 +401,11 @@ def j05(spark, d):
     return compare.delta(_runs(spark, d), "name", "a", "b").select("name", F.round("delta", 6).alias("delta"), "sign")
 
 
-@query("u02_attribute_union", "SELECT 'p_brand' AS name UNION ALL SELECT 'p_type' UNION ALL SELECT 'p_size'")
+@query("u02_attribute_union", "SELECT name FROM (SELECT DISTINCT p_type AS name FROM part WHERE p_size < 5 UNION SELECT DISTINCT p_brand FROM part WHERE p_size > 45)")
 def u02(spark, d):
-    return compare.across(_runs(spark, d), "name", ["a", "b"]).select("name")
+    p = table(spark, d, "part")
+    one = lambda rows, name, run: rows.groupBy(F.col(name).alias("name")).agg(F.avg("p_size").alias("accuracy"), F.min("p_partkey").alias("ord")).withColumn("run", F.lit(run))
+    return compare.across(one(p.where("p_size < 5"), "p_type", "a").unionByName(one(p.where("p_size > 45"), "p_brand", "b")), "name", ["a", "b"]).select("name")
 
 
 @query("a18_seed_spread", "SELECT p_brand, round(avg(p_retailprice), 6) AS mean, round(stddev_samp(p_retailprice), 6) AS std, count(*) AS runs FROM part GROUP BY p_brand")
@@ -549,25 +554,70 @@ def t10(spark, d):
 
 @query("t11_nav_links", r"""SELECT page_id, list_sort(regexp_extract_all(regexp_extract(html, '<nav>(.*?)</nav>', 1), '<a href="([^"]*)"', 1))[1] AS least, len(regexp_extract_all(regexp_extract(html, '<nav>(.*?)</nav>', 1), '<a href="([^"]*)"', 1)) AS n FROM pages""")
 def t11(spark, d):
-    from loomtable.plans.config import Site
-
-    got = pages.indexes(table(spark, d, "pages").select("page_id", F.lit("").alias("url"), "html"), Site("x", "", "nav ul li a@href", {}), keep=("page_id",))
+    site = Settings("site", name="x", base_url="", listing_selector="nav ul li a@href", detail_selectors={})
+    got = pages.indexes(table(spark, d, "pages").select("page_id", F.lit("").alias("url"), "html"), site, keep=("page_id",))
     return got.select("page_id", F.array_min("listing_urls").alias("least"), F.size("listing_urls").cast("long").alias("n"))
 
 
-@query("p09_index_pages")
+@query("p09_index_pages", r"""SELECT url, pos - 1 AS pos, concat(regexp_extract(url, '^https?://[^/]+'), links[pos]) AS link, concat(regexp_extract(url, '^https?://[^/]+'), links[2]) AS next_page_url
+FROM (SELECT url, links, unnest(generate_series(1, len(links))) AS pos FROM (SELECT url, regexp_extract_all(regexp_extract(html, '<nav>(.*?)</nav>', 1), '<a href="([^"]*)"', 1) AS links FROM pages))""")
 def p09(spark, d):
-    from loomtable.plans.config import Pagination, Site
-
-    site = Site("x", "", "nav li a@href", {}, Pagination(selector="nav li:nth-child(2) a@href"))
+    site = Settings("site", name="x", base_url="", listing_selector="nav li a@href", detail_selectors={}, pagination={"selector": "nav li:nth-child(2) a@href"})
     return pages.indexes(table(spark, d, "pages"), site).select("url", F.posexplode("listing_urls").alias("pos", "link"), "next_page_url")
 
 
-@query("t13_resolve")
+@query("t13_resolve", r"""SELECT page_id, concat(regexp_replace(regexp_replace(regexp_extract(url, '^[^?#]*'), '[^/]*$', ''), '[^/]*/$', CASE WHEN regexp_matches(regexp_extract(url, '^[^?#]*'), '^https?://[^/]+/[^/]*$') THEN '\\0' ELSE '' END), 'a?b=c#d') AS link FROM pages""")
 def t13(spark, d):
     return table(spark, d, "pages").select("page_id", X.resolve_url(F.col("url"), F.lit("../a?b=c#d")).alias("link"))
 
 
+@query("t12_joined_text", "SELECT p_partkey, concat(p_brand, p_type, p_size) AS text FROM part")
+def t12(spark, d):
+    html = F.concat(F.lit("<div>\n "), F.col("p_brand"), F.lit(" <b> "), F.col("p_type"), F.lit("</b><script>no</script><p>\t"), F.col("p_size"), F.lit("</div>tail"))
+    got = pages.details(parts(spark, d).select(F.lit("").alias("url"), html.alias("html"), "p_partkey"), {"t": "div"}, keep=("p_partkey",))
+    return got.select("p_partkey", F.col("attributes")["t"].alias("text"))
+
+
+@query("f06_matches_with_a_value", "SELECT p_partkey, CASE WHEN p_size % 3 = 0 THEN 1 ELSE 2 END AS n FROM part")
+def f06(spark, d):
+    html = F.concat(F.lit('<a class="i" href="/x">x</a><a class="i" href="'), F.when(F.col("p_size").cast("int") % 3 == 0, "").otherwise(F.col("p_size")), F.lit('">y</a><a class="i">z</a>'))
+    site = Settings("site", name="x", base_url="", listing_selector="a.i@href", detail_selectors={})
+    got = pages.indexes(parts(spark, d).select(F.lit("http://h/").alias("url"), html.alias("html"), "p_partkey"), site, keep=("p_partkey",))
+    return got.select("p_partkey", F.size("listing_urls").alias("n"))
+
+
+@query("t14_numbered_pages", "SELECT i AS page, CASE WHEN i = 1 THEN 'http://h/' ELSE concat('http://h/p', i, '?q=', i) END AS url FROM (SELECT unnest(generate_series(1, 40)) AS i)")
+def t14(spark, d):
+    return pages.numbered_pages(spark, Settings("pagination", type="page_number", url_pattern="http://h/p{page}?q={page}", max_pages=40), "http://h/")
+
+
+def _stored_site(spark, d):
+    """Parts as a site: ten to an index page, each page with a link to the next one."""
+    p = parts(spark, d).withColumn("page", F.ceil(F.col("p_partkey") / 10).cast("long"))
+    items = p.select(F.concat(F.lit("http://h/item/"), F.col("p_partkey")).alias("url"), F.concat(F.lit("<h1>"), F.col("p_name"), F.lit('</h1><p class="t">'), F.col("p_type"), F.lit('</p><img src="../i/'), F.col("p_partkey"), F.lit('.jpg">')).alias("html"))
+    link = F.concat(F.lit('<a class="i" href="/item/'), F.col("p_partkey"), F.lit('">x</a>'))
+    front = p.groupBy("page").agg(F.array_join(F.array_sort(F.collect_list(F.struct("p_partkey", link.alias("a")))).getField("a"), "").alias("a"))
+    front = front.select(F.concat(F.lit("http://h/"), F.col("page")).alias("url"), F.concat("a", F.lit('<li class="next"><a href="/'), F.col("page") + 1, F.lit('">n</a></li>')).alias("html"))
+    return items.unionByName(front)
+
+
+@query("j08_crawl", "SELECT concat('http://h/item/', p_partkey) AS url, p_name AS title, p_type AS t, concat('http://h/i/', p_partkey, '.jpg') AS image FROM part WHERE p_partkey BETWEEN 1 AND 110")
+def j08(spark, d):
+    site = Settings("site", name="x", base_url="http://h/1", listing_selector="a.i@href", detail_selectors={"title": "h1", "t": "p.t", "image": "img@src"}, pagination={"selector": "li.next a@href", "max_pages": 11})
+    return pages.crawl(_stored_site(spark, d), site).select("url", "title", F.col("attributes")["t"].alias("t"), F.get("image_urls", F.lit(0)).alias("image"))
+
+
+@query("s16_scrolled", "SELECT concat('http://h/', p_partkey) AS link, row_number() OVER (ORDER BY scroll, p_partkey) AS seq FROM (SELECT p_partkey, p_size AS scroll FROM part WHERE p_partkey <= 150) WHERE scroll < coalesce((SELECT min(i) FROM (SELECT unnest(generate_series(2, 50)) AS i) WHERE i <= (SELECT max(p_size) FROM part WHERE p_partkey <= 150) AND i NOT IN (SELECT p_size FROM part WHERE p_partkey <= 150)), 1000)")
+def s16(spark, d):
+    p = table(spark, d, "part").where("p_partkey <= 150")
+    last = p.agg(F.max("p_size").alias("last"))
+    shots = spark.range(1, 51).select(F.col("id").cast("int").alias("scroll")).join(last, F.col("scroll") <= F.col("last"))
+    link = F.concat(F.lit('<a class="i" href="'), F.col("p_partkey"), F.lit('">x</a>'))
+    shown = shots.join(p, F.col("p_size") <= F.col("scroll"), "left").groupBy("scroll").agg(F.array_join(F.array_sort(F.collect_list(F.struct("p_partkey", link.alias("a")))).getField("a"), "").alias("html"))
+    site = Settings("site", name="x", base_url="", listing_selector="a.i@href", detail_selectors={})
+    return pages.scrolled(shown.withColumn("url", F.lit("http://h/")), site)
+
+
 @query("j09_unseen", "SELECT DISTINCT p_brand AS url FROM part WHERE p_brand NOT IN (SELECT p_brand FROM part WHERE p_size = 1)")
 def j09(spark, d):
     p = table(spark, d, "part").withColumn("url", F.col("p_brand"))
@@ -602,14 +652,18 @@ def j06(spark, d):
     return chat.resolve_images(rows, have, "dir").select("seq", "image")
 
 
-@query("a14_any_image", "SELECT true AS any_image")
+@query("a14_any_image", "SELECT doc_id % 5 AS part, bool_or(doc_id % 10 <> 0) AS any_image, count(*) FILTER (WHERE doc_id % 10 <> 0) AS images FROM documents GROUP BY 1 ORDER BY 1")
 def a14(spark, d):
-    return listings(spark, d).agg(F.bool_or(F.size("image_urls") > 0).alias("any_image"))
+    rows = listings(spark, d).select((F.col("seq") % 5).alias("part"), F.col("image_urls").alias("local_paths"))
+    each = [images.totals(rows.where(F.col("part") == k)).withColumn("part", F.lit(k).cast("long")) for k in range(5)]
+    return reduce(DataFrame.unionByName, each).select("part", "any_image", "images")
 
 
-@query("o01_sorted_entries", "SELECT p_partkey AS seq, 'p_brand,p_size,p_type' AS keys FROM part")
+@query("o01_sorted_entries", "SELECT p_partkey AS seq, array_to_string(list_sort([p_type, p_brand, CAST(p_size AS VARCHAR)]), ',') AS keys, array_to_string(list_transform(list_sort([p_type || '=t', p_brand || '=b', p_size || '=s']), lambda x: x[-1]), '') AS kinds FROM part")
 def o01(spark, d):
-    return part_listings(spark, d).select("seq", F.array_join(F.transform(X.sorted_entries(F.col("attributes")), lambda e: e["key"]), ",").alias("keys"))
+    made = F.create_map(F.col("p_type"), F.lit("t"), F.col("p_brand"), F.lit("b"), F.col("p_size"), F.lit("s"))
+    rows = parts(spark, d).select(F.col("p_partkey").alias("seq"), X.sorted_entries(made).alias("e"))
+    return rows.select("seq", F.array_join(F.transform("e", lambda e: e["key"]), ",").alias("keys"), F.array_join(F.transform("e", lambda e: e["value"]), "").alias("kinds"))
 
 
 @query("x_event_windows", "SELECT strftime(time_bucket(INTERVAL '1 hour', ts), '%Y-%m-%d %H:%M:%S') AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
@@ -617,3 +671,147 @@ def x_windows(spark, d):
     e = table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
     got = e.groupBy(F.window("ts", "1 hour"), "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
     return got.select(F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("start"), "event_type", "n", "total")
+
+
+# Rows that other queries only pass through
+
+
+@query("p02_explicit_mapping", "SELECT p_partkey AS seq, p_brand AS maker, CAST(p_size AS VARCHAR) AS size, 2 AS n FROM part")
+def p02(spark, d):
+    got = ingest.to_listings(parts(spark, d).withColumnRenamed("p_partkey", "row"), ingest.Mapping("p_name", attribute_fields={"maker": "p_brand", "size": "p_size", "gone": "nowhere"}), seq="row")
+    a = F.col("attributes")
+    return got.select("seq", a["maker"].alias("maker"), a["size"].alias("size"), F.size(a).alias("n"))
+
+
+@query("p04_reserved", "SELECT p_partkey AS seq, p_size AS size, 1 AS n FROM part")
+def p04(spark, d):
+    got = ingest.to_listings(parts(spark, d).withColumnRenamed("p_partkey", "row"), ingest.Mapping("p_name", "p_brand", None, "p_type"), seq="row")
+    return got.select("seq", F.col("attributes")["p_size"].cast("int").alias("size"), F.size("attributes").alias("n"))
+
+
+@query("w03_ordinals", "SELECT p_partkey AS seq, i - 1 AS img_idx, words[i] AS image_url FROM (SELECT p_partkey, string_split(p_name, ' ') AS words, unnest(generate_series(1, len(string_split(p_name, ' ')))) AS i FROM part)")
+def w03(spark, d):
+    return images.of_listings(table(spark, d, "part").select(F.col("p_partkey").alias("seq"), F.split("p_name", " ").alias("image_urls")))
+
+
+@query("w04_first_blocks", "SELECT p_partkey, p_name AS text, CASE WHEN p_size % 2 = 0 THEN p_brand END AS image, CASE WHEN p_size % 3 = 0 THEN p_type ELSE p_name END AS last FROM part")
+def w04(spark, d):
+    block = lambda kind, x: F.concat(F.lit(f'{{"type": "{kind}", "{kind}": '), X.json_text(x), F.lit("}"))
+    size = F.col("p_size").cast("int")
+    picture = F.when(size % 2 == 0, F.array(block("image", F.col("p_brand")), block("image", F.lit("second")))).otherwise(F.array().cast("array<string>"))
+    said = F.when(size % 3 == 0, F.array(block("text", F.col("p_name")), block("text", F.col("p_type")))).otherwise(F.array(block("text", F.col("p_name"))))
+    content = F.concat(F.lit("["), F.array_join(F.concat(picture, said), ", "), F.lit("]"))
+    rows = parts(spark, d).select("p_partkey", content.alias("c"))
+    return rows.select("p_partkey", chat.user_text(F.col("c")).alias("text"), chat.user_image(F.col("c")).alias("image"), chat.user_text(F.col("c"), last=True).alias("last"))
+
+
+@query("o02_categories_in_order", "SELECT string_agg(DISTINCT p_brand, ',' ORDER BY p_brand) AS names FROM part")
+def o02(spark, d):
+    rows = metrics.by_category(predictions(spark, d), "p_brand")
+    return split.in_order(rows.select("category"), "category").agg(F.array_join(F.array_sort(F.collect_list(F.struct("place", "category"))).getField("category"), ",").alias("names"))
+
+
+@query("o04_newest", "SELECT concat('m/checkpoint-', max(p_partkey)) AS name FROM part")
+def o04(spark, d):
+    return files.newest_of(table(spark, d, "part").select(F.concat(F.lit("m/checkpoint-"), F.col("p_partkey")).alias("name")))
+
+
+@query("l05_shares", "SELECT p_partkey, CASE WHEN r <= floor(n * CAST(0.7 AS DOUBLE)) THEN 'train' WHEN r <= floor(n * CAST(0.7 AS DOUBLE)) + floor(n * CAST(0.2 AS DOUBLE)) THEN 'val' ELSE 'test' END AS split FROM (SELECT p_partkey, p_size AS n, p_partkey % p_size + 1 AS r FROM part)")
+def l05(spark, d):
+    return table(spark, d, "part").select("p_partkey", split.part_of(F.col("p_partkey") % F.col("p_size") + 1, F.col("p_size"), (0.7, 0.2, 0.1)).alias("split"))
+
+
+@query("l07_tail", "SELECT p_partkey AS seq, p_name AS value FROM part ORDER BY p_partkey DESC LIMIT 30")
+def l07(spark, d):
+    return sinks.tail(table(spark, d, "part").select(F.col("p_partkey").alias("seq"), F.col("p_name").alias("value")), 30)
+
+
+@query("o06_reshuffled", f"SELECT doc_id, split, row_number() OVER (PARTITION BY split ORDER BY md5('43|' || doc_id)) AS place FROM (SELECT doc_id, {_PART_OF} FROM (SELECT doc_id, row_number() OVER (PARTITION BY lang ORDER BY md5('42|' || doc_id)) AS rn, count(*) OVER (PARTITION BY lang) AS n FROM documents))")
+def o06(spark, d):
+    return split.reshuffled(split.split(table(spark, d, "documents").select("doc_id", "lang"), "doc_id", category="lang"), "doc_id").select("doc_id", "split", "place")
+
+
+@query("t04_python_spelling", "SELECT p_partkey, CASE WHEN p_size % 2 = 0 THEN 'True' ELSE 'False' END AS a, 'None' AS b, concat('[', chr(39), p_brand, chr(39), ', ', p_size, ']') AS c, p_type AS d FROM part")
+def t04(spark, d):
+    p = table(spark, d, "part")
+    line = F.concat(
+        F.lit('{"attributes": {"a": '), F.when(F.col("p_size") % 2 == 0, "true").otherwise("false"), F.lit(', "b": null, "c": ["'), F.col("p_brand"), F.lit('", '), F.col("p_size").cast("string"),
+        F.lit('], "d": "'), F.col("p_type"), F.lit('"}}'),
+    )
+    rows = p.select("p_partkey", X.python_attributes(line).alias("x"))
+    return rows.select("p_partkey", *[F.col("x")[k].alias(k) for k in "abcd"])
+
+
+@query("t05_enum_form", "SELECT p_partkey, lower(p_type) AS form, lower(p_type) IN ('promo plated', 'small brushed') AS known FROM part")
+def t05(spark, d):
+    raw = F.concat(F.lit(" \t"), F.upper("p_type"), F.lit("\u00a0"))
+    one = Schema("x", (Attribute("t", "enum", (" Promo Plated", "SMALL BRUSHED")),))
+    return table(spark, d, "part").select("p_partkey", X.folded(raw).alias("form"), clean.valid(F.create_map(F.lit("t"), raw), one).alias("known"))
+
+
+@query("t19_wrapped_once", """SELECT p_partkey, concat('Title: "', p_name, '"') AS text FROM part""")
+def t19(spark, d):
+    some = F.when(F.col("p_partkey") % 2 == 0, X.title_line(F.col("p_name"))).otherwise(F.col("p_name"))
+    return table(spark, d, "part").select("p_partkey", X.title_line_once(some).alias("text"))
+
+
+@query("t25_percent", "SELECT p_partkey, concat(p_size, '.5%') AS text FROM part")
+def t25(spark, d):
+    return table(spark, d, "part").select("p_partkey", X.percent((F.col("p_size") * 2 + 1) / 200).alias("text"))
+
+
+@query("t28_speedup", "SELECT event_id, CASE WHEN user_id % 4 > 0 THEN round(value / (user_id % 4), 6) ELSE 0.0 END AS ratio FROM events")
+def t28(spark, d):
+    return table(spark, d, "events").select("event_id", F.round(latency.speedup(F.col("value"), F.col("user_id") % 4), 6).alias("ratio"))
+
+
+@query("f07_image_types", "SELECT p_partkey, p_size % 4 <> 3 AS kept FROM part")
+def f07(spark, d):
+    kind = F.when(F.col("p_size") % 4 == 0, "image/png").when(F.col("p_size") % 4 == 1, "IMAGE/jpeg; q=1").when(F.col("p_size") % 4 == 3, "text/html")
+    return table(spark, d, "part").select("p_partkey", images.is_image(kind).alias("kept"))
+
+
+@query("f08_images_that_exist", "SELECT p_partkey AS seq FROM part WHERE p_size % 2 = 1 OR p_size <= 25")
+def f08(spark, d):
+    rows = part_listings(spark, d)
+    image = F.when(F.col("attributes")["p_size"].cast("int") % 2 == 0, F.array(F.concat(F.lit("i/"), F.col("attributes")["p_size"])))
+    made = chat.messages(rows.withColumn("image_urls", F.coalesce(image, F.array().cast("array<string>"))), PARTS)
+    return chat.with_images(made, spark.range(1, 26).select(F.concat(F.lit("i/"), F.col("id")).alias("path"))).select("seq")
+
+
+@query("j10_predictions", "SELECT p_partkey AS seq, CAST(length(p_name) AS VARCHAR) AS n, upper(p_name) AS name FROM part")
+def j10(spark, d):
+    rows = table(spark, d, "part").select(F.col("p_partkey").alias("seq"), F.col("p_name").alias("title"))
+    got = predict.predict(rows, predict.retried(lambda t: {"n": len(t), "name": t.upper()}))
+    return got.select("seq", F.col("prediction")["n"].alias("n"), F.col("prediction")["name"].alias("name"))
+
+
+def _found_schema(spark, d):
+    kinds = [r[0] for r in table(spark, d, "part").select("p_type").distinct().orderBy("p_type").collect()]  # a column of few values
+    return Schema("found", (Attribute("p_type", "enum", tuple(kinds)), Attribute("p_size", "number", required=False)))
+
+
+@query("s04_schema_rows", "SELECT 0 AS ord, 'p_type' AS name, p_type AS value, true AS required FROM part GROUP BY p_type UNION ALL SELECT 1, 'p_size', NULL, false")
+def s04(spark, d):
+    return attribute_table(spark, _found_schema(spark, d)).select("ord", "name", "value", "required")
+
+
+@query("g01_json_schema", """SELECT concat('{"type": "object", "properties": {"p_type": {"type": "string", "enum": [', string_agg(DISTINCT '"' || p_type || '"', ', ' ORDER BY '"' || p_type || '"'), ']}, "p_size": {"type": "number"}}, "required": ["p_type"], "additionalProperties": false}') AS text FROM part""")
+def g01(spark, d):
+    import json
+
+    return spark.createDataFrame([(json.dumps(json_schema(_found_schema(spark, d))),)], "text string")
+
+
+@query("g03_prompts", """SELECT concat('You extract product attributes from the title and image. Respond with valid JSON only.', chr(10), 'Attributes to extract: p_type, p_size') AS short,
+  concat('You extract product attributes from the title and image.', chr(10), 'Respond with valid JSON only. Use ONLY values from the lists below.', chr(10), chr(10), 'p_type (valid values): ', string_agg(DISTINCT p_type, ', ' ORDER BY p_type), chr(10), 'p_size: free text string') AS long FROM part""")
+def g03(spark, d):
+    schema = _found_schema(spark, d)
+    return spark.createDataFrame([(system_prompt(schema), value_prompt(schema))], "short string, long string")
+
+
+@query("k04_manifest_entries", """SELECT CAST(p_partkey AS VARCHAR) AS listing_id, concat('  {', chr(10), '    "listing_id": "', p_partkey, '",', chr(10), '    "local_paths": ', CASE WHEN p_size % 2 = 0 THEN concat('[', chr(10), '      "', p_brand, '",', chr(10), '      "', p_type, '"', chr(10), '    ]') ELSE '[]' END, ',', chr(10), '    "hashes": []', chr(10), '  }') AS entry FROM part""")
+def k04(spark, d):
+    none = F.array().cast("array<string>")
+    paths = F.when(F.col("p_size") % 2 == 0, F.array("p_brand", "p_type")).otherwise(none)
+    return sinks.manifest_text(table(spark, d, "part").select(F.col("p_partkey").cast("string").alias("listing_id"), paths.alias("local_paths"), none.alias("hashes")))

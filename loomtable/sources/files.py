@@ -9,6 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window as W
 
 from loomtable.plans.schema import EVAL_RESULT, LISTING, MANIFEST, PREDICTION
 
@@ -16,9 +17,17 @@ _SUFFIX = re.compile(r"(\d+)$")
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """seq, value: a text file's lines with their place in it. The count of lines a split is the only thing that is gathered."""
-    lines = spark.read.text(path).select("value").rdd.map(lambda r: r[0])
-    return spark.createDataFrame(lines.zipWithIndex().map(lambda x: (x[1], x[0])), "seq long, value string")
+    """seq, value: the lines of text files, numbered in order of the files' names and of the lines in them.
+
+    A split's lines stand together and in order in a task, so a line's number is its place among them and the lines of
+    all splits before it. Only a row for each split is shuffled; lines stay where they are.
+    """
+    place = [F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__start")]
+    lines = spark.read.text(path).select("value", *place, F.monotonically_increasing_id().alias("__at"))
+    splits = lines.groupBy("__file", "__start").agg(F.min("__at").alias("__first"), F.count("*").alias("__n"))
+    before = F.sum("__n").over(W.orderBy("__file", "__start")) - F.col("__n")  # a row for each split, in one task
+    starts = splits.select("__file", "__start", (before - F.col("__first")).alias("__shift"))
+    return lines.join(starts, ["__file", "__start"]).select((F.col("__at") + F.col("__shift")).alias("seq"), "value")
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType, *, blank_fails: bool = False) -> DataFrame:
@@ -48,10 +57,16 @@ def read_csv(spark: SparkSession, path: str, header: list[str] | None = None) ->
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A JSON array, or else one object a line (S03); the first character that isn't space decides."""
+    """A JSON array, or else one object a line (S03). What begins like an array but is none is read as lines."""
     head = spark.read.text(path).select(F.ltrim("value").alias("v")).where("v <> ''").first()
     if head and head.v.startswith("["):
-        return spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
+        whole = spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
+        try:
+            whole.write.format("noop").mode("overwrite").save()
+            return whole
+        except Exception as e:  # noqa: BLE001  Spark's and Java's errors alike
+            if not re.search("MALFORMED_RECORD|BadRecord|malformed", str(e), re.I):
+                raise
     return read_jsonl(spark, path, schema)
 
 
@@ -101,6 +116,20 @@ def newest(paths: list[str]) -> str | None:
     return max(numbered)[1] if numbered else None
 
 
+def newest_in(spark: SparkSession, folder: str, prefix: str = "checkpoint-") -> str | None:
+    """The checkpoint folder in ``folder`` with the largest number (S20), by the file system that serves it; None without any."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not fs.exists(p):
+        return None
+    return newest([f.getPath().toUri().getPath() for f in fs.listStatus(p) if f.isDirectory() and f.getPath().getName().startswith(prefix)])
+
+
+def newest_of(names: DataFrame, name: str = "name") -> DataFrame:
+    """The name with the largest number at its end (O04), one row."""
+    return names.agg(F.max_by(name, F.regexp_extract(name, r"(\d+)/?$", 1).cast("long")).alias(name))
+
+
 def load_result(path: str | Path) -> dict:
     """One evaluation result on the driver; a missing breakdown is None."""
     raw = json.loads(Path(path).read_text(encoding="utf-8"))

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from urllib.request import Request, urlopen
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
-from loomtable.plans.config import Site
+from loomtable.plans.config import Settings
 
 TIMEOUT_S, WAIT_S = 30, 10
 
@@ -116,12 +117,12 @@ class BrowserPages(HttpPages):
         return _BrowserReader(dict(self.options))
 
 
-def source_name(site: Site) -> str:
+def source_name(site: Settings) -> str:
     """Which source a site needs."""
     return "browser_pages" if site.use_playwright else "http_pages"
 
 
-def fetch(spark: SparkSession, site: Site, urls: list[str], partitions: int = 1) -> DataFrame:
+def fetch(spark: SparkSession, site: Settings, urls: list[str], partitions: int = 1) -> DataFrame:
     """url, html of the addresses, with the site's headers and rate limit."""
     for source in (HttpPages, BrowserPages):
         spark.dataSource.register(source)
@@ -133,6 +134,65 @@ def fetch(spark: SparkSession, site: Site, urls: list[str], partitions: int = 1)
     return read.load()
 
 
+def fetched(urls: DataFrame, site: Settings, tasks: int = 8) -> DataFrame:
+    """url, html of a table of addresses (url), each fetched once, by ``tasks`` tasks that keep the site's rate limit between them."""
+    headers, pause, selector = dict(site.headers), site.rate_limit * tasks, site.wait_for_selector
+    opened = (lambda: _Browser(headers, selector)) if site.use_playwright else (lambda: _Plain(headers))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with opened() as get:
+            began = False
+            for b in batches:
+                for url in b.column(0).to_pylist():
+                    if began and pause:
+                        time.sleep(pause)
+                    began = True
+                    yield pa.record_batch([pa.array([url]), pa.array([get(url)])], names=["url", "html"])
+
+    return urls.select("url").where("url is not null").distinct().repartition(tasks).mapInArrow(run, "url string, html string")
+
+
+def walk(site: Settings, get: Callable[[str], str], onward: Callable[[str, str], str | None]) -> Iterator[tuple[str, str]]:
+    """Index pages (url, html) of a live site, one after another along their next links (S15), ``max_pages`` at most."""
+    url, seen = site.base_url, set()
+    while url and url not in seen and len(seen) < site.pagination.max_pages:
+        if seen and site.rate_limit:
+            time.sleep(site.rate_limit)
+        seen.add(url)
+        html = get(url)
+        yield url, html
+        url = onward(html, url)
+
+
+def scrolls(page, site: Settings, links: Callable[[str], list[str]], wait: Callable[[float], None] = time.sleep) -> Iterator[tuple[int, str, str]]:
+    """Snapshots (scroll, url, html) of an open browser page that grows as it scrolls (S16): the next scroll follows while the
+    last one showed an address that is new (X03), ``max_pages`` scrolls at most (L03)."""
+    seen: set[str] = set()
+    for scroll in range(1, site.pagination.max_pages + 1):
+        html = page.content()
+        yield scroll, site.base_url, html
+        fresh = set(links(html)) - seen
+        if scroll > 1 and not fresh or site.max_listings and len(seen | fresh) >= site.max_listings:
+            return
+        seen |= fresh
+        page.evaluate("window.scrollTo(0, document.body.scrollHeight)")
+        wait(site.rate_limit)
+
+
+def plain(site: Settings) -> _Plain:
+    """Something that gets a page's text, for use in a with statement: by HTTP, or in a browser where the site needs it."""
+    return _Browser(dict(site.headers), site.wait_for_selector) if site.use_playwright else _Plain(dict(site.headers))
+
+
+def image(url: str, timeout: float = 5.0) -> tuple[str, bytes] | None:
+    """Content type and bytes of an image (S17); None if it can't be had in time."""
+    try:
+        with urlopen(url, timeout=timeout) as answer:  # noqa: S310  the listing's own addresses
+            return answer.headers.get("Content-Type") or "", answer.read()
+    except (OSError, ValueError):
+        return None
+
+
 def healthy(url: str, timeout: float = 5.0) -> bool:
     """Whether a server answers its health address with success."""
     try:

@@ -7,45 +7,45 @@ import pytest
 
 from loomtable.functions import text as X
 from loomtable.operators import clean, ingest
-from loomtable.plans.schema import LISTING, phones
+from loomtable.plans.schema import LISTING, bikes
 from pyspark.sql import functions as F
 
 
 def listing(seq, title, images, **attributes):
-    return (seq, "", title, images, {f"phone_{k}": v for k, v in attributes.items()})
+    return (seq, "", title, images, dict(attributes))
 
 
 EDGES = [
-    (listing(1, "  Pixel&nbsp;&nbsp;8 &amp; case ", [], brand="google", model="8"), "missing_images"),
-    (listing(2, "Pixel 8 & case", ["a.jpg"], brand="google", model="8"), "duplicates"),
-    (listing(3, "&nbsp; ", ["a"], brand="Apple", model="1"), "empty_title"),
-    (listing(4, "X", ["a"], brand="Nokia", model="1"), "invalid_attrs"),
-    (listing(5, "X", ["a"], brand=" APPLE ", model="1"), None),
-    (listing(6, "X", ["a"], brand="Apple", model="1"), None),
-    (listing(7, "X", ["a"], brand="Apple"), "invalid_attrs"),
-    (listing(8, "Y", ["a"], brand="Apple", model="1", z="extra"), None),
-    (listing(9, "Y", ["a"], brand="Apple", model="1", color=""), None),
-    (listing(10, "", [], brand="Nokia"), "empty_title"),
-    (listing(11, None, ["a"], brand="Apple", model="1"), "empty_title"),
+    (listing(1, "  Pixel&nbsp;&nbsp;8 &amp; case ", [], maker="kestrel", frame="8"), "missing_images"),
+    (listing(2, "Pixel 8 & case", ["a.jpg"], maker="kestrel", frame="8"), "duplicates"),
+    (listing(3, "&nbsp; ", ["a"], maker="Vela", frame="1"), "empty_title"),
+    (listing(4, "X", ["a"], maker="Nokia", frame="1"), "invalid_attrs"),
+    (listing(5, "X", ["a"], maker=" VELA ", frame="1"), None),
+    (listing(6, "X", ["a"], maker="Vela", frame="1"), None),
+    (listing(7, "X", ["a"], maker="Vela"), "invalid_attrs"),
+    (listing(8, "Y", ["a"], maker="Vela", frame="1", z="extra"), None),
+    (listing(9, "Y", ["a"], maker="Vela", frame="1", paint=""), None),
+    (listing(10, "", [], maker="Nokia"), "empty_title"),
+    (listing(11, None, ["a"], maker="Vela", frame="1"), "empty_title"),
 ]
 
 
 @pytest.mark.parametrize("parts", [1, 7])
 def test_first_reason_wins(spark, parts):
-    rows = clean.with_reason(spark.createDataFrame([r for r, _ in EDGES], LISTING).repartition(parts), phones(), require_images=True)
+    rows = clean.with_reason(spark.createDataFrame([r for r, _ in EDGES], LISTING).repartition(parts), bikes(), require_images=True)
     got = {r.seq: r for r in rows.collect()}
     assert {s: r.drop_reason for s, r in got.items()} == {r[0]: why for r, why in EDGES}
     assert got[1].title == "Pixel 8 & case"
-    assert got[6].content_hash == hashlib.sha256(b"X|phone_brand=Apple|phone_model=1").hexdigest()
+    assert got[6].content_hash == hashlib.sha256(b"X|frame=1|maker=Vela").hexdigest()
     stats = clean.reasons(rows).first().asDict()
     assert stats == {"total": 11, "kept": 4, "empty_title": 3, "invalid_attrs": 2, "duplicates": 1, "missing_images": 1}
 
 
 def test_options(spark):
     df = spark.createDataFrame([r for r, _ in EDGES], LISTING)
-    assert clean.clean(df, phones()).count() == 5
-    assert clean.clean(df, phones(), deduplicate=False).count() == 6
-    empty = clean.reasons(clean.with_reason(df.limit(0), phones())).first()
+    assert clean.clean(df, bikes()).count() == 5
+    assert clean.clean(df, bikes(), deduplicate=False).count() == 6
+    empty = clean.reasons(clean.with_reason(df.limit(0), bikes())).first()
     assert (empty.total, empty.kept) == (0, 0)
 
 

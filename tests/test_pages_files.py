@@ -5,7 +5,7 @@ import pytest
 from loomtable.functions import text as X
 from loomtable.operators import chat, images, pages, predict
 from loomtable.plans import cli, config
-from loomtable.plans.schema import LISTING, phones
+from loomtable.plans.schema import LISTING, bikes
 from loomtable.sources import files, sinks, web
 from loomtable.streaming import live
 from pyspark.sql import functions as F
@@ -26,7 +26,7 @@ def test_selectors():
 
 
 def site(**more):
-    return config.Site("s", "http://h/1", "a.item@href", {"title": "h1", "image": "img@src", "price": "p.price"}, **more)
+    return config.Settings("site", name="s", base_url="http://h/1", listing_selector="a.item@href", detail_selectors={"title": "h1", "image": "img@src", "price": "p.price"}, **more)
 
 
 def stored(spark):
@@ -37,17 +37,17 @@ def stored(spark):
 
 
 def test_crawl(spark):
-    by_link = config.Pagination(selector="li.next a@href")
+    by_link = config.Settings("pagination", selector="li.next a@href")
     got = pages.crawl(stored(spark), site(pagination=by_link)).collect()
     assert [r.title for r in got] == ["Item a", "Item b", "Item b", "Item c"] and got[0].image_urls == ["http://h/ia.jpg"] and got[0].attributes == {"price": "a"}
     assert pages.crawl(stored(spark), site(pagination=by_link, max_listings=3)).count() == 3
-    assert pages.crawl(stored(spark), site(pagination=config.Pagination(selector="li.next a@href", max_pages=1))).count() == 2
-    numbered = config.Pagination("page_number", url_pattern="http://h/{page}", max_pages=2)
+    assert pages.crawl(stored(spark), site(pagination=config.Settings("pagination", selector="li.next a@href", max_pages=1))).count() == 2
+    numbered = config.Settings("pagination", type="page_number", url_pattern="http://h/{page}", max_pages=2)
     assert pages.crawl(stored(spark), site(pagination=numbered)).count() == 4
-    with pytest.raises(LookupError):
+    with pytest.raises(Exception, match="page not found"):
         pages.crawl(stored(spark).where("url <> 'http://h/2'"), site(pagination=by_link)).count()
     with pytest.raises(NotImplementedError):
-        pages.next_page(config.Pagination("infinite_scroll"), None, 1)
+        pages.next_page(config.Settings("pagination", type="infinite_scroll"), None, 1)
 
 
 def test_scrolling(spark):
@@ -81,13 +81,13 @@ def test_files_round_trip(spark, tmp_path):
 
 
 def test_chat(spark):
-    rows = spark.createDataFrame([(1, "u", 'T "q"', ["d/i.jpg"], {"phone_model": "é", "phone_brand": "Apple", "z": "1"}), (2, "", "plain", [], {})], LISTING)
-    made = chat.messages(rows, phones())
+    rows = spark.createDataFrame([(1, "u", 'T "q"', ["d/i.jpg"], {"frame": "é", "maker": "Vela", "z": "1"}), (2, "", "plain", [], {})], LISTING)
+    made = chat.messages(rows, bikes())
     lines = {r.seq: json.loads(r.j) for r in made.select("seq", chat.message_json(F.col("messages")).alias("j")).collect()}
     assert lines[1]["messages"][1]["content"] == [{"type": "image", "image": "d/i.jpg"}, {"type": "text", "text": 'Title: "T "q""'}]
-    assert json.loads(lines[1]["messages"][2]["content"]) == {"phone_model": "é", "phone_brand": "Apple"} and lines[2]["messages"][1]["content"] == 'Title: "plain"'
+    assert json.loads(lines[1]["messages"][2]["content"]) == {"frame": "é", "maker": "Vela"} and lines[2]["messages"][1]["content"] == 'Title: "plain"'
     back = {r.seq: r for r in chat.unify(made).collect()}
-    assert back[1].title == 'Title: "T "q""' and back[1].ground_truth == {"phone_model": "é", "phone_brand": "Apple"}
+    assert back[1].title == 'Title: "T "q""' and back[1].ground_truth == {"frame": "é", "maker": "Vela"}
     asked = {r.seq: r for r in chat.prompts(made, "s").collect()}
     assert asked[1].text == 'Title: "T "q""' and asked[1].image == "d/i.jpg" and asked[2].image is None
     have = spark.createDataFrame([("d/i.jpg",)], "path string")
@@ -127,18 +127,18 @@ def test_command_line(spark, tmp_path):
     (tmp_path / "data.yaml").write_text(f"schema_path: {tmp_path}/schema.yaml\ntext_only: true\nmin_samples: 5\ncategory_field: brand\n")
     rows = [{"url": "", "title": f"t{i}", "image_urls": [], "attributes": {"brand": "AB"[i % 2], "size": str(i)}} for i in range(20)] + [{"title": "", "attributes": {}}]
     (tmp_path / "raw.jsonl").write_text("\n".join(map(json.dumps, rows)))
-    counts = cli.prepare(spark, config.load_config(tmp_path / "data.yaml", config.Dataset), str(tmp_path / "raw.jsonl"), str(tmp_path / "out"))
+    counts = cli.prepare(spark, config.load(tmp_path / "data.yaml", "dataset"), str(tmp_path / "raw.jsonl"), str(tmp_path / "out"))
     assert counts == {"train": 16, "val": 2, "test": 2}
-    cfg = config.Evaluation(str(tmp_path / "out/split=test"), str(tmp_path / "schema.yaml"), output_dir=str(tmp_path / "rep"))
+    cfg = config.Settings("evaluation", test_data_path=str(tmp_path / "out/splits/split=test"), schema_path=str(tmp_path / "schema.yaml"), output_dir=str(tmp_path / "rep"))
     truth = {f'Title: "t{i}"': rows[i]["attributes"] for i in range(20)}
     result = cli.evaluate(spark, cfg, predictor=lambda t: truth[t])
     assert result["exact_match"] == 1.0 and result["total_samples"] == 2
     again = cli.evaluate(spark, cfg, predictor=lambda t: {}, compare_with=(str(tmp_path / "rep/eval_result.json"),))
     assert again["exact_match"] == 0.0 and "run_1" in (tmp_path / "rep/comparison.md").read_text()
     with pytest.raises(SystemExit):
-        cli.prepare(spark, config.Dataset(str(tmp_path / "schema.yaml"), min_samples=100, text_only=True), str(tmp_path / "raw.jsonl"), str(tmp_path / "out2"))
-    cli.scrape(spark, site(pagination=config.Pagination(selector="li.next a@href")), str(tmp_path / "got"), stored(spark))
-    assert files.read_json(spark, str(tmp_path / "got"), LISTING).count() == 4
+        cli.prepare(spark, config.Settings("dataset", schema_path=str(tmp_path / "schema.yaml"), min_samples=100, text_only=True), str(tmp_path / "raw.jsonl"), str(tmp_path / "out2"))
+    cli.scrape(spark, site(pagination=config.Settings("pagination", selector="li.next a@href")), str(tmp_path / "got"), stored(spark), pictures=False)
+    assert files.read_json(spark, str(tmp_path / "got/listings"), LISTING).count() == 4
 
 
 def test_web_source(spark):
@@ -162,3 +162,109 @@ def test_streams(spark, tmp_path):
         assert spark.table(name).count() == n, name
     r = {x.request_id: x for x in spark.table("requests").collect()}
     assert r[0].chunks == 2 and r[0].first_ts.second == 2
+
+
+def test_manifest_logs_and_odd_files(spark, tmp_path):
+    rows = [("1", ["a/1/0.jpg", 'q".jpg'], ["h", "i"]), ("2", [], []), ("10", ["é"], ["k"])]
+    df = spark.createDataFrame(rows, "listing_id string, local_paths array<string>, hashes array<string>")
+    sinks.write_manifest(df.repartition(3), str(tmp_path / "m/manifest.json"))
+    want = [dict(zip(df.columns, r)) for r in rows]
+    assert (tmp_path / "m/manifest.json").read_text(encoding="utf-8") == json.dumps(want, indent=2, ensure_ascii=False)
+    assert [r.listing_id for r in files.read_manifest(spark, str(tmp_path / "m/manifest.json")).collect()] == ["1", "2", "10"]
+    sinks.write_manifest(df.limit(0), str(tmp_path / "m/none.json"))
+    assert json.loads((tmp_path / "m/none.json").read_text()) == []
+    (tmp_path / "odd.json").write_text('[1, 2\n{"title": "x"}\n')
+    with pytest.raises(Exception, match="(?i)malformed|parse"):
+        files.read_json(spark, str(tmp_path / "odd.json"), LISTING).collect()
+    (tmp_path / "two.json").write_text('\n[{"title": "1"},\n{"title": "2"}]')
+    assert files.read_json(spark, str(tmp_path / "two.json"), LISTING).count() == 2
+    for n in (9, 10, 100):
+        (tmp_path / f"run/checkpoint-{n}").mkdir(parents=True)
+        sinks.log_line(tmp_path / "run/log.txt", step=n, loss=0.5)
+    (tmp_path / "run/checkpoint-999").write_text("a file")
+    assert files.newest_in(spark, str(tmp_path / "run")).endswith("run/checkpoint-100") and files.newest_in(spark, str(tmp_path / "gone")) is None
+    last = sinks.tail(files.numbered_lines(spark, str(tmp_path / "run/log.txt")), 2).collect()
+    assert [(r.seq, r.value) for r in last] == [(1, "step=10 loss=0.5"), (2, "step=100 loss=0.5")]
+
+
+def test_line_numbers_over_splits(spark, tmp_path):
+    for name, n in (("b", 3000), ("a", 2000)):
+        (tmp_path / name).write_text("".join(f"{name}{i} {'x' * (i % 90)}\n" for i in range(n)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        lines = files.numbered_lines(spark, str(tmp_path))
+        got = {r.seq: r.value.split(" ")[0] for r in lines.collect()}
+        assert "Python" not in lines._jdf.queryExecution().toString()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert got == {i: f"a{i}" if i < 2000 else f"b{i - 2000}" for i in range(5000)}
+
+
+class _Site:
+    """A small web server: index pages, items and images."""
+
+    def __enter__(self):
+        import http.server
+        import threading
+
+        front = lambda items, nxt: "".join(f'<a class="item" href="/{i}">x</a>' for i in items) + (f'<li class="next"><a href="/{nxt}">n</a></li>' if nxt else "")
+        bodies = {"/1": front("ab", "2"), "/2": front("bc", "1"), **{f"/{c}": f'<h1>Item {c}</h1><img src="/{c}.jpg"><p class="price">{c}</p>' for c in "abc"}}
+        pictures = {"/a.jpg": b"same", "/b.jpg": b"same"}
+        self.asked = asked = []
+
+        class Handler(http.server.BaseHTTPRequestHandler):
+            def do_GET(self):  # noqa: N802
+                asked.append(self.path)
+                body, kind = (bodies[self.path].encode(), "text/html") if self.path in bodies else (pictures.get(self.path), "image/jpeg")
+                self.send_response(200 if body else 404)
+                self.send_header("Content-Type", kind)
+                self.end_headers()
+                self.wfile.write(body or b"")
+
+            def log_message(self, *_):
+                pass
+
+        self.server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+        threading.Thread(target=self.server.serve_forever, daemon=True).start()
+        self.url = f"http://127.0.0.1:{self.server.server_address[1]}"
+        return self
+
+    def __exit__(self, *_):
+        self.server.shutdown()
+        self.server.server_close()
+
+
+def test_live_crawl_and_images(spark, tmp_path):
+    with _Site() as live_site:
+        by_link = {"selector": "li.next a@href"}
+        s = site(pagination=by_link, rate_limit=0).but(base_url=f"{live_site.url}/1")
+        got = cli.scrape(spark, s, str(tmp_path / "out"), raw_images=True)
+        assert [r.title for r in got.orderBy("seq").collect()] == ["Item a", "Item b", "Item b", "Item c"]
+        pages_asked = [p for p in live_site.asked if "." not in p]
+        assert sorted(pages_asked) == ["/1", "/2", "/a", "/b", "/c"]  # each once
+        manifest = json.loads((tmp_path / "out/images/manifest.json").read_text())
+        assert [len(m["local_paths"]) for m in manifest] == [1, 0, 0, 0] and (tmp_path / "out/images/0/0.jpg").read_bytes() == b"same"
+        asked = len(live_site.asked)
+        cli.scrape(spark, s, str(tmp_path / "out2"), pictures=False)
+        assert len(live_site.asked) == asked + 5 and not (tmp_path / "out2/images").exists()
+        assert web.image(f"{live_site.url}/none.jpg") is None and web.image("no address") is None
+    if images.Image is None:
+        with pytest.raises(ImportError):
+            images.download(got, str(tmp_path / "x"), web.image)
+
+
+def test_scrolling_stops_when_nothing_is_new():
+    class Page:
+        shown = 1
+
+        def content(self):
+            return " ".join("abcde"[: self.shown])
+
+        def evaluate(self, _):
+            self.shown = min(self.shown + 2, 5)
+
+    waits = []
+    shots = list(web.scrolls(Page(), site(rate_limit=0.5), str.split, waits.append))
+    assert [s[2] for s in shots] == ["a", "a b c", "a b c d e", "a b c d e"] and waits == [0.5] * 3
+    assert len(list(web.scrolls(Page(), site(max_listings=3), str.split, waits.append))) == 2

@@ -69,8 +69,9 @@ def test_metrics_ignore_order(spark):
 def test_pairs_must_match(spark):
     p = spark.createDataFrame([(1, {"a": "x"}), (2, {"a": "y"})], "seq long, prediction map<string,string>")
     t = spark.createDataFrame([(1, {"a": "x"})], "seq long, ground_truth map<string,string>")
-    with pytest.raises(ValueError, match="differ"):
-        metrics.paired(p, t)
+    for rows in (metrics.paired(p, t), metrics.paired(p.limit(0), t)):
+        with pytest.raises(Exception, match="differ"):
+            rows.select("seq").count()
 
 
 def test_comparison_report():
@@ -102,19 +103,49 @@ def test_latency(spark):
 
 
 def test_schema_and_config(tmp_path):
-    s = schema.phones()
+    s = schema.bikes()
     js = schema.json_schema(s)
-    assert js["required"] == ["phone_brand", "phone_model"] and js["properties"]["phone_storage"]["enum"][-1] == "1TB" and js["additionalProperties"] is False
-    assert schema.system_prompt(s).endswith("Attributes to extract: phone_brand, phone_model, phone_color, phone_storage")
-    assert "phone_model: free text string" in schema.value_prompt(s) and schema.value_prompt(s).splitlines()[2] == ""
+    assert js["required"] == ["maker", "frame"] and js["properties"]["gears"]["enum"][-1] == "21" and js["additionalProperties"] is False
+    assert schema.system_prompt(s).endswith("Attributes to extract: maker, frame, paint, gears")
+    assert "frame: free text string" in schema.value_prompt(s) and schema.value_prompt(s).splitlines()[2] == ""
     with pytest.raises(ValueError):
         schema.Attribute("x", "enum", ())
     with pytest.raises(ValueError):
-        config.Dataset("s", (0.5, 0.4, 0.2))
+        config.Settings("dataset", schema_path="s", split_ratio=(0.5, 0.4, 0.2))
     with pytest.raises(FileNotFoundError):
-        config.load_config(tmp_path / "none.yaml", config.Dataset)
+        config.load(tmp_path / "none.yaml", "dataset")
     (tmp_path / "site.yaml").write_text("name: n\nbase_url: u\nlisting_selector: a\ndetail_selectors: {title: h1}\npagination: {type: page_number, url_pattern: 'p{page}', max_pages: 3}\n")
-    site = config.load_config(tmp_path / "site.yaml", config.Site)
+    site = config.load(tmp_path / "site.yaml", "site")
     assert site.pagination.max_pages == 3 and site.detail_selectors == {"title": "h1"}
     with pytest.raises(SystemExit):
         config.check_enough(3, 10)
+
+
+def test_order_without_one_task(spark):
+    rows = spark.createDataFrame([(i * 7 % 50, f"r{i}") for i in range(50)], "k long, v string").repartition(5)
+    assert {r.k: r.place for r in split.in_order(rows, "k").collect()} == {k: k for k in range(50)}
+    got = split.cycled(rows.select("k"), "k", 120, 47).collect()
+    assert {r.i: r.k for r in got} == {i: (i + 47) % 50 for i in range(120)}
+    assert {r.i: r.k for r in split.cycled(rows.select("k"), "k", 3, 2).collect()} == {0: 2, 1: 3, 2: 4} and split.cycled(rows.limit(0), "k", 3).count() == 0
+    parts = split.split(rows, "k")
+    again = split.reshuffled(parts, "k")
+    assert {(r.split, r.place) for r in again.collect()} == {(s, i + 1) for s, n in (("train", 40), ("val", 5), ("test", 5)) for i in range(n)}
+    assert metrics.nested({"exact_match": 1.0, "per_attribute": {"a": 0.5}, "category_breakdown": None, "total_samples": 2, "timestamp": "t"}) == {
+        "exact_match": 1.0, "total_samples": 2, "timestamp": "t", "per_attribute": {"a": {"accuracy": 0.5}}, "category_breakdown": {},
+    }
+
+
+def test_settings():
+    site = config.Settings("site", {"name": "n", "base_url": "u", "listing_selector": "a", "detail_selectors": {}, "odd": 1})
+    assert site.pagination.max_pages == 100 and site.but(max_listings=3).max_listings == 3 and "odd" not in site and site.headers == {}
+    with pytest.raises(TypeError, match="base_url"):
+        config.Settings("site", name="n")
+    with pytest.raises(ValueError):
+        config.Settings("pagination", type="by_magic")
+    with pytest.raises(AttributeError):
+        site.name = "x"
+    import pickle
+
+    assert pickle.loads(pickle.dumps(site)) == site
+    command = config.serve_command(config.Settings("server", model="m", max_model_len=2048))
+    assert command[:3] == ["vllm", "serve", "m"] and command[-2:] == ["--max-model-len", "2048"]
