@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from loomtable.operators.split import in_order
 from loomtable.plans.config import Settings
+from loomtable.sources.shared import written
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _HIDDEN = frozenset(("script", "style", "template"))
@@ -278,12 +279,13 @@ def crawl(pages: DataFrame, site: Settings) -> DataFrame:
     if site.pagination.type == "page_number":
         front = numbered_pages(spark, site.pagination, site.base_url)
     else:
-        jump = indexes(pages, site).select("url", F.col("next_page_url").alias("to"))
+        jump = written(indexes(pages, site).select("url", F.col("next_page_url").alias("to")).where("to is not null"))
         front, steps = spark.createDataFrame([(1, site.base_url)], "page long, url string"), 1
         while steps < most and site.pagination.type == "next_link":
-            front = front.unionByName(front.join(jump, "url").where("to is not null").select((F.col("page") + steps).alias("page"), F.col("to").alias("url")))
-            jump = jump.join(jump.select(F.col("url").alias("to"), F.col("to").alias("on")), "to").select("url", F.col("on").alias("to"))
-            steps *= 2
+            front = front.unionByName(front.join(jump, "url").select((F.col("page") + steps).alias("page"), F.col("to").alias("url")))
+            front, steps = written(front), 2 * steps
+            if steps < most:
+                jump = written(jump.join(jump.select(F.col("url").alias("to"), F.col("to").alias("on")), "to").select("url", F.col("on").alias("to")))
         front = front.where(F.col("page") <= most).groupBy("url").agg(F.min("page").alias("page"))  # a walk in a circle ends where it began
     front = front.join(pages.select("url", "html", F.lit(True).alias("there")), "url", "left")
     gone = F.raise_error(F.concat(F.lit("page not found: "), F.col("url"))).cast("string")
