@@ -3,73 +3,25 @@
 from __future__ import annotations
 
 import hashlib
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loomtable.sources.shared import shared_dir, sweep, written
+
+__all__ = ["shared_dir", "sweep", "written"]
+
 #: Code points that separate words in most contracts: space and tab to carriage return.
 SPACES = " \t\n\x0b\x0c\r"
 WORD_GAP = r"[\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share, from ``spark.checkpoint.dir``.
-
-    Where that setting is absent a temporary folder is made, but only if all runs on this machine; a cluster without it
-    is an error, since its machines share no local folder.
-    """
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not found:
-        sc = spark.sparkContext
-        if sc.getCheckpointDir() is None:
-            if not sc.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-            sc.setCheckpointDir(tempfile.mkdtemp(prefix="loomtable-"))
-        found = sc.getCheckpointDir()
-    return found.rstrip("/")
-
-
-#: Folders that each application has written and not swept.
-_FOLDERS: dict[str, list[str]] = {}
-
-
-def _file_system(spark: SparkSession, path: str):
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def written(df: DataFrame, compression: str = "zstd") -> DataFrame:
-    """``df`` written to the shared folder as Parquet and read again: cuts lineage and survives lost executors.
-
-    The folder goes with ``sweep``, or else when the application ends: a lazy result may read it until then.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/stage-{uuid.uuid4().hex}"
-    fs, p = _file_system(spark, path)
-    fs.deleteOnExit(p)
-    df.write.option("compression", compression).parquet(path)
-    _FOLDERS.setdefault(spark.sparkContext.applicationId, []).append(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def sweep(spark: SparkSession, keep: DataFrame | None = None) -> None:
-    """Deletes what ``written`` has left in this application, but for ``keep``'s files. Only for when no lazy result still reads them."""
-    held = {f.rsplit("/", 1)[0] for f in keep.inputFiles()} if keep is not None else set()
-    mine = _FOLDERS.get(spark.sparkContext.applicationId, [])
-    for path in [p for p in mine if not any(h.endswith(p.rsplit("/", 1)[1]) for h in held)]:
-        fs, p = _file_system(spark, path)
-        fs.delete(p, True)
-        mine.remove(path)
-
-
 #: Stands for a null id in ``numbered``: after all others, beside 2^63 - 1 itself.
 LATE = (1 << 63) - 1
 
