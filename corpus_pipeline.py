@@ -1,7 +1,9 @@
 """The corpus pipeline: five of the corpus operators in a row, each on all that the one before it kept.
 
-Every stage takes (spark, docs, sf_dir); all but the last return the columns of ``documents``. ``run`` writes each
-stage's rows to the shared folder and reads them again, so a lost executor repeats one stage at most.
+Every stage takes (spark, docs, sf_dir); all but the last return the columns of ``documents``, and columns beyond these
+are left out, whatever their names. An empty table gives an empty table. Texts of any length are read whole. Rows that
+repeat an id are rows of their own but where a stage says otherwise. ``run`` writes each stage's rows to the shared folder
+and reads them again, so a lost executor repeats one stage at most.
 """
 
 from __future__ import annotations
@@ -16,12 +18,19 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that a quality rule rejects go."""
+    """Documents that a quality rule rejects go.
+
+    Null and empty texts have no words and go; nulls in other columns stay as they are. Nothing hangs on order.
+    """
     return quality.keep_good(docs).select(*COLUMNS)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines of recurring templates go, but for each template's first document; documents stay, whatever is left of them."""
+    """Lines of recurring templates go, but for each template's first document; documents stay, whatever is left of them.
+
+    A null text stays null. A null id counts as the last; rows that share an id are one document, so they keep each other's
+    lines. n_chars is counted anew.
+    """
     kept = templates.drop_templates(docs, keep=("lang", "source"))
     return kept.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
@@ -31,7 +40,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Texts are linked if the SimHashes of their three-word shingles differ in two bits or fewer, or if they share 0.8 or
     more of their five-word shingles. Of rows that repeat an id and a text one stays; rows that share an id otherwise stay
-    or go together, as do those without an id, which stay if one of them has a group without any id.
+    or go together, as do those without an id, which stay if one of them has a group without any id. Null and empty texts
+    have one fingerprint, so they are one group.
     """
     first = simhash.near_duplicates(docs, similarity=0.8).where("doc_id <=> component_id").select(F.col("doc_id").alias("first")).distinct()
     kept = docs.join(first, F.col("doc_id").eqNullSafe(F.col("first")), "left_semi")
@@ -39,7 +49,11 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of the benchmark are cut out of the texts; a document goes if no word is left of it after a cut."""
+    """Passages of the benchmark are cut out of the texts; a document goes if no word is left of it after a cut.
+
+    Null and empty texts hold no passage and stay; so does everything if the benchmark has no words. An item without an id
+    counts like any other. n_chars is counted anew.
+    """
     clean = fmindex.scan(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), keep=("lang", "source"), cut=True)
     return (
         clean.where((F.col("n_hit") == 0) | (F.col("n_hit") < F.col("n_words")))
@@ -50,7 +64,9 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row for each document and epoch that the mix takes, with ``taken``, its words in that epoch.
 
-    Where a source's budget ends inside a document, the row holds that document's first words, joined by a space.
+    Where a source's budget ends inside a document, the row holds that document's first words, joined by a space. Texts
+    without words take nothing and have no row. A null source is a source of its own. Documents of a source go by a hash of
+    their id, rows that share it by size and text; those without an id by a hash of the text.
     """
     mixed = mixing.mix(docs, keep=COLUMNS[1:])
     full = F.floor(F.col("taken") / F.col("size")).cast("int")
