@@ -135,16 +135,6 @@ def _alike(pairs: DataFrame, made: DataFrame, texts: DataFrame, similarity: floa
             sets = [shingles(t.as_py(), hashes, shingle).view(np.int64) for t in b.column(1)]
             yield pa.record_batch([b.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["th", "s"])
 
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            x, y = b.column(2), b.column(3)
-            good = np.zeros(b.num_rows, bool)
-            for i in range(b.num_rows):
-                u, v = x[i].values.to_numpy(), y[i].values.to_numpy()
-                both = len(np.intersect1d(u, v, assume_unique=True))
-                good[i] = both >= similarity * (len(u) + len(v) - both)
-            yield pa.record_batch([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(good))
-
     size = lambda c: made.select(F.col("th").alias(c), F.col("n").alias(f"n{c}"), F.col("parts").alias(f"p{c}"))
     pairs = written(pairs.join(size("a"), "a").join(size("b"), "b").select("a", "b", "na", "nb", "pa", "pb").mapInArrow(near, "a long, b long"))
     if pairs.isEmpty():
@@ -152,7 +142,9 @@ def _alike(pairs: DataFrame, made: DataFrame, texts: DataFrame, similarity: floa
     met = written(pairs.select(F.explode(F.array("a", "b")).alias("th")).distinct())
     sets = written(among(texts.select("th", "text"), bitmap(met, "th"), "th").join(met, "th", "left_semi").dropDuplicates(["th"]).select("th", "text").mapInArrow(run, "th long, s array<long>"))
     side = lambda c: sets.select(F.col("th").alias(c), F.col("s").alias(f"s{c}"))
-    return written(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb").mapInArrow(check, "a long, b long"))
+    both = F.size(F.array_intersect("sa", "sb"))  # on the JVM, one pair at a time: sets can be long, and a batch of them large
+    alike = both * (1 + similarity) >= similarity * (F.size("sa") + F.size("sb")) - 1e-9
+    return written(pairs.join(side("a"), "a").join(side("b"), "b").where(alike).select("a", "b"))
 
 
 def similar(docs: DataFrame, text: str, similarity: float, shingle: int = 5) -> DataFrame:
