@@ -48,6 +48,18 @@ def written(df: DataFrame, compression: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def dropped(*tables: DataFrame) -> None:
+    """Deletes the files of tables that ``written`` has made, once all that reads them is written itself."""
+    for df in tables:
+        spark = df.sparkSession
+        mine = _FOLDERS.get(spark.sparkContext.applicationId, [])
+        held = {f.rsplit("/", 1)[0].rsplit("/", 1)[1] for f in df.inputFiles()}
+        for path in [p for p in mine if p.rsplit("/", 1)[1] in held]:
+            fs, p = _file_system(spark, path)
+            fs.delete(p, True)
+            mine.remove(path)
+
+
 def sweep(spark: SparkSession, keep: DataFrame | None = None) -> None:
     """Deletes what ``written`` has left in this application, but for ``keep``'s files. Only for when no lazy result still reads them."""
     held = {f.rsplit("/", 1)[0] for f in keep.inputFiles()} if keep is not None else set()
