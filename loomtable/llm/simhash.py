@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomtable.llm.common import WordHashes, among, bitmap, frequent, written
+from loomtable.llm.common import WordHashes, among, bitmap, dropped, frequent, written
 from loomtable.llm.graph import components
 
 SEGMENTS = 8
@@ -144,7 +144,9 @@ def _alike(pairs: DataFrame, made: DataFrame, texts: DataFrame, similarity: floa
     side = lambda c: sets.select(F.col("th").alias(c), F.col("s").alias(f"s{c}"))
     both = F.size(F.array_intersect("sa", "sb"))  # on the JVM, one pair at a time: sets can be long, and a batch of them large
     alike = both * (1 + similarity) >= similarity * (F.size("sa") + F.size("sb")) - 1e-9
-    return written(pairs.join(side("a"), "a").join(side("b"), "b").where(alike).select("a", "b"))
+    found = written(pairs.join(side("a"), "a").join(side("b"), "b").where(alike).select("a", "b"))
+    dropped(pairs, met, sets)
+    return found
 
 
 def similar(docs: DataFrame, text: str, similarity: float, shingle: int = 5) -> DataFrame:
@@ -168,8 +170,10 @@ def similar(docs: DataFrame, text: str, similarity: float, shingle: int = 5) ->
             )
 
     made = written(texts.select("th", "text").mapInArrow(run, "th long, n int, parts binary, keys array<long>").dropDuplicates(["th"]))
-    keyed = made.select("th", "n", F.posexplode("keys").alias("p", "key")).repartition("key")  # one shuffle for both uses
-    shared = keyed.groupBy("key").agg(F.count("*").alias("m"), F.min("th").alias("least")).where("m > 1")
+    keyed = made.select("th", "n", F.posexplode("keys").alias("p", "key")).repartition("key")
+    # The least row is taken whole: with the same columns in both uses the shuffle is one.
+    shared = keyed.groupBy("key").agg(F.count("*").alias("m"), F.min(F.struct("th", "n", "p")).alias("least"))
+    shared = shared.where("m > 1").select("key", "m", F.col("least.th").alias("least"))
     keyed = written(keyed.join(shared, "key"))
     few = keyed.where(F.col("m") <= HOT)
     a, b = few.alias("a"), few.alias("b")
@@ -182,10 +186,12 @@ def similar(docs: DataFrame, text: str, similarity: float, shingle: int = 5) ->
     grouped = hot.join(root, hot.th == root.node, "left").select("key", "th", "n", "p", F.coalesce("root", "th").alias("root"))
     split = grouped.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("key")
     grouped = written(grouped.join(split, "key"))
+    dropped(keyed, root)
     a = grouped.withColumn("part", F.pmod(F.xxhash64("th"), F.lit(PARTS)).cast("int")).alias("a")
     b = grouped.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(PARTS - 1)))).alias("b")
     apart = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.part") == F.col("b.part")) & (F.col("a.th") < F.col("b.th")) & (F.col("a.root") != F.col("b.root")) & _near_sizes(similarity))
     more = _alike(apart.select(F.col("a.th").alias("a"), F.col("b.th").alias("b")).distinct(), made, texts, similarity, shingle)
+    dropped(grouped, made)
     return edges.unionByName(more)
 
 
