@@ -218,14 +218,16 @@ def known_features(words: list[str], known: dict[str, float], roots: set[str], s
 def training_rows(docs: DataFrame, labels: DataFrame, label: str, folds: int, out: int, rows: int) -> DataFrame:
     """text, y of the first ``rows`` labelled documents by a hash of their id, without the held-out fold ``out``.
 
-    One row for each id, whatever the number of rows that repeat it: the first text in order, so ``rows`` bounds the sample.
+    One row for each id, whatever the number of rows that repeat it, so ``rows`` bounds the sample: the shortest text that is
+    not null, of those of one length the first in order.
     """
     ids = (
         labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & (crc_mod(F.col("doc_id"), folds) != out))
         .groupBy("doc_id").agg(F.max(label).alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     )
     found = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")  # ``rows`` ids at most
-    return found.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("y").alias("y")).select("text", "y")
+    least = F.min(F.when(F.col("text").isNotNull(), F.struct(F.length("text").alias("n"), "text")))
+    return found.groupBy("doc_id").agg(least["text"].alias("text"), F.max("y").alias("y")).select("text", "y")
 
 
 def fit(docs: DataFrame, labels: DataFrame, lm: np.ndarray, rows: int = FIT_ROWS) -> tuple[dict[str, float], float]:
