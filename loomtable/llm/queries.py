@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomtable.llm import fmindex, licenses, lm_score, mixing, nbsvm, quality, rlz, simhash, templates, toxicity
+from loomtable.llm import bpe, fmindex, licenses, lm_score, mixing, nbsvm, quality, rlz, simhash, templates, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,6 +58,17 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nbsvm.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    source = bpe.tokenizer_source(public_tokenizers.path("byte_bpe_50k.json"))
+    both = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), source), source)
+    return both.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_templates": op1_line_templates,
     "op2_lm_score": op2_lm_score,
@@ -69,6 +80,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_mixing": op9_mixing,
     "op10_quality_classifier": op10_quality_classifier,
+    "op13_bpe": op13_bpe,
 }
 
 ORACLES: dict[str, str] = {
