@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +12,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window as W
 
 from loomtable.sources.shared import dropped, shared_dir, sweep, written
 
@@ -39,6 +40,27 @@ def numbered(docs: DataFrame, doc_id: str = "doc_id") -> tuple[DataFrame, Column
     return docs.join(ids, F.col(f"`{doc_id}`") == F.col("__id"), "left").drop("__id"), F.coalesce("__rank", F.lit(LATE))
 
 
+def text_key(value: Column) -> Column:
+    """A value as a text that is never null and keeps the order of texts by their UTF-8 bytes, null first."""
+    return F.coalesce(F.concat(F.lit("="), value.cast("string")), F.lit("-"))
+
+
+def placed(rows: DataFrame, group: str, order: Sequence[Column]) -> DataFrame:
+    """``rows`` with i, their place from 0 in their group by ``order``, and size, the rows of the group. Written.
+
+    Rows are range-sorted by group and order, so a large group is spread over many tasks, and written as they are numbered: what is
+    counted afterwards is what was written. ``group`` is never null. A row for each group and partition gives the places before it.
+    """
+    by = [F.asc(group), *order]
+    laid = rows.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("__p", F.spark_partition_id()).withColumn("__at", F.monotonically_increasing_id())
+    laid = written(laid)
+    counts = laid.groupBy(group, "__p").agg(F.count("*").alias("__n"), F.min("__at").alias("__first"))
+    each = W.partitionBy(group)
+    before = F.sum("__n").over(each.orderBy("__p")) - F.col("__n")
+    shifts = written(counts.select(group, "__p", (before - F.col("__first")).alias("__shift"), F.sum("__n").over(each).alias("size")))
+    return written(laid.join(shifts, [group, "__p"]).withColumn("i", F.col("__at") + F.col("__shift")).drop("__p", "__at", "__shift"))
+
+
 #: A key of more than one row in so many is hot: there can be no more hot keys than this.
 HOT_SHARE = 4096
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomtable.llm import bpe, fmindex, licenses, lm_score, mixing, nbsvm, quality, rlz, simhash, templates, toxicity
+from loomtable.llm import bpe, fmindex, licenses, lm_score, merkle, mixing, nbsvm, quality, rlz, simhash, templates, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -58,6 +58,14 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nbsvm.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    proved = merkle.manifest(merkle.tampered(table(spark, sf_dir, "documents")), keep=("__claim",))
+    return proved.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(F.array_join(F.transform("proof", lambda p: F.concat(p["before"], p["after"])), ""), 256).alias("proof_sha256"),
+        merkle.fold(F.col("__claim"), F.col("proof")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -80,6 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_mixing": op9_mixing,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_merkle_manifest": op11_merkle_manifest,
     "op13_bpe": op13_bpe,
 }
 
@@ -90,5 +99,6 @@ ORACLES: dict[str, str] = {
     "op5_rlz": rlz.SQL,
     "op6_fm_index": fmindex.SQL,
     "op7_quality_rules": quality.SQL,
+    "op11_merkle_manifest": merkle.SQL,
     "op9_mixing": mixing.SQL.format(docs="documents", keep="doc_id,"),
 }

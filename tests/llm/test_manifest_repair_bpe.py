@@ -1,13 +1,14 @@
 """Merkle manifest, conversation repair and BPE against plain forms of the same rules."""
 
 import hashlib
+import zlib
 
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from loomtable.llm import bpe, queries
+from loomtable.llm import bpe, merkle, queries
 
 SF = "/root/testdata/sf0.001"
 
@@ -70,3 +71,99 @@ def test_bpe_of_nothing(spark, source):
 def test_other_tokenizers_are_refused():
     with pytest.raises(ValueError):
         bpe.Vocabulary(bpe.tokenizer_source(public_tokenizers.path("word_bpe_49k.json")))
+
+
+# --- Merkle manifest -----------------------------------------------------------------------------------------------------
+
+
+def h(x):
+    return hashlib.sha256(x.encode()).hexdigest()
+
+
+def plain_leaf(values):
+    return h("".join("-" if v is None else f"{len(str(v).encode())}:{v}" for v in values))
+
+
+def plain_tree(nodes):
+    """The root, and for each node its siblings level by level."""
+    paths, at = [[] for _ in nodes], list(range(len(nodes)))
+    while len(nodes) > 1:
+        for k, i in enumerate(at):
+            run = i // 16 * 16
+            paths[k].append(("".join(nodes[run:i]), "".join(nodes[i + 1:run + 16])))
+        nodes, at = [h("".join(nodes[r:r + 16])) for r in range(0, len(nodes), 16)], [i // 16 for i in at]
+    return nodes[0], paths
+
+
+def plain_manifest(rows):
+    """(doc_id, leaf, subroot, root, proof) of rows (doc_id, source, lang, n_chars, text)."""
+    groups = {}
+    for r in rows:
+        groups.setdefault((r[1] is not None, (r[1] or "").encode()), []).append(r)
+    trees, tops = [], []
+    for key in sorted(groups):
+        placed = sorted(((r[0] is not None, r[0] or 0, plain_leaf(r), r[0]) for r in groups[key]))
+        top, paths = plain_tree([x[2] for x in placed])
+        trees.append((placed, top, paths))
+        tops.append(top)
+    root, above = plain_tree(tops)
+    return [(x[3], x[2], top, root, p + above[k]) for k, (placed, top, paths) in enumerate(trees) for x, p in zip(placed, paths, strict=True)]
+
+
+def fields(r):
+    return (r.doc_id, r.source, r.lang, r.n_chars, r.text)
+
+
+def found(df):
+    return sorted(map(repr, ((r.doc_id, r.leaf, r.subroot, r.root, [(p.before, p.after) for p in r.proof]) for r in df.collect())))
+
+
+def test_fractal_paths_are_the_plain_ones():
+    for n in (1, 2, 15, 16, 17, 31, 256, 257, 300, 4095, 4096):
+        leaves = [h(str(i)) for i in range(n)]
+        levels = merkle.levels_of(n)
+        top, paths = plain_tree(leaves)
+        raw = [x.encode() for x in leaves]
+        assert merkle.block_root(raw, levels).decode() == top
+        assert [[(b.decode(), a.decode()) for b, a in p] for p in merkle.fractal(raw, levels)] == paths, n
+
+
+def test_last_block_of_a_large_tree_climbs_all_its_levels():
+    assert merkle.block_root([b"a" * 64], 3).decode() == h(h(h("a" * 64)))
+    assert list(merkle.fractal([b"a" * 64], 2)) == [[(b"", b""), (b"", b"")]]
+
+
+@pytest.mark.parametrize("block_levels", [1, 3])
+def test_manifest_is_the_plain_tree(spark, corpus, block_levels):
+    got = merkle.manifest(corpus, block_levels=block_levels)
+    assert found(got) == sorted(map(repr, plain_manifest([fields(r) for r in corpus.collect()])))
+    folded = got.select((merkle.fold(F.col("leaf"), F.col("proof")) == F.col("root")).alias("ok"))
+    assert folded.where("ok").count() == folded.count() == corpus.count()
+
+
+def test_manifest_of_sources_of_many_sizes(spark):
+    sizes = {None: 1, "": 3, "a": 16, "b": 17, "é": 300, "z": 4700, **{f"s{i:03}": 1 for i in range(40)}}
+    rows = [(i, s, "en", i % 5 or None, f"Text {i}") for s, n in sizes.items() for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, lang string, n_chars long, text string").repartition(7)
+    assert found(merkle.manifest(docs)) == sorted(map(repr, plain_manifest(rows)))
+
+
+def test_manifest_of_nothing(spark):
+    assert merkle.manifest(spark.createDataFrame([], "doc_id long, source string, lang string, n_chars long, text string")).count() == 0
+
+
+def test_manifest_query_finds_what_was_tampered_with(spark):
+    rows = {r.doc_id: r for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    plain = {d: (leaf, sub, root, proof) for d, leaf, sub, root, proof in plain_manifest([fields(r) for r in rows.values()])}
+    got = queries.op11_merkle_manifest(spark, SF).collect()
+    assert len(got) == len(rows)
+    caps = str.maketrans(merkle.UPPER, merkle.LOWER)
+    for g in got:
+        r = rows[g.doc_id]
+        seen = r.text.translate(caps) if r.text and zlib.crc32(str(r.doc_id).encode()) % 5 == 0 else r.text
+        leaf, sub, root, proof = plain[g.doc_id]
+        node = plain_leaf([r.doc_id, r.source, r.lang, r.n_chars, seen])
+        for b, a in proof:
+            node = h(b + node + a)
+        assert (g.leaf, g.subroot, g.root, g.proof_sha256, g.folded_root, g.verified) == (leaf, sub, root, h("".join(b + a for b, a in proof)), node, node == root)
+        assert g.verified == (seen == r.text)
