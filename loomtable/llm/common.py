@@ -154,6 +154,17 @@ def crc_mod(doc_id: Column, n: int) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(n))
 
 
+#: For SQL: the table t of crc32, from its polynomial, and the crc32 of a text of ASCII characters by it.
+CRC_TABLE = """crc_table AS (
+  SELECT list(list_reduce(list_prepend(b, range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) ORDER BY b) AS t FROM range(256) r(b)
+)"""
+
+
+def crc_sql(text: str) -> str:
+    codes = f"list_transform(string_split({text}, ''), lambda x: ascii(x)::BIGINT)"
+    return f"xor(4294967295, list_reduce(list_prepend(4294967295, {codes}), lambda c, b: xor(c // 256, t[xor(c % 256, b) + 1])))"
+
+
 def sha(texts: list[bytes], by: bytes) -> str:
     return hashlib.sha256(by.join(texts)).hexdigest()
 

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomtable.llm.common import beside, crc_mod, placed, text_key, written
+from loomtable.llm.common import CRC_TABLE, beside, crc_mod, crc_sql, placed, text_key, written
 
 FANOUT = 16
 #: Levels that one task climbs at once: blocks of 16^3 leaves.
@@ -198,13 +198,10 @@ def tampered(docs: DataFrame) -> DataFrame:
 
 
 #: The same in SQL: trees level by level, paths from the runs, crc32 from its polynomial.
-SQL = """
-WITH RECURSIVE crc_table AS (
-  SELECT list(list_reduce(list_prepend(b, range(8)), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) ORDER BY b) AS t FROM range(256) r(b)
-), docs AS (
+SQL = f"""
+WITH RECURSIVE {CRC_TABLE}, docs AS (
   SELECT doc_id, coalesce('=' || source, '-') AS g, source, lang, n_chars, text,
-    CASE WHEN xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
-      lambda c, b: xor(c // 256, t[xor(c % 256, b) + 1]))) % 5 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS seen
+    CASE WHEN {crc_sql('doc_id::VARCHAR')} % 5 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS seen
   FROM documents, crc_table
 ), head AS (
   SELECT doc_id, g, text, seen, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
@@ -230,10 +227,10 @@ WITH RECURSIVE crc_table AS (
   UNION ALL
   SELECT l.g, l.i, 1000 + r.level, (s.i // (16 ** r.level)::BIGINT) % 16, r.ds FROM leaves l JOIN subroots s USING (g) JOIN top_runs r ON r.run = s.i // (16 ** (r.level + 1))::BIGINT
 ), proofs AS (
-  SELECT g, i, list({'b': array_to_string(list_slice(ds, 1, spot), ''), 'a': array_to_string(list_slice(ds, spot + 2, 16), '')} ORDER BY level) AS p FROM steps GROUP BY g, i
+  SELECT g, i, list({{'b': array_to_string(list_slice(ds, 1, spot), ''), 'a': array_to_string(list_slice(ds, spot + 2, 16), '')}} ORDER BY level) AS p FROM steps GROUP BY g, i
 ), done AS (
   SELECT l.doc_id, l.leaf, s.subroot, (SELECT d FROM top WHERE n = 1) AS root, coalesce(q.p, []) AS p,
-    list_reduce(list_prepend({'b': l.claim, 'a': ''}, coalesce(q.p, [])), lambda x, y: {'b': sha256(y.b || x.b || y.a), 'a': ''}).b AS folded_root
+    list_reduce(list_prepend({{'b': l.claim, 'a': ''}}, coalesce(q.p, [])), lambda x, y: {{'b': sha256(y.b || x.b || y.a), 'a': ''}}).b AS folded_root
   FROM leaves l JOIN subroots s USING (g) LEFT JOIN proofs q ON q.g = l.g AND q.i = l.i
 )
 SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(p, lambda x: x.b || x.a), '')) AS proof_sha256, folded_root, folded_root = root AS verified FROM done

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomtable.llm import bpe, fmindex, licenses, lm_score, merkle, mixing, nbsvm, quality, rlz, simhash, templates, toxicity
+from loomtable.llm import bpe, fmindex, licenses, lm_score, merkle, mixing, nbsvm, quality, repair, rlz, simhash, templates, toxicity
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -66,6 +66,10 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.audited(table(spark, sf_dir, "conversations"))
+
+
 def op13_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -89,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_mixing": op9_mixing,
     "op10_quality_classifier": op10_quality_classifier,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_bpe": op13_bpe,
 }
 
@@ -100,5 +105,6 @@ ORACLES: dict[str, str] = {
     "op6_fm_index": fmindex.SQL,
     "op7_quality_rules": quality.SQL,
     "op11_merkle_manifest": merkle.SQL,
+    "op12_conversation_repair": repair.SQL,
     "op9_mixing": mixing.SQL.format(docs="documents", keep="doc_id,"),
 }

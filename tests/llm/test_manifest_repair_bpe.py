@@ -1,6 +1,8 @@
 """Merkle manifest, conversation repair and BPE against plain forms of the same rules."""
 
 import hashlib
+import random
+import re
 import zlib
 
 import public_tokenizers
@@ -8,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from loomtable.llm import bpe, merkle, queries
+from loomtable.llm import bpe, merkle, queries, repair
 
 SF = "/root/testdata/sf0.001"
 
@@ -167,3 +169,135 @@ def test_manifest_query_finds_what_was_tampered_with(spark):
             node = h(b + node + a)
         assert (g.leaf, g.subroot, g.root, g.proof_sha256, g.folded_root, g.verified) == (leaf, sub, root, h("".join(b + a for b, a in proof)), node, node == root)
         assert g.verified == (seen == r.text)
+
+
+# --- Conversation repair -------------------------------------------------------------------------------------------------
+
+GAP = " \t\n\x0b\x0c\r"
+
+
+def plain_damage(rows):
+    out = []
+    for conv, turn, role, text in rows:
+        s = lambda v: " " if v is None else str(v)
+        kind, role, text = zlib.crc32(f"{s(conv)}:{s(turn)}".encode()) % 20, s(role), s(text)
+        text = "" if kind == 1 else text.translate(dict.fromkeys(map(ord, ".!?"))) if kind == 2 else text
+        out += [(conv, turn, "user" if kind == 4 else role, text)] * (0 if kind == 0 else 2 if kind == 3 else 1)
+    return out
+
+
+def key_of(role, text):
+    return hashlib.md5(f"{len(role)}:{role}{text}".encode()).hexdigest()
+
+
+def plain_repair(rows):
+    """gaps, blank, duplicate, truncated, illegal, cost, audit and lines of one conversation, by the best way to each state (no bound, no queue)."""
+    rows = sorted(((turn is not None, turn or 0, role, key_of(role, text), text) for _, turn, role, text in rows))
+    turns = [t for known, t, *_ in rows if known]
+    faults, seen = [], set()
+    for _, _, role, _, text in rows:
+        body = text.strip(GAP)
+        faults.append("b" if not body else "d" if (role, text) in seen else "t" if body[-1] not in ".!?" else "")
+        seen.add((role, text))
+    step = {("", "s"): "s", ("", "u"): "u", ("s", "u"): "u", ("u", "a"): "a", ("a", "u"): "u"}
+    due = lambda q: "a" if q == "u" else "u"
+    name = {"u": "user", "a": "assistant"}
+
+    def closed(ways):
+        for _ in range(4):
+            for q, (c, a, lines) in list(ways.items()):
+                to = (c + 3, a + "I", [*lines, name[due(q)] + ":"])
+                ways[due(q)] = min(ways.get(due(q), to), to)
+        return ways
+
+    ways = {"": (0, "", [])}
+    for (_, _, role, _, text), fault in zip(rows, faults, strict=True):
+        after = {}
+        for q, (c, a, lines) in closed(ways).items():
+            moves = [(q, c + 4, "D", lines)]
+            if fault not in ("b", "d"):
+                more = 3 if fault == "t" else 0
+                to = q if role == "" else step.get((q, role[0]))
+                moves += [(to, c + more, "K", [*lines, f"{role}:{text}"])] if to is not None else []
+                moves.append((due(q), c + 3 + more, "R", [*lines, f"{name[due(q)]}:{text}"]))
+            for to, cost, letter, kept in moves:
+                after[to] = min(after.get(to, (cost, a + letter, kept)), (cost, a + letter, kept))
+        ways = after
+    cost, audit, lines = min(w for q, w in closed(ways).items() if q in ("", "a"))
+    initials = [r[2][:1] for r in rows]
+    illegal = sum(x + y not in ("su", "ua", "au") for x, y in zip(initials, initials[1:], strict=False))
+    return (max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0, *[faults.count(f) for f in "bdt"], illegal, cost, audit, lines)
+
+
+@pytest.fixture(scope="module")
+def talks(spark):
+    rng = random.Random(3)
+    rows = []
+    for conv in [None, *range(40)]:
+        for k in range(rng.randrange(1, 14)):
+            role = rng.choice(["user", "assistant", "user", "assistant", "system", "tool", None, "", "usher"])
+            text = rng.choice(["Hello there.", "So?", "cut off", "A\nB!", "", " \t", None, "é — ok.", f"n {k}.", f"n {k}"])
+            rows.append((conv, rng.choice([k, k, k, k - 1, None, 3]), role, text))
+    rows += [(500, 0, "user", "Only row is dropped")] * 3 + [(501, None, None, None)] + rows[5:9] + [(502, t, ("user", "assistant")[t % 2], f"Turn {t}. " + "la " * 3000 + ".") for t in range(30)]
+    return spark.createDataFrame([(*r, "x", 1) for r in rows], "conv_id long, turn long, role string, text string, g string, i int").repartition(4)
+
+
+def told(df):
+    return {r.conv_id: (r.gaps, r.blank, r.duplicate, r.truncated, r.illegal, r.cost, r.audit, r.repaired_sha256) for r in df.collect()}
+
+
+@pytest.mark.parametrize(("damage", "chunk"), [(True, 512), (False, 512), (True, 3), (False, 1)])
+def test_repair_is_the_cheapest(spark, talks, damage, chunk):
+    rows = [(r.conv_id, r.turn, r.role, r.text) for r in talks.collect()]
+    seen = plain_damage(rows) if damage else [(c, t, " " if r is None else r, " " if x is None else x) for c, t, r, x in rows]
+    by = {r[0]: [] for r in rows}
+    for r in seen:
+        by[r[0]].append(r)
+    wanted = {}
+    for conv, of in by.items():
+        *figures, lines = plain_repair(of) if of else (0, 0, 0, 0, 0, 0, "", [])
+        wanted[conv] = (*figures, hashlib.sha256("\n".join(lines).encode()).hexdigest())
+    assert told(repair.audited(talks, damage=damage, chunk=chunk)) == wanted
+
+
+def test_search_takes_the_least_of_all_ways():
+    """Against every sequence of edits up to two insertions between rows."""
+    rng = random.Random(8)
+
+    def every(run, i, state, cost, audit, idle):
+        if 2 * i == len(run) and state in (0, 3):
+            yield cost, audit
+        role = repair.wanted(state)
+        if idle < 2:
+            yield from every(run, i, repair.NEXT[state][role], cost + 3, audit + "I", idle + 1)
+        if 2 * i < len(run):
+            initial, fault = run[2 * i:2 * i + 2]
+            yield from every(run, i + 1, state, cost + 4, audit + "D", 0)
+            if fault not in "bd":
+                more = 3 if fault == "t" else 0
+                yield from every(run, i + 1, repair.NEXT[state][role], cost + 3 + more, audit + "R", 0)
+                if initial == "e" or initial in repair.NEXT[state]:
+                    yield from every(run, i + 1, state if initial == "e" else repair.NEXT[state][initial], cost + more, audit + "K", 0)
+
+    for n in [0, 1, 1, 2, 2, 3, 3, 3, 4, 4, 4, 4]:
+        for _ in range(4):
+            run = "".join(rng.choice("suauaxe") + rng.choice("00bdt") for _ in range(n))
+            assert repair.search(run, 0, True)[0] == min(every(run, 0, 0, 0, "", 0)), run
+
+
+def test_repaired_rows_have_no_faults_left(spark, talks):
+    rows = repair.repair(repair.damaged(talks))
+    by = {}
+    for r in sorted(rows.collect(), key=lambda r: r.step):
+        by.setdefault(r.conv_id, []).append(r)
+    assert len(by) > 30
+    for conv in by.values():
+        assert re.fullmatch("(s?(ua)+)?", "".join(r.role[:1] for r in conv))
+        kept = [(r.role, r.text) for r in conv if r.edit == "K"]
+        assert len(kept) == len(set(kept)) and all(t.strip(GAP) for _, t in kept)
+        assert all(r.text == "" for r in conv if r.edit == "I")
+
+
+def test_repair_of_nothing(spark):
+    none = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
+    assert repair.audited(none).count() == repair.repair(none).count() == 0
