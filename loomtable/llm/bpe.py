@@ -1,15 +1,16 @@
 """BPE encoding and decoding with a public byte-level tokenizer: each distinct word is merged once for the whole corpus.
 
 Documents are split into words in blocks of about ``BLOCK_BYTES`` of text. A block lists its distinct words once and keeps
-each document as the places of its words in that list. The lists of all blocks meet in a table of distinct words, whose ids
-are found once each; ids go back to the blocks by place, and a document's ids are put together in its block. What is shuffled
-is a row for each distinct word of a block and the places, about a byte a word, so a word in every document costs a row a
-block: no key holds more rows than there are blocks.
+each document as the places of its words in that list. The lists of all blocks meet in a table of distinct words, dealt over
+tasks by the words' hash, where each word's ids are found once; ids go back to the blocks by place, and a document's ids are put
+together in its block. Blocks are written in buckets, so documents are not shuffled at all, only each block's lists, packed. A word that every
+document holds stands once in the list of each block, so no key is hot.
 """
 
 from __future__ import annotations
 
 import json
+import zlib
 from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
@@ -21,10 +22,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomtable.llm.common import written
+from loomtable.llm.common import bucketed, parts, text_bytes
 
 #: Bytes of text in a block; a longer text is a block of its own.
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 8 << 20
+#: Bytes of text for each share of the table of distinct words: a share's words fit in one task whatever the corpus.
+SHARE_BYTES = 64 << 20
+#: Ids that decoding looks up at once.
+DECODED = 500_000
+#: Most buckets of the blocks' table.
+MOST_BUCKETS = 20_000
 #: How byte-level tokenizers of this family split a text (a fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _CODEC = "zstd"
@@ -112,9 +119,9 @@ def tokenizer_source(path: str) -> str:
         return f.read()
 
 
-def _packed(places: np.ndarray) -> bytes:
-    """Places as bytes: four planes, of which the high ones are mostly zero, compressed."""
-    planes = places.astype("<u4").view(np.uint8).reshape(-1, 4).T
+def _packed(numbers: np.ndarray) -> bytes:
+    """Numbers below 2^32 as bytes: four planes, of which the high ones are mostly zero, compressed."""
+    planes = numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T
     return pa.Codec(_CODEC).compress(np.ascontiguousarray(planes).tobytes(), asbytes=True)
 
 
@@ -131,13 +138,17 @@ class _Places(dict):
         return found
 
 
-def _blocks(docs: DataFrame, source, text: str, names: Sequence[str], block_bytes: int) -> DataFrame:
-    """Rows of two kinds, written: a document (its columns, block, n, body) and a word of a block (block, place, word)."""
-    fields = [T.StructField(f"__k{i}", docs.schema[n].dataType) for i, n in enumerate(names)]
-    schema = T.StructType([
-        *fields, T.StructField("__block", T.LongType()), T.StructField("__n", T.IntegerType()), T.StructField("__body", T.BinaryType()),
-        T.StructField("__place", T.IntegerType()), T.StructField("__word", T.StringType()),
-    ])
+#: Beside a document's columns: its block, how many words it has and their places; or a share of the block's words, in packed columns.
+_CUT = [
+    ("__block", T.LongType(), pa.int64()), ("__share", T.IntegerType(), pa.int32()), ("__n", T.IntegerType(), pa.int32()),
+    ("__places", T.BinaryType(), pa.binary()), ("__lengths", T.BinaryType(), pa.binary()), ("__words", T.BinaryType(), pa.binary()),
+]
+
+
+def _blocks(docs: DataFrame, source, text: str, names: Sequence[str], block_bytes: int, size: int, shares: int) -> DataFrame:
+    """Rows of two kinds, written and dealt by block: a document with the places of its words (share is null), and a block's words of one
+    share with theirs."""
+    schema = T.StructType([T.StructField(f"__k{i}", docs.schema[n].dataType) for i, n in enumerate(names)] + [T.StructField(n, t) for n, t, _ in _CUT])
     rows = docs.select(*[F.col(f"`{n}`").alias(f"__k{i}") for i, n in enumerate(names)], F.col(f"`{text}`").cast("string").alias("__t"))
     width = len(names)
 
@@ -145,25 +156,26 @@ def _blocks(docs: DataFrame, source, text: str, names: Sequence[str], block_byte
         counts = np.zeros(len(places), np.int64)
         for b in bodies:
             counts += np.bincount(b, minlength=len(places))
-        order = np.argsort(-counts, kind="stable")  # frequent words get small places
         rank = np.empty(len(places), np.int64)
-        rank[order] = np.arange(len(places))
+        rank[np.argsort(-counts, kind="stable")] = np.arange(len(places))  # frequent words get small places
         at = 0
         for keys in batches:
             m = keys.num_rows
             mine = bodies[at:at + m]
             at += m
             yield pa.RecordBatch.from_arrays([
-                *keys.columns, pa.array([block] * m, pa.int64()), pa.array([len(b) for b in mine], pa.int32()),
-                pa.array([_packed(rank[b]) for b in mine], pa.binary()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.string()),
+                *keys.columns, pa.array([block] * m, pa.int64()), pa.nulls(m, pa.int32()), pa.array([len(b) for b in mine], pa.int32()),
+                pa.array([_packed(rank[b]) for b in mine], pa.binary()), pa.nulls(m, pa.binary()), pa.nulls(m, pa.binary()),
             ], schema=arrow)
-        listed = list(places)
-        for a in range(0, len(order), 20_000):
-            part = order[a:a + 20_000]
-            m = len(part)
+        dealt: dict[int, list[bytes]] = {}
+        mapped = {w.encode(): i for w, i in places.items()}
+        for w in sorted(mapped):
+            dealt.setdefault(zlib.crc32(w) % shares, []).append(w)
+        for share, listed in dealt.items():
             yield pa.RecordBatch.from_arrays([
-                *[pa.nulls(m, f.type) for f in list(arrow)[:width]], pa.array([block] * m, pa.int64()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.binary()),
-                pa.array(np.arange(a, a + m, dtype=np.int32)), pa.array([listed[i] for i in part], pa.string()),
+                *[pa.nulls(1, f.type) for f in list(arrow)[:width]], pa.array([block], pa.int64()), pa.array([share], pa.int32()), pa.array([len(listed)], pa.int32()),
+                pa.array([_packed(rank[[mapped[w] for w in listed]])], pa.binary()), pa.array([_packed(np.array([len(w) for w in listed]))], pa.binary()),
+                pa.array([pa.Codec(_CODEC).compress(b"".join(listed), asbytes=True)], pa.binary()),
             ], schema=arrow)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,10 +185,7 @@ def _blocks(docs: DataFrame, source, text: str, names: Sequence[str], block_byte
         for b in batches:
             keys = pa.RecordBatch.from_arrays(b.columns[:width], names=b.schema.names[:width])
             if arrow is None:
-                arrow = pa.schema([
-                    *keys.schema, pa.field("__block", pa.int64()), pa.field("__n", pa.int32()), pa.field("__body", pa.binary()),
-                    pa.field("__place", pa.int32()), pa.field("__word", pa.string()),
-                ])
+                arrow = pa.schema([*keys.schema, *[pa.field(n, t) for n, _, t in _CUT]])
             begun = 0
             for i, t in enumerate(b.column(width)):
                 t = t.as_py() or ""
@@ -192,21 +201,44 @@ def _blocks(docs: DataFrame, source, text: str, names: Sequence[str], block_byte
         if held:
             yield from closed(block, held, places, bodies, arrow)
 
-    return written(rows.mapInArrow(run, schema))
+    return bucketed(rows.mapInArrow(run, schema), "__block", min(MOST_BUCKETS, parts(size, block_bytes // 2, 8)))
+
 
+def _known(lists: DataFrame, source) -> DataFrame:
+    """Ids of each block's words, from the table of distinct words: a share of the table is held by one task at a time.
 
-def word_table(words: DataFrame, source) -> DataFrame:
-    """Each distinct word once, with its ids (columns word, ids), written."""
+    Words are dealt to shares by their hash and the lists of a share come one after another, so each word of the corpus is encoded
+    once, when its first list comes, and every later list finds it in the table.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        voc = _vocabulary(source.value)
+        voc, codec = _vocabulary(source.value), pa.Codec(_CODEC)
+        table: dict[bytes, bytes] = {}
+        now = None
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(voc.ids(b.column(0).to_pylist()), pa.list_(pa.int32()))], names=["word", "ids"])
-
-    return written(words.select("word").distinct().mapInArrow(run, "word string, ids array<int>"))
-
-
-def encode(docs: DataFrame, source: str, doc_id: str = "doc_id", text: str = "text", keep: Sequence[str] = (), block_bytes: int = BLOCK_BYTES) -> DataFrame:
+            for share, block, n, places, lengths, body in zip(*[c.to_pylist() for c in b.columns], strict=True):
+                if share != now:
+                    table, now = {}, share
+                edges = np.concatenate([[0], np.cumsum(_unpacked(lengths, n), dtype=np.int64)]).tolist()
+                whole = codec.decompress(body, decompressed_size=edges[-1], asbytes=True)
+                words = [whole[x:y] for x, y in zip(edges[:-1], edges[1:], strict=True)]
+                new = [w for w in words if w not in table]
+                for w, ids in zip(new, voc.ids([w.decode() for w in new]), strict=True):
+                    table[w] = np.array(ids, "<u4").tobytes()
+                found = [table[w] for w in words]
+                flat = np.frombuffer(b"".join(found), "<u4")
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([block], pa.int64()), pa.array([n], pa.int32()), pa.array([places], pa.binary()),
+                    pa.array([_packed(np.array([len(x) // 4 for x in found]))], pa.binary()), pa.array([_packed(flat)], pa.binary()),
+                ], names=["__b", "__n", "__places", "__counts", "__ids"])
+
+    dealt = lists.select("__share", "__block", "__n", "__places", "__lengths", "__words").repartition("__share").sortWithinPartitions("__share")
+    return dealt.mapInArrow(run, "__b long, __n int, __places binary, __counts binary, __ids binary")
+
+
+def encode(
+    docs: DataFrame, source: str, doc_id: str = "doc_id", text: str = "text", keep: Sequence[str] = (), block_bytes: int = BLOCK_BYTES, share_bytes: int = SHARE_BYTES
+) -> DataFrame:
     """doc_id, the columns ``keep`` and ids (array of int) of every row, as the tokenizer whose file has the text ``source`` gives them.
 
     No tokens are added, nothing is cut or padded; the string of a special token in a text is that token, as in the
@@ -215,32 +247,34 @@ def encode(docs: DataFrame, source: str, doc_id: str = "doc_id", text: str = "te
     """
     spark, names = docs.sparkSession, [doc_id, *keep]
     shared = spark.sparkContext.broadcast(source)
-    cut = _blocks(docs, shared, text, names, block_bytes)
-    listed = cut.where("__word is not null").select("__block", "__place", F.col("__word").alias("word"))
-    known = listed.join(word_table(listed, shared), "word").select(F.col("__block").alias("__b"), "__place", "ids")
-    bodies = cut.where("__word is null").drop("__place", "__word")
+    size = text_bytes(docs, text)
+    cut = _blocks(docs, shared, text, names, block_bytes, size, parts(size, share_bytes))
+    known = _known(cut.where("__share is not null"), shared)
+    bodies = cut.where("__share is null").drop("__share", "__lengths", "__words")
     schema = T.StructType([*[T.StructField(f"__k{i}", docs.schema[n].dataType) for i, n in enumerate(names)], T.StructField("__ids", T.ArrayType(T.IntegerType()))])
     width = len(names)
 
     def put_together(left: pa.Table, right: pa.Table) -> pa.Table:
-        left, right = left.combine_chunks(), right.combine_chunks()
-        m = right.num_rows
-        starts, lengths, flat = np.zeros(m, np.int64), np.zeros(m, np.int64), np.zeros(0, np.int32)
-        if m:
-            lists = right.column("ids").chunk(0)
-            off = lists.offsets.to_numpy().astype(np.int64)
-            place = right.column("__place").to_numpy()
-            starts[place], lengths[place], flat = off[:-1], np.diff(off), lists.values.to_numpy()
-        parts, sizes = [], []
-        for body, n in zip(left.column("__body"), left.column("__n").to_pylist(), strict=True):
+        left = left.combine_chunks()
+        lists = [(_unpacked(p, n), _unpacked(c, n), i) for n, p, c, i in zip(*[right.column(c).to_pylist() for c in ("__n", "__places", "__counts", "__ids")], strict=True)]
+        size = sum(len(p) for p, _, _ in lists)
+        starts, lengths, flats, base = np.zeros(size, np.int64), np.zeros(size, np.int64), [np.zeros(0, np.int32)], 0
+        for place, count, ids in lists:
+            total = int(count.sum())
+            lengths[place] = count
+            starts[place] = base + np.cumsum(count, dtype=np.int64) - count
+            flats.append(_unpacked(ids, total).astype(np.int32))
+            base += total
+        flat, made, sizes = np.concatenate(flats), [], []
+        for body, n in zip(left.column("__places"), left.column("__n").to_pylist(), strict=True):
             at = _unpacked(body.as_py(), n)
             many = lengths[at]
             total = int(many.sum())
             first = np.repeat(starts[at] - (np.cumsum(many) - many), many)
-            parts.append(flat[first + np.arange(total)])
+            made.append(flat[first + np.arange(total)])
             sizes.append(total)
         offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-        ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(parts) if parts else flat, pa.int32()))
+        ids = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([flat[:0], *made]), pa.int32()))
         return pa.table([*left.columns[:width], ids], names=[*left.column_names[:width], "__ids"])
 
     made = bodies.groupBy("__block").cogroup(known.groupBy("__b")).applyInArrow(put_together, schema)
@@ -267,16 +301,24 @@ def decode(rows: DataFrame, source: str, ids: str = "ids", into: str = "decoded"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = pa.array([*_pieces(shared.value), b""], pa.large_binary())
         none = len(table) - 1
-        for b in batches:
+
+        def texts(b: pa.RecordBatch) -> pa.RecordBatch:
             lists = b.column(at)
             lists = lists.fill_null([]) if lists.null_count else lists
             edge = lists.offsets.to_numpy().astype(np.int64)
             wanted = lists.values.fill_null(none).to_numpy()[edge[0]:edge[-1]]
-            found = table.take(pa.array(np.where((wanted >= 0) & (wanted < none), wanted, none)))
+            found = table.take(pa.array(np.where((wanted >= 0) & (wanted < none), wanted, np.int32(none))))
             buffers = found.buffers()
             offsets = np.frombuffer(buffers[1], np.int64)[found.offset:found.offset + len(found) + 1] if len(found) else np.zeros(1, np.int64)
             data, cuts = memoryview(buffers[2] or b""), offsets[edge - edge[0]]
-            texts = [bytes(data[x:y]).decode("utf-8", "replace") for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], names=[*b.schema.names, into])
+            made = [bytes(data[x:y]).decode("utf-8", "replace") for x, y in zip(cuts[:-1], cuts[1:], strict=True)]
+            return pa.RecordBatch.from_arrays([*b.columns, pa.array(made, pa.string())], names=[*b.schema.names, into])
+
+        for b in batches:
+            ends, begun = b.column(at).offsets.to_numpy(), 0
+            while begun < b.num_rows:  # rows of about DECODED ids at once, a row at least
+                end = max(begun + 1, int(np.searchsorted(ends, ends[begun] + DECODED, "right")) - 1)
+                yield texts(b.slice(begun, end - begun))
+                begun = end
 
     return rows.select(*[F.col(f"`{c}`") for c in kept]).mapInArrow(run, schema)

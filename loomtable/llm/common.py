@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
-from loomtable.sources.shared import dropped, shared_dir, sweep, written
+from loomtable.sources.shared import bucketed, dropped, shared_dir, sweep, written
 
-__all__ = ["dropped", "shared_dir", "sweep", "written"]
+__all__ = ["bucketed", "dropped", "shared_dir", "sweep", "written"]
 
 #: Code points that separate words in most contracts: space and tab to carriage return.
 SPACES = " \t\n\x0b\x0c\r"
