@@ -32,6 +32,12 @@ def normalised(listings: DataFrame) -> DataFrame:
     return listings.withColumn("title", X.normal(F.coalesce("title", F.lit("")))).withColumn("attributes", present).withColumn("attributes", X.normal_values(F.col("attributes")))
 
 
+def keyed(listings: DataFrame, schema: Schema) -> DataFrame:
+    """``listings`` normalised, with content_hash and __first: the reason that a listing has in itself."""
+    rows = normalised(listings).withColumn("content_hash", X.content_hash(F.col("title"), F.col("attributes")))
+    return rows.withColumn("__first", F.when(F.col("title") == "", F.lit("empty_title")).when(~valid(F.col("attributes"), schema), F.lit("invalid_attrs")))
+
+
 def with_reason(listings: DataFrame, schema: Schema, *, deduplicate: bool = True, require_images: bool = False, seq: str = "seq") -> DataFrame:
     """``listings`` normalised, with content_hash and drop_reason.
 
@@ -41,9 +47,7 @@ def with_reason(listings: DataFrame, schema: Schema, *, deduplicate: bool = True
     and reduced to their smallest ``seq`` before that, so a hash that a third of all rows share is one row a task; listings
     meet the ``seq`` of duplicates, and stay where they are while those are few enough for the planner to broadcast.
     """
-    rows = normalised(listings).withColumn("content_hash", X.content_hash(F.col("title"), F.col("attributes")))
-    first = F.when(F.col("title") == "", F.lit("empty_title")).when(~valid(F.col("attributes"), schema), F.lit("invalid_attrs"))
-    rows = rows.withColumn("__first", first)
+    rows = keyed(listings, schema)
     no_image = F.size(F.coalesce("image_urls", F.array().cast("array<string>"))) == 0
     last = F.when(no_image, F.lit("missing_images")) if require_images else F.lit(None).cast("string")
     if deduplicate:

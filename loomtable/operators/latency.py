@@ -8,9 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from loomtable.operators.quantiles import percentiles
+
 
 def percentile(x: Column, p: float) -> Column:
-    """Percentile with linear interpolation; 0.0 without values."""
+    """Percentile with linear interpolation as an aggregate, for groups that fit in a task; 0.0 without values. ``quantiles`` has one for any group."""
     return F.coalesce(F.percentile(x, F.lit(p / 100)), F.lit(0.0))
 
 
@@ -47,14 +49,17 @@ def batches(done: DataFrame, by: Sequence[str], ok: str | None = None) -> DataFr
     only = lambda c: F.when(good, F.col(c))
     total = F.sum(F.when(good, F.aggregate("token_latencies_ms", F.lit(0.0), lambda a, x: a + x)))
     count = F.sum(F.when(good, F.size("token_latencies_ms")))
-    shares = [(f"p{p}_{short}_ms", percentile(only(c), p)) for c, short in (("total_latency_ms", "latency"), ("ttft_ms", "ttft")) for p in (50, 95, 99)]
-    return done.groupBy(*by).agg(
-        *[x.alias(n) for n, x in shares],
+    shares = {f"p{p}_{short}_ms": (only(c), p) for c, short in (("total_latency_ms", "latency"), ("ttft_ms", "ttft")) for p in (50, 95, 99)}
+    ranked = percentiles(done, by, shares).select(F.struct(*by, F.lit(0).alias("__all")).alias("__g"), *shares)
+    rest = done.groupBy(*by).agg(
         F.coalesce(F.avg(only("tokens_per_sec")), F.lit(0.0)).alias("avg_tokens_per_sec"),
         F.coalesce(F.when(count > 0, total / count), F.lit(0.0)).alias("avg_per_token_latency_ms"),
         F.coalesce(F.avg(only("completion_tokens")), F.lit(0.0)).alias("avg_completion_tokens"),
         F.count_if(good).alias("requests"), F.count_if(~good).alias("failed_requests"),
     )
+    both = rest.withColumn("__g", F.struct(*by, F.lit(0).alias("__all"))).join(ranked, "__g", "left")
+    last = ["avg_tokens_per_sec", "avg_per_token_latency_ms", "avg_completion_tokens", "requests", "failed_requests"]
+    return both.select(*by, *[F.coalesce(n, F.lit(0.0)).alias(n) for n in shares], *last)
 
 
 def gpu(samples: DataFrame) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
 from loomtable.plans.config import shares
+from loomtable.sources.shared import written
 
 ROWS_A_RANGE = 50_000
 MISSING = "_unknown_"
@@ -40,11 +41,15 @@ def ranked(df: DataFrame, key: str, seed: int, by: Sequence[str] = ()) -> DataFr
 
 
 def in_order(df: DataFrame, seq: str) -> DataFrame:
-    """``df`` with place, from 0, in order of ``seq``: range-sorted, numbered inside each range, shifted by the ranges before it."""
-    rows = df.repartitionByRange(seq).sortWithinPartitions(seq).withColumn("__p", F.spark_partition_id()).withColumn("__at", F.monotonically_increasing_id())
+    """``df`` with place, from 0, in order of ``seq``: range-sorted, numbered inside each range, shifted by the ranges before it.
+
+    The numbered rows are written before they are counted. Ranges come from a sample, so rows that are sorted again for the count may
+    fall into other ranges than those that were numbered, and a join of the two would lose some and repeat others.
+    """
+    rows = written(df.repartitionByRange(seq).sortWithinPartitions(seq).withColumn("__p", F.spark_partition_id()).withColumn("__at", F.monotonically_increasing_id()))
     counts = rows.groupBy("__p").agg(F.count("*").alias("__n"), F.min("__at").alias("__first"))
     before = F.sum("__n").over(W.orderBy("__p")) - F.col("__n")  # a row for each range
-    shifts = counts.select("__p", (before - F.col("__first")).alias("__shift"))
+    shifts = written(counts.select("__p", (before - F.col("__first")).alias("__shift")))
     return rows.join(shifts, "__p").withColumn("place", F.col("__at") + F.col("__shift")).drop("__p", "__at", "__shift")
 
 

@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from loomtable.functions import text as X
 from loomtable.operators import chat, clean, compare, images, ingest, latency, metrics, pages, predict, split
 from loomtable.sources import files, sinks
+from loomtable.sources.shared import fresh
+from loomtable.streaming import live, stateful
+from loomtable.operators.quantiles import percentiles
 from loomtable.plans.config import Settings
 from loomtable.plans.schema import Attribute, Schema, attribute_table, json_schema, system_prompt, value_prompt
 
@@ -464,12 +467,33 @@ def w06(spark, d):
     return split.cycled(table(spark, d, "pages").select("page_id"), "page_id", 1000, 3).select("i", "page_id")
 
 
+# Readers of large files: written to the shared folder, then cut over splits
+
+
+@query("s02_csv_rows", "SELECT page_id, url, md5(html) AS h, 1 AS rest FROM (SELECT page_id, url, replace(html, '<', chr(10) || '\"<') AS html FROM pages)")
+def s02(spark, d):
+    path = fresh(spark)
+    rows = table(spark, d, "pages").select("page_id", "url", F.replace("html", F.lit("<"), F.lit('\n"<')).alias("html"))
+    rows.write.option("header", True).option("quoteAll", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path)
+    back = files.read_csv(spark, path, header=["page_id", "url"], overflow="rest")
+    return back.select(F.col("page_id").cast("long").alias("page_id"), "url", F.md5(F.get("rest", F.lit(0)).cast("binary")).alias("h"), F.size("rest").alias("rest"))
+
+
+@query("s03_json_array", "SELECT doc_id, md5(text) AS h, source FROM documents")
+def s03(spark, d):
+    path = fresh(spark)
+    rows = table(spark, d, "documents").select("doc_id", "text", "source")
+    sinks.write_json_arrays(rows, path)
+    return files.read_array(spark, path, rows.schema).select("doc_id", F.md5(F.col("text").cast("binary")).alias("h"), "source")
+
+
 # Latency
 
 
 @query("a09_percentiles", "SELECT event_type, round(quantile_cont(value, 0.5), 6) AS p50, round(quantile_cont(value, 0.95), 6) AS p95, round(quantile_cont(value, 0.99), 6) AS p99 FROM events GROUP BY event_type")
 def a09(spark, d):
-    return table(spark, d, "events").groupBy("event_type").agg(*[F.round(latency.percentile(F.col("value"), p), 6).alias(f"p{p}") for p in (50, 95, 99)])
+    got = percentiles(table(spark, d, "events"), ["event_type"], {f"p{p}": (F.col("value"), p) for p in (50, 95, 99)})
+    return got.select("event_type", *[F.round(f"p{p}", 6).alias(f"p{p}") for p in (50, 95, 99)])
 
 
 @query("w02_deltas", f"WITH {E} SELECT request_id, event_id, round((ts - lag(ts) OVER (PARTITION BY request_id ORDER BY ts, event_id)) * 1000, 3) AS delta_ms FROM e")
@@ -607,9 +631,9 @@ def j08(spark, d):
     return pages.crawl(_stored_site(spark, d), site).select("url", "title", F.col("attributes")["t"].alias("t"), F.get("image_urls", F.lit(0)).alias("image"))
 
 
-@query("s16_scrolled", "SELECT concat('http://h/', p_partkey) AS link, row_number() OVER (ORDER BY scroll, p_partkey) AS seq FROM (SELECT p_partkey, p_size AS scroll FROM part WHERE p_partkey <= 150) WHERE scroll < coalesce((SELECT min(i) FROM (SELECT unnest(generate_series(2, 50)) AS i) WHERE i <= (SELECT max(p_size) FROM part WHERE p_partkey <= 150) AND i NOT IN (SELECT p_size FROM part WHERE p_partkey <= 150)), 1000)")
+@query("s16_scrolled", "SELECT concat('http://h/', p_partkey) AS link, row_number() OVER (ORDER BY scroll, p_partkey) AS seq FROM (SELECT p_partkey, p_size AS scroll FROM part) WHERE scroll < coalesce((SELECT min(i) FROM (SELECT unnest(generate_series(2, 50)) AS i) WHERE i <= (SELECT max(p_size) FROM part) AND i NOT IN (SELECT p_size FROM part)), 1000)")
 def s16(spark, d):
-    p = table(spark, d, "part").where("p_partkey <= 150")
+    p = table(spark, d, "part")
     last = p.agg(F.max("p_size").alias("last"))
     shots = spark.range(1, 51).select(F.col("id").cast("int").alias("scroll")).join(last, F.col("scroll") <= F.col("last"))
     link = F.concat(F.lit('<a class="i" href="'), F.col("p_partkey"), F.lit('">x</a>'))
@@ -668,9 +692,40 @@ def o01(spark, d):
 
 @query("x_event_windows", "SELECT strftime(time_bucket(INTERVAL '1 hour', ts), '%Y-%m-%d %H:%M:%S') AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2")
 def x_windows(spark, d):
-    e = table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
-    got = e.groupBy(F.window("ts", "1 hour"), "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))
-    return got.select(F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("start"), "event_type", "n", "total")
+    got = live.event_counts(table(spark, d, "events").withColumn("ts", F.col("ts").cast("timestamp")))
+    return got.select(F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("start"), "event_type", "n", F.round("total", 4).alias("total"))
+
+
+def _arrivals(spark, rows, order, make, into):
+    """Three shares of ``rows`` in ``order``, each run through the stream when it has arrived: the stream is started again from its checkpoint each time."""
+    arrived, out, checkpoint = fresh(spark), fresh(spark), fresh(spark)
+    edges = [None, *rows.approxQuantile(order, [1 / 3, 2 / 3], 0.01), None]
+    for low, high in zip(edges[:-1], edges[1:], strict=True):
+        share = rows.where((F.lit(low is None) | (F.col(order) >= F.lit(low))) & (F.lit(high is None) | (F.col(order) < F.lit(high))))
+        share.write.mode("append").parquet(arrived)
+        stateful.run_arrived(make(spark.readStream.schema(rows.schema).parquet(arrived)), out, checkpoint)
+    into.append((arrived, out, checkpoint))
+    return spark.read.parquet(out)
+
+
+@query("x04_first_of_arrivals", f"WITH {L} SELECT seq, content_hash FROM w WHERE r1 IS NULL AND rn = 1")
+def x04(spark, d):
+    return _arrivals(spark, listings(spark, d), "seq", lambda s: stateful.distinct_listings(s, DOCS), []).select("seq", "content_hash")
+
+
+@query("x01_request_stream", f"WITH {_REQ} SELECT request_id, round(ttft_ms, 3) AS ttft_ms, round(total_latency_ms, 3) AS total_latency_ms, completion_tokens, round(tokens_per_sec, 9) AS tokens_per_sec, n_gaps FROM m")
+def x01(spark, d):
+    rows = chunks(spark, d).withColumn("at", F.col("ts")).withColumn("ts", F.timestamp_micros((F.col("ts") * 1e6).cast("long"))).withColumn("start", F.timestamp_seconds("start"))
+    ends: list = []
+    make = lambda s: stateful.requests(s, silence="400 days", late="1 day")
+    _arrivals(spark, rows, "at", make, ends)
+    arrived, out, checkpoint = ends[0]
+    for year in (2030, 2032):  # what comes much later moves the time on: silent requests end
+        last = rows.limit(1).withColumn("request_id", F.lit(-year).cast("long")).withColumn("ts", F.lit(f"{year}-01-01").cast("timestamp"))
+        last.write.mode("append").parquet(arrived)
+        stateful.run_arrived(make(spark.readStream.schema(rows.schema).parquet(arrived)), out, checkpoint)
+    r = spark.read.parquet(out).where("request_id >= 0")
+    return r.select("request_id", F.round("ttft_ms", 3).alias("ttft_ms"), F.round("total_latency_ms", 3).alias("total_latency_ms"), "completion_tokens", F.round("tokens_per_sec", 9).alias("tokens_per_sec"), F.size("token_latencies_ms").cast("long").alias("n_gaps"))
 
 
 # Rows that other queries only pass through

@@ -12,6 +12,8 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window as W
 
 from loomtable.plans.schema import EVAL_RESULT, LISTING, MANIFEST, PREDICTION
+from loomtable.sources.cut import Json, Malformed, csv_cells, json_elements
+from loomtable.sources.shared import written
 
 _SUFFIX = re.compile(r"(\d+)$")
 
@@ -47,26 +49,39 @@ def read_listings(spark: SparkSession, path: str) -> DataFrame:
     return parsed.withColumn("attributes", F.map_from_entries(F.map_entries("attributes")))  # keeps the last of repeated keys
 
 
-def read_csv(spark: SparkSession, path: str, header: list[str] | None = None) -> DataFrame:
-    """A table with a header (S02): all values text, quoted newlines allowed; missing and empty cells are null."""
-    if header is None:
-        with_head = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
-        header = with_head.columns
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
-    return spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+def read_csv(spark: SparkSession, path: str, header: list[str] | None = None, *, overflow: str | None = None, seq: str | None = None) -> DataFrame:
+    """A table with a header in each file (S02): all values text, line ends in quotes allowed, files split all the same (``cut``).
+
+    Cells that a short row lacks are null. Cells beyond the header go to ``overflow``, an array, if it is named; of columns
+    with one name the last counts; empty rows are left out. ``seq`` numbers the rows in order of the files.
+    """
+    rows = written(csv_cells(spark, path))
+    heads = rows.groupBy("file").agg(F.min("seq").alias("__head"), F.min_by("cells", "seq").alias("__names"))  # a row a file
+    first = heads.orderBy("file").first()
+    names = header or (first["__names"] if first else [])
+    at = {name: i for i, name in enumerate(names)}
+    over = F.when(F.size("cells") > len(names), F.slice("cells", len(names) + 1, 1 << 30))
+    other = F.raise_error(F.concat(F.lit("another header than the first file's: "), F.col("file"))).cast("boolean")
+    same = F.lit(True) if header else F.when(F.col("__names") != F.array(*map(F.lit, names)).cast("array<string>"), other).otherwise(True)
+    body = rows.join(heads, "file").where(F.col("seq") > F.col("__head")).where(same)
+    return body.select(*([F.col("seq").alias(seq)] if seq else []), *[F.get("cells", F.lit(i)).alias(name) for name, i in at.items()], *([over.alias(overflow)] if overflow else []))
+
+
+def read_array(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The objects of JSON arrays (S03, S07), each parsed once; a file's splits are read by many tasks, on one line or many.
+
+    ``cut.Malformed`` if a file is no array of objects, an error when it is read if an object can't be parsed."""
+    return json_elements(spark, path).select(F.from_json("text", schema, {"mode": "FAILFAST"}).alias("r")).select("r.*")
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A JSON array, or else one object a line (S03). What begins like an array but is none is read as lines."""
-    head = spark.read.text(path).select(F.ltrim("value").alias("v")).where("v <> ''").first()
+    head = spark.read.option("lineSep", Json.sep).text(path).select(F.regexp_replace("value", r"^\s+", "").alias("v")).where("v <> ''").first()
     if head and head.v.startswith("["):
-        whole = spark.read.schema(schema).option("multiLine", True).option("mode", "FAILFAST").json(path)
         try:
-            whole.write.format("noop").mode("overwrite").save()
-            return whole
-        except Exception as e:  # noqa: BLE001  Spark's and Java's errors alike
-            if not re.search("MALFORMED_RECORD|BadRecord|malformed", str(e), re.I):
-                raise
+            return read_array(spark, path, schema)
+        except Malformed:
+            pass
     return read_jsonl(spark, path, schema)
 
 
@@ -78,7 +93,7 @@ def read_results(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 def read_manifest(spark: SparkSession, path: str) -> DataFrame:
     """An image manifest: a JSON array of listings' files and hashes."""
-    return spark.read.schema(MANIFEST).option("multiLine", True).option("mode", "FAILFAST").json(path)
+    return read_array(spark, path, MANIFEST)
 
 
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:

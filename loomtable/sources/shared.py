@@ -48,6 +48,15 @@ def written(df: DataFrame, compression: str = "zstd") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(spark: SparkSession) -> str:
+    """A path in the shared folder for files that others read; what is written there goes as the files of ``written`` do."""
+    path = f"{shared_dir(spark)}/stage-{uuid.uuid4().hex}"
+    fs, p = _file_system(spark, path)
+    fs.deleteOnExit(p)
+    _FOLDERS.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
+
+
 def bucketed(df: DataFrame, key: str, buckets: int, compression: str = "zstd") -> DataFrame:
     """As ``written``, in files dealt by the hash of ``key``: a group, join or cogroup by it reads them in place, without a shuffle.
 

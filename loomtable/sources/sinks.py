@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import json
 import os
+from collections.abc import Iterator
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +24,21 @@ def write_text(df: DataFrame, column: str, path: str) -> None:
     df.select(F.col(column).alias("value")).write.mode("overwrite").text(path)
 
 
+def write_json_arrays(df: DataFrame, path: str) -> None:
+    """JSON arrays, one in each part file, an object a line (K04 for tables of any size): no row leaves its task. ``files.read_array`` reads them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lead = "["
+        for b in batches:
+            if b.num_rows:
+                lines = b.column(0).to_pylist()
+                yield pa.RecordBatch.from_arrays([pa.array([(lead if i == 0 else ",") + t for i, t in enumerate(lines)])], names=["value"])
+                lead = ","
+        yield pa.RecordBatch.from_arrays([pa.array(["[]" if lead == "[" else "]"])], names=["value"])
+
+    df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})).mapInArrow(run, "value string").write.mode("overwrite").text(path)
+
+
 def write_splits(df: DataFrame, path: str, split: str = "split") -> dict[str, int]:
     """One folder for each split (K02, K03); the rows in each and in total."""
     df.write.mode("overwrite").partitionBy(split).option("ignoreNullFields", False).json(path)
