@@ -34,12 +34,12 @@ _EDGES = bytes(c for c in range(128) if not chr(c).isalnum())
 
 
 class _Shapes(dict):
-    """Shape of a word from its characters' kinds, kept for a bounded number of spellings."""
+    """Shape of a whole word from its characters' kinds, kept for a bounded number of spellings."""
 
     def __missing__(self, kinds: bytes) -> bytes:
         if len(self) > 200_000:
             self.clear()
-        found = self[kinds] = _MARKS.sub(rb"\1\1", _RUN.sub(rb"\1", kinds))[:12]
+        found = self[kinds] = _MARKS.sub(rb"\1\1", _RUN.sub(rb"\1", kinds))
         return found
 
 

@@ -1,6 +1,7 @@
 import hashlib
 import math
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 from pathlib import Path
@@ -196,6 +197,34 @@ def all_readings(lattice):
     return paths
 
 
+def test_wildcards_stand_for_a_letter_each():
+    """Runs of wildcards against every path of their lattice; and a long row of them in bounded time."""
+    rng = np.random.default_rng(4)
+    lm = toxicity.language_model(rng.integers(0, 50, toxicity.BASE**toxicity.ORDER) * (rng.random(toxicity.BASE**toxicity.ORDER) < 0.1))
+    r, flat = toxicity.Restorer(lm), lm.reshape(toxicity.BASE**3, toxicity.BASE)
+
+    def worth(chars, cost):
+        state, total = 0, -cost
+        for x in (*chars, 0):
+            total += float(flat[state, x])
+            state = (state * toxicity.BASE + x) % toxicity.BASE**3
+        return total
+
+    for token in ("f**k", "*ab#", "a*#1", "x#*y"):
+        text = lambda chars: "".join(" " if x == 0 else chr(96 + x) for x in chars)
+        best = max(((worth(c, cost), text(c)) for c, cost in all_readings(r.lattice(token))), key=lambda x: x[0])
+        mine = r.restore(token)
+        assert mine == best[1], token
+    assert {c[1:3] for c, _ in all_readings(r.lattice("f**k")) if len(c) == 4} >= {(1, 2), (3, 20), (21, 3)}
+    plain = np.zeros(toxicity.BASE**toxicity.ORDER, np.int64)
+    x = np.frombuffer(b"\0\0\0" + ("duck " * 200).encode().translate(toxicity._CLASS) + b"\0", np.uint8).astype(np.int64)
+    np.add.at(plain, ((x[:-3] * 32 + x[1:-2]) * 32 + x[2:-1]) * 32 + x[3:], 1)
+    assert toxicity.Restorer(toxicity.language_model(plain)).restore("d**k") == "duck"
+    began = time.process_time()
+    r.restore("a" + "*#" * 19 + "b")
+    assert time.process_time() - began < 2
+
+
 def test_decoder_takes_the_best_of_all_paths():
     rng = np.random.default_rng(9)
     lm = toxicity.language_model(rng.integers(0, 50, toxicity.BASE**toxicity.ORDER) * (rng.random(toxicity.BASE**toxicity.ORDER) < 0.2))
