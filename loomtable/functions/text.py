@@ -146,7 +146,8 @@ def resolve_url(base: pd.Series, url: pd.Series) -> pd.Series:
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
-def _python_texts(x: pd.Series) -> pd.Series:
+def python_texts(x: pd.Series) -> pd.Series:
+    """JSON texts as Python prints their values (T04): True, None, 1.0, ['a']."""
     return x.map(lambda values: [str(json.loads(v)) for v in values], na_action="ignore")
 
 
@@ -157,4 +158,4 @@ def python_attributes(line: Column) -> Column:
     in code point order, as VARIANT keeps them.
     """
     found = F.try_variant_get(F.try_parse_json(line), "$.attributes", "map<string,variant>")
-    return F.map_from_arrays(F.map_keys(found), _python_texts(F.transform(F.map_values(found), lambda v: F.coalesce(F.to_json(v), F.lit("null")))))
+    return F.map_from_arrays(F.map_keys(found), python_texts(F.transform(F.map_values(found), lambda v: F.coalesce(F.to_json(v), F.lit("null")))))

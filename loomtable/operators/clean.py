@@ -10,6 +10,7 @@ from pyspark.sql.window import Window as W
 
 from loomtable.functions import text as X
 from loomtable.plans.schema import Schema
+from loomtable.sources.shared import written
 
 REASONS = ("empty_title", "invalid_attrs", "duplicates", "missing_images")
 
@@ -26,6 +27,11 @@ def valid(attributes: Column, schema: Schema) -> Column:
     return reduce(lambda x, y: x & y, tests, F.lit(True))
 
 
+def has_images(image_urls: Column) -> Column:
+    """Whether a listing has an image."""
+    return F.size(F.coalesce(image_urls, F.array().cast("array<string>"))) > 0
+
+
 def normalised(listings: DataFrame) -> DataFrame:
     """Titles and attribute values in their normal form (T01, T02); a null title counts as empty, a null attribute as absent."""
     present = F.map_filter(F.coalesce("attributes", F.create_map().cast("map<string,string>")), lambda k, v: v.isNotNull())
@@ -48,8 +54,9 @@ def with_reason(listings: DataFrame, schema: Schema, *, deduplicate: bool = True
     meet the ``seq`` of duplicates, and stay where they are while those are few enough for the planner to broadcast.
     """
     rows = keyed(listings, schema)
-    no_image = F.size(F.coalesce("image_urls", F.array().cast("array<string>"))) == 0
-    last = F.when(no_image, F.lit("missing_images")) if require_images else F.lit(None).cast("string")
+    if deduplicate:
+        rows = written(rows)  # normalised and hashed once; what follows reads it
+    last = F.when(~has_images(F.col("image_urls")), F.lit("missing_images")) if require_images else F.lit(None).cast("string")
     if deduplicate:
         hashes = rows.where("__first is null").select("content_hash", seq)
         many = hashes.groupBy("content_hash").agg(F.min(seq).alias("__least"), F.count("*").alias("__n")).where("__n > 1")
@@ -65,12 +72,15 @@ def clean(listings: DataFrame, schema: Schema, **options) -> DataFrame:
     return with_reason(listings, schema, **options).where("drop_reason is null").drop("drop_reason", "content_hash")
 
 
+def counters() -> list[Column]:
+    """total, kept and each reason, as aggregates: of a table, or observed while it is written."""
+    each = [F.count_if(F.col("drop_reason") == r).alias(r) for r in REASONS]
+    return [F.count("*").alias("total"), F.count_if(F.col("drop_reason").isNull()).alias("kept"), *each]
+
+
 def reasons(rows: DataFrame) -> DataFrame:
     """One row of counters (A05): total, kept and each reason."""
-    return rows.agg(
-        F.count("*").alias("total"), F.count_if(F.col("drop_reason").isNull()).alias("kept"),
-        *[F.count_if(F.col("drop_reason") == r).alias(r) for r in REASONS],
-    )
+    return rows.agg(*counters())
 
 
 def distinct_listings(listings: DataFrame, keys: list[str], seq: str = "seq") -> DataFrame:

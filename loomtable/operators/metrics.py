@@ -25,10 +25,14 @@ def _same(p: Column, t: Column, key: Column) -> Column:
     return F.coalesce(folded(p[key]), none) == F.coalesce(folded(t[key]), none)
 
 
+def same_keys(p: Column, t: Column) -> Column:
+    """Whether both maps have the same keys."""
+    return F.array_sort(F.map_keys(p)) == F.array_sort(F.map_keys(t))
+
+
 def exact(p: Column, t: Column) -> Column:
-    """Whether both maps have the same keys (U03) and equal values, without regard to case and outer space."""
-    keys = F.map_keys(t)
-    return (F.array_sort(F.map_keys(p)) == F.array_sort(keys)) & F.forall(keys, lambda k: _same(p, t, k))
+    """Whether both maps have the same keys and equal values, without regard to case and outer space."""
+    return same_keys(p, t) & F.forall(F.map_keys(t), lambda k: _same(p, t, k))
 
 
 def exact_match(rows: DataFrame) -> DataFrame:
@@ -60,17 +64,27 @@ def by_category(rows: DataFrame, name: str) -> DataFrame:
     return rows.groupBy(category(F.col("ground_truth"), name).alias("category")).agg(F.avg(flag).alias("exact_match"), F.count("*").alias("n")).orderBy("category")
 
 
-def evaluate(rows: DataFrame, attributes: Sequence[str], category_field: str | None = None) -> dict:
-    """All metrics of a run as plain values (A04), with the time in UTC (T26). Two passes over the rows at most."""
+def summary(rows: DataFrame, attributes: Sequence[str], category_field: str | None = None) -> DataFrame:
+    """overall, category, exact_match, total_samples and the accuracy of each attribute (a0, a1, ...), for all rows and, with a category field,
+    for each category: grouping sets over one scan (A03, A04)."""
     p, t = F.col("prediction"), F.col("ground_truth")
-    got = rows.agg(
-        F.coalesce(F.avg(exact(p, t).cast("int")), F.lit(0.0)), F.count("*"),
-        *[F.coalesce(F.avg(hit(p, t, a)), F.lit(0.0)) for a in attributes],
-    ).first()
-    cats = {r.category: r.exact_match for r in by_category(rows, category_field).collect()} if category_field else None
+    named = rows.withColumn("category", category(t, category_field) if category_field else F.lit(None).cast("string"))
+    flags = named.select("category", exact(p, t).cast("int").alias("exact"), *[hit(p, t, a).alias(f"h{i}") for i, a in enumerate(attributes)])
+    sets = [[F.col("category")], []] if category_field else [[]]
+    grouped = flags.groupingSets(sets, F.col("category"))
+    return grouped.agg(
+        (F.grouping("category") == 1).alias("overall"), F.avg("exact").alias("exact_match"), F.count("*").alias("total_samples"), *[F.avg(f"h{i}").alias(f"a{i}") for i in range(len(attributes))]
+    )
+
+
+def evaluate(rows: DataFrame, attributes: Sequence[str], category_field: str | None = None) -> dict:
+    """All metrics of a run as plain values (A04), with the time in UTC (T26). One pass over the rows."""
+    got = summary(rows, attributes, category_field).orderBy("category").collect()  # a row for all, and one a category
+    whole = next((r for r in got if r.overall), None)
+    cats = {r.category: r.exact_match for r in got if not r.overall} if category_field else None
     return {
-        "exact_match": got[0], "per_attribute": dict(zip(attributes, got[2:], strict=True)), "category_breakdown": cats,
-        "total_samples": got[1], "timestamp": datetime.now(timezone.utc).isoformat(),
+        "exact_match": whole.exact_match if whole else 0.0, "per_attribute": {a: whole[f"a{i}"] if whole else 0.0 for i, a in enumerate(attributes)}, "category_breakdown": cats,
+        "total_samples": whole.total_samples if whole else 0, "timestamp": datetime.now(timezone.utc).isoformat(),
     }
 
 

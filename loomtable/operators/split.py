@@ -60,6 +60,12 @@ def part_of(rank: Column, n: Column, ratio: tuple[float, float, float]) -> Colum
     return F.when(rank <= train, "train").when(rank <= train + val, "val").otherwise("test")
 
 
+def category_counts(df: DataFrame, category: str) -> DataFrame:
+    """category, n, and whether it is lonely, with fewer than two rows (A07); a missing one is a category of its own."""
+    counts = df.groupBy(F.coalesce(F.col(category).cast("string"), F.lit(MISSING)).alias("category")).agg(F.count("*").alias("n"))
+    return counts.withColumn("lonely", F.col("n") < 2)
+
+
 def split(
     df: DataFrame, key: str, ratio: tuple[float, float, float] = (0.8, 0.1, 0.1), category: str | None = None, seed: int = 42
 ) -> DataFrame:
@@ -67,9 +73,8 @@ def split(
     category of its own; if any category has a single row, all rows are split together instead (A07)."""
     ratio = shares(ratio)
     if category is not None:
-        counts = df.groupBy(F.coalesce(F.col(category).cast("string"), F.lit(MISSING)).alias("c")).count()
-        least = counts.agg(F.min("count")).first()[0]
-        by = [category] if least is not None and least >= 2 else []
+        lonely = category_counts(df, category).agg(F.bool_or("lonely")).first()[0]
+        by = [category] if lonely is False else []
     else:
         by = []
     rows = ranked(df, key, seed, by)

@@ -8,7 +8,7 @@ import shlex
 from collections.abc import Callable
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from loomtable.operators import chat, clean, compare, images, metrics, pages, predict, split
@@ -22,10 +22,10 @@ def prepare(spark: SparkSession, cfg: C.Settings, raw: str, out: str, image_dir:
     """Raw listings to formatted splits (C02): clean, guard, split, format, write. Returns the rows of each split."""
     schema = load_schema(cfg.schema_path)
     rows = clean.with_reason(files.read_listings(spark, raw), schema, deduplicate=cfg.deduplicate, require_images=not cfg.text_only)
-    rows.write.mode("overwrite").parquet(f"{out}/_cleaned")  # read four times; a lost executor repeats a read
+    seen = Observation()
+    rows.observe(seen, *clean.counters()).write.mode("overwrite").parquet(f"{out}/_cleaned")  # counted as it is written
     rows = spark.read.parquet(f"{out}/_cleaned")
-    stats = clean.reasons(rows).first()
-    C.check_enough(stats.kept, cfg.min_samples)
+    C.check_enough(seen.get.get("kept") or 0, cfg.min_samples)
     kept = rows.where("drop_reason is null").drop("drop_reason", "content_hash")
     category = cfg.category_field
     keyed = kept.withColumn("__c", F.col("attributes")[category]) if category else kept
@@ -38,9 +38,9 @@ def prepare(spark: SparkSession, cfg: C.Settings, raw: str, out: str, image_dir:
     lines = made.select("seq", "split", chat.message_json(F.col("messages")).alias("value"))
     places = split.reshuffled(parts.select("seq", "split"), "seq")
     lines = lines.join(places.select("seq", "place"), "seq").repartitionByRange("split", "place").sortWithinPartitions("split", "place").select("split", "value")
-    lines.write.mode("overwrite").partitionBy("split").text(f"{out}/splits")
-    found = {r.split: r["count"] for r in parts.groupBy("split").count().collect()}
-    return {s: found.get(s, 0) for s in ("train", "val", "test")}
+    counted = sinks.counts_of()
+    counted.on(lines).write.mode("overwrite").partitionBy("split").text(f"{out}/splits")
+    return counted.get()
 
 
 def scrape(

@@ -150,7 +150,7 @@ def f03(spark, d):
 
 @query("f04_has_images", "SELECT doc_id AS seq FROM documents WHERE doc_id % 10 <> 0")
 def f04(spark, d):
-    return listings(spark, d).where(F.size("image_urls") > 0).select("seq")
+    return listings(spark, d).where(clean.has_images(F.col("image_urls"))).select("seq")
 
 
 @query("f05_truthy_attributes", f"WITH {L} SELECT seq, 2 + CASE WHEN quality IS NULL THEN 0 ELSE 1 END AS n FROM l")
@@ -299,6 +299,21 @@ def p05(spark, d):
     return ingest.native_listings(listings(spark, d)).select("seq", "title", F.size("image_urls").alias("images"))
 
 
+@query("p05_typed_listing", """SELECT p_partkey AS seq, concat('u', p_partkey) AS url, p_name AS title, CASE p_partkey % 4 WHEN 0 THEN 'x.jpg' WHEN 2 THEN 'a.jpg|3' ELSE '' END AS images,
+  concat('brand=', p_brand, ',flag=True,half=1.5,list=[''x'', None],one=1.0,size=', p_size, ',text=0') AS attributes FROM part""")
+def p05_typed(spark, d):
+    p, j = parts(spark, d), lambda c: F.to_json(F.array(c))
+    image = F.when(F.col("p_partkey") % 4 == 0, '"x.jpg"').when(F.col("p_partkey") % 4 == 1, '""').when(F.col("p_partkey") % 4 == 2, '["a.jpg", 3]').otherwise("[]")
+    text = lambda c: F.regexp_replace(j(F.col(c)), r"^\[|\]$", "")
+    line = F.concat(
+        F.lit('{"url": "u'), F.col("p_partkey").cast("string"), F.lit('", "title": '), text("p_name"), F.lit(', "image_urls": '), image,
+        F.lit(', "attributes": {"a": 0, "b": false, "c": [], "d": {}, "e": "", "f": null, "g": -0.0, "h": 0e3, "brand": "first", "brand": '), text("p_brand"),
+        F.lit(', "size": '), F.col("p_size"), F.lit(', "flag": true, "text": "0", "half": 1.50, "one": 1.0, "list": ["x", null]}}'),
+    )
+    got = ingest.typed_listings(p.select("p_partkey", line.alias("value")), seq="p_partkey")
+    return got.select("seq", "url", "title", F.array_join("image_urls", "|").alias("images"), F.array_join(F.transform(X.sorted_entries(F.col("attributes")), lambda e: F.concat(e["key"], F.lit("="), e["value"])), ",").alias("attributes"))
+
+
 @query("p10_truth", f"""WITH {L} SELECT seq, concat('{{"source": "', source, '"', CASE WHEN quality IS NULL THEN '' ELSE ', "quality": "' || quality || '"' END, '}}') AS j FROM l""")
 def p10(spark, d):
     some = Schema("x", (Attribute("quality", "string"), Attribute("source", "string")))
@@ -364,10 +379,8 @@ def a03(spark, d):
 
 @query("a04_metrics", f"WITH {P} SELECT round(avg(CAST(ok AS INTEGER)), 6) AS exact_match, round(avg(CAST(ok_brand AS INTEGER)), 6) AS p_brand, round(avg(CAST(ok_type AS INTEGER)), 6) AS p_type, round(avg(CAST(ok_size AS INTEGER)), 6) AS p_size, count(*) AS total_samples FROM p")
 def a04(spark, d):
-    p, t = F.col("prediction"), F.col("ground_truth")
-    return predictions(spark, d).agg(
-        F.round(F.avg(metrics.exact(p, t).cast("int")), 6).alias("exact_match"), *[F.round(F.avg(metrics.hit(p, t, n)), 6).alias(n) for n in NAMES], F.count("*").alias("total_samples")
-    )
+    got = metrics.summary(predictions(spark, d), NAMES, "p_brand").where("overall")
+    return got.select(F.round("exact_match", 6).alias("exact_match"), *[F.round(f"a{i}", 6).alias(n) for i, n in enumerate(NAMES)], "total_samples")
 
 
 @query("j01_positional_join", f"WITH {P} SELECT k AS seq, ok AS exact FROM p")
@@ -379,7 +392,7 @@ def j01(spark, d):
 
 @query("u03_same_keys", f"WITH {P} SELECT k AS seq, k % 11 <> 0 AND k % 13 <> 0 AS same FROM p")
 def u03(spark, d):
-    return predictions(spark, d).select("seq", (F.array_sort(F.map_keys("prediction")) == F.array_sort(F.map_keys("ground_truth"))).alias("same"))
+    return predictions(spark, d).select("seq", metrics.same_keys(F.col("prediction"), F.col("ground_truth")).alias("same"))
 
 
 def _runs(spark, d):
@@ -438,7 +451,7 @@ def u06(spark, d):
 
 @query("a07_category_counts", "SELECT lang, count(*) AS n, count(*) < 2 AS lonely FROM documents GROUP BY lang")
 def a07(spark, d):
-    return table(spark, d, "documents").groupBy("lang").agg(F.count("*").alias("n")).withColumn("lonely", F.col("n") < 2)
+    return split.category_counts(table(spark, d, "documents"), "lang").withColumnRenamed("category", "lang")
 
 
 @query("a08_split_counts", f"SELECT coalesce(split, 'total') AS split, count(*) AS n FROM (SELECT {_PART_OF} FROM (SELECT row_number() OVER (ORDER BY md5('42|' || doc_id)) AS rn, count(*) OVER () AS n FROM documents)) GROUP BY ROLLUP (split)")
@@ -546,7 +559,7 @@ def a13(spark, d):
 
 @query("a15_skipped", "SELECT count(*) FILTER (WHERE doc_id % 10 = 0) AS skipped, count(*) AS total FROM documents")
 def a15(spark, d):
-    return listings(spark, d).agg(F.count_if(F.size("image_urls") == 0).alias("skipped"), F.count("*").alias("total"))
+    return listings(spark, d).agg(F.count_if(~clean.has_images(F.col("image_urls"))).alias("skipped"), F.count("*").alias("total"))
 
 
 @query("a16_errors", "SELECT count(*) FILTER (WHERE event_type = 'error') AS errors, round(sum(value) / count(*), 6) AS mean_seconds FROM events")

@@ -8,7 +8,7 @@ from collections.abc import Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from loomtable.functions.text import json_text
@@ -39,12 +39,25 @@ def write_json_arrays(df: DataFrame, path: str) -> None:
     df.select(F.to_json(F.struct("*"), {"ignoreNullFields": "false"})).mapInArrow(run, "value string").write.mode("overwrite").text(path)
 
 
+class counts_of:  # noqa: N801  reads like a function
+    """The rows of each split, counted while they are written: the plan runs once."""
+
+    def __init__(self, split: str = "split") -> None:
+        self.split, self.seen, self.names = split, Observation(), ("train", "val", "test")
+
+    def on(self, df: DataFrame) -> DataFrame:
+        return df.observe(self.seen, *[F.count_if(F.col(self.split) == s).alias(s) for s in self.names])
+
+    def get(self) -> dict[str, int]:
+        found = self.seen.get
+        return {s: found.get(s) or 0 for s in self.names}
+
+
 def write_splits(df: DataFrame, path: str, split: str = "split") -> dict[str, int]:
     """One folder for each split (K02, K03); the rows in each and in total."""
-    df.write.mode("overwrite").partitionBy(split).option("ignoreNullFields", False).json(path)
-    found = {r[split]: r["count"] for r in df.groupBy(split).count().collect()}  # three rows at most
-    counts = {s: found.get(s, 0) for s in ("train", "val", "test")}
-    return counts | {"total": sum(counts.values())}
+    counted = counts_of(split)
+    counted.on(df).write.mode("overwrite").partitionBy(split).option("ignoreNullFields", False).json(path)
+    return counted.get() | {"total": sum(counted.get().values())}
 
 
 def manifest_text(manifests: DataFrame) -> DataFrame:

@@ -1,13 +1,15 @@
 import hashlib
 import html
+import json
 import random
 import re
 
 import pytest
 
 from loomtable.functions import text as X
-from loomtable.operators import clean, ingest
+from loomtable.operators import clean, ingest, metrics
 from loomtable.plans.schema import LISTING, bikes
+from loomtable.sources import sinks
 from pyspark.sql import functions as F
 
 
@@ -74,3 +76,56 @@ def test_python_spelling(spark):
     line = '{"title": "t", "attributes": {"a": true, "b": null, "c": 1.5, "d": ["x", 1], "e": "s"}}'
     got = spark.createDataFrame([(line,), ("{}",), ("oops",)], "j string").select(X.python_attributes(F.col("j")).alias("a")).collect()
     assert got[0].a == {"a": "True", "b": "None", "c": "1.5", "d": "['x', 1]", "e": "s"} and got[1].a is None and got[2].a is None
+
+
+def test_typed_listings(spark):
+    """Against the rules spelled out in Python over the same JSON."""
+    lines = [
+        '{"url": "u", "title": "t", "image_urls": "one.jpg", "attributes": {"a": 0, "b": "0", "c": 1.0, "d": true, "e": [0], "f": {"x": null}, "g": " ", "a": "last", "é": "ü"}}',
+        '{"title": null, "image_urls": "", "attributes": {"z": -0.0, "y": 1e-7, "x": 0e9, "w": false, "v": null, "u": {}, "t": [], "s": ""}}',
+        '{"url": "only", "image_urls": ["a", "b"], "attributes": {}}',
+        '{"title": "flat", "img": "i.jpg", "colour": "red", "n": 0, "m": 2, "k": "", "attributes": "text"}',
+        '{"title": "none", "img": null, "colour": null}',
+    ]
+    df = spark.createDataFrame(list(enumerate(lines)), "k long, value string")
+
+    def truthy(record):
+        return {k: str(v) for k, v in record.items() if v}
+
+    got = {r.seq: r for r in ingest.typed_listings(df, ingest.Mapping("title", "img"), seq="k").collect()}
+    for k in (0, 1, 2):
+        record = json.loads(lines[k])
+        images = record.get("image_urls", [])
+        assert got[k].attributes == truthy(record["attributes"]), k
+        assert got[k].image_urls == (images if isinstance(images, list) else [images] if images else [])
+        assert (got[k].url, got[k].title) == (record.get("url") or "", record.get("title") or "")
+    assert got[3].attributes == {"colour": "red", "m": "2", "attributes": "text"} and got[3].image_urls == ["i.jpg"] and got[3].title == "flat"
+    assert got[4].attributes == {} and got[4].image_urls == []
+    picked = ingest.typed_listings(df, ingest.Mapping("title", attribute_fields={"c": "colour", "size": "m", "gone": "n"}), seq="k").where("seq = 3").first()
+    assert picked.attributes == {"c": "red", "size": "2"}
+    with pytest.raises(Exception, match="(?i)malformed"):
+        ingest.typed_listings(spark.createDataFrame([("{oops",)], "value string")).collect()
+
+
+def test_metrics_in_one_scan(spark):
+    rows = spark.createDataFrame([({"a": "1"}, {"a": "1", "c": "x"}), ({"a": "2", "c": "x"}, {"a": "2", "c": "x"}), ({}, {"a": "3"})], "prediction map<string,string>, ground_truth map<string,string>")
+    found = metrics.evaluate(rows, ["a", "c"], "c")
+    assert found["exact_match"] == pytest.approx(1 / 3) and found["total_samples"] == 3 and found["per_attribute"] == {"a": pytest.approx(2 / 3), "c": pytest.approx(1 / 3)}
+    assert found["category_breakdown"] == {"x": 0.5, "unknown": 0.0}
+    assert metrics.evaluate(rows.limit(0), ["a"], "c")["total_samples"] == 0 and metrics.evaluate(rows, [])["category_breakdown"] is None
+    plan = metrics.summary(spark.range(10).select(F.create_map(F.lit("a"), F.col("id").cast("string")).alias("prediction"), F.create_map(F.lit("a"), F.lit("1")).alias("ground_truth")), ["a"], "a")
+    assert plan._jdf.queryExecution().executedPlan().toString().count("Range (") == 1
+
+
+def test_splits_are_counted_as_they_are_written(spark, tmp_path):
+    runs = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            runs.add(b.num_rows)
+            yield b
+
+    rows = spark.range(30).select("id", F.when(F.col("id") < 20, "train").when(F.col("id") < 25, "val").otherwise("other").alias("split")).mapInArrow(seen, "id long, split string")
+    assert sinks.write_splits(rows, str(tmp_path / "s")) == {"train": 20, "val": 5, "test": 0, "total": 25}
+    assert runs.value == 30
+    assert sinks.write_splits(rows.where("id < 0"), str(tmp_path / "none"))["total"] == 0
