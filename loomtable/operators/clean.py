@@ -6,7 +6,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
 
 from loomtable.functions import text as X
 from loomtable.plans.schema import Schema
@@ -83,6 +82,12 @@ def reasons(rows: DataFrame) -> DataFrame:
     return rows.agg(*counters())
 
 
+def first_by(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """The first row by ``order`` of each group of equal keys: a least value, not a sort, so a key that many rows share is one row a task."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in rows.columns])
+    return rows.groupBy(*keys).agg(F.min_by(whole, F.struct(*order)).alias("__first")).select("__first.*")
+
+
 def distinct_listings(listings: DataFrame, keys: list[str], seq: str = "seq") -> DataFrame:
     """First by ``seq`` of each group of equal keys."""
-    return listings.withColumn("__n", F.row_number().over(W.partitionBy(*keys).orderBy(seq))).where("__n = 1").drop("__n")
+    return first_by(listings, keys, [seq])

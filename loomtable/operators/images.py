@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from io import BytesIO
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window as W
+
+from loomtable.operators.clean import first_by
 
 try:  # pixels need Pillow; all else works without
     from PIL import Image
@@ -36,8 +37,7 @@ def content_sha(content: Column) -> Column:
 
 def first_of_each(images: DataFrame, seq: str = "seq") -> DataFrame:
     """One image of each hash, the first by listing and place."""
-    rank = F.row_number().over(W.partitionBy("hash").orderBy(seq, "img_idx"))
-    return images.withColumn("__n", rank).where("__n = 1").drop("__n")
+    return first_by(images, ["hash"], [seq, "img_idx"])
 
 
 def stored_path(root: str, seq: Column, img_idx: Column) -> Column:
@@ -94,9 +94,9 @@ def download(listings: DataFrame, root: str, fetch: Callable[[str], tuple[str, b
     return manifests(listings, files.select("seq", "img_idx", "hash"), root)
 
 
-def totals(found: DataFrame) -> DataFrame:
-    """Images in all (A13), and whether there is any."""
-    return found.agg(F.coalesce(F.sum(F.size("local_paths")), F.lit(0)).alias("images"), F.coalesce(F.bool_or(F.size("local_paths") > 0), F.lit(False)).alias("any_image"))
+def totals(found: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Images in all (A13), and whether there is any (A14), of all manifests or of each group."""
+    return found.groupBy(*by).agg(F.coalesce(F.sum(F.size("local_paths")), F.lit(0)).alias("images"), F.coalesce(F.bool_or(F.size("local_paths") > 0), F.lit(False)).alias("any_image"))
 
 
 def fitted(width: Column, height: Column, most: int) -> Column:

@@ -9,13 +9,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from loomtable.operators.split import in_order
 from loomtable.plans.config import Settings
@@ -316,3 +317,32 @@ def scrolled(snapshots: DataFrame, site: Settings) -> DataFrame:
     if site.max_listings:
         got = got.orderBy("at").limit(site.max_listings)
     return in_order(got, "at").select("link", (F.col("place") + 1).alias("seq"))
+
+
+def reached(links: DataFrame, seeds: DataFrame, max_depth: int, per_host: int | None = None) -> DataFrame:
+    """url, host, depth of what a crawl of many sites reaches (S12, S15, L01): links (url, to) between pages, seeds (url).
+
+    A round a level: the addresses of the frontier meet the links of their pages, and those that no earlier round has seen are the next
+    frontier. Addresses are dealt by host, so that a site's pages are a task's and its pace can be kept there; only a
+    frontier is written in a round, and depth is at most ``max_depth``. Of a host's addresses that are new in a round, ``per_host`` are
+    taken, the first by address, and the others wait for the next rounds. An address reached in several ways has its least depth, seeds have 0; a link
+    to another host is followed like any other; a null address is none.
+    """
+    host = F.coalesce(F.regexp_extract("url", r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1), F.lit("")).alias("host")
+    links = links.select("url", "to").where("url is not null and to is not null").distinct()
+    waiting = written(seeds.select("url").where("url is not null").distinct().select("url", host, F.lit(0).alias("depth")))
+    seen, found = None, []
+    while not waiting.isEmpty():
+        if per_host:
+            place = F.row_number().over(W.partitionBy("host").orderBy("depth", "url"))
+            placed = written(waiting.withColumn("__n", place))
+            front, late = placed.where(F.col("__n") <= per_host).drop("__n"), placed.where(F.col("__n") > per_host).drop("__n")
+        else:
+            front, late = waiting, None
+        found.append(front)
+        seen = reduce(DataFrame.unionByName, found)
+        ahead = front.where(F.col("depth") < max_depth).select("url", "depth").join(links, "url").groupBy(F.col("to").alias("url")).agg((F.min("depth") + 1).cast("int").alias("depth"))
+        known = seen.select("url") if late is None else seen.select("url").unionByName(late.select("url"))
+        fresh = ahead.join(known, "url", "left_anti").select("url", host, "depth")
+        waiting = written((fresh if late is None else fresh.unionByName(late)).repartition("host"))
+    return seen if seen is not None else waiting

@@ -7,7 +7,6 @@ conversations are chat rows, events are chunks of requests, pages are pages.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -655,6 +654,29 @@ def s16(spark, d):
     return pages.scrolled(shown.withColumn("url", F.lit("http://h/")), site)
 
 
+_GRAPH = """edges AS (
+  SELECT p_partkey AS k, t FROM part, (SELECT unnest([1, 2, 3]) AS i), (SELECT count(*) AS n FROM part), LATERAL (SELECT CASE i WHEN 1 THEN (p_partkey * 3 + 1) % n WHEN 2 THEN (p_partkey + p_size) % n ELSE p_partkey // 2 END AS t)
+)"""
+
+
+@query("s15_many_sites", f"""WITH RECURSIVE {_GRAPH}, walk AS (
+  SELECT DISTINCT min(p_partkey) AS k, 0 AS depth FROM part GROUP BY p_brand
+  UNION
+  SELECT edges.t, depth + 1 FROM walk JOIN edges ON edges.k = walk.k WHERE depth < 4
+), least AS (SELECT k, min(depth) AS depth FROM walk GROUP BY k)
+SELECT concat('http://h', k % 25, '.example/', k) AS url, concat('h', k % 25, '.example') AS host, depth FROM least""")
+def s15(spark, d):
+    """Parts as pages of 25 sites; each page links to three others, mostly of other sites. Seeds are each brand's first."""
+    p, n = table(spark, d, "part"), table(spark, d, "part").count()
+    k, address = F.col("p_partkey"), lambda c: F.concat(F.lit("http://h"), c % 25, F.lit(".example/"), c)
+    to = F.array((k * 3 + 1) % n, (k + F.col("p_size")) % n, F.floor(k / 2))
+    html = F.concat(F.lit("<nav>"), F.array_join(F.transform(to, lambda t: F.concat(F.lit('<a href="'), address(t), F.lit('">x</a>'))), ""), F.lit("</nav>"))
+    site = Settings("site", name="x", base_url="", listing_selector="nav a@href", detail_selectors={})
+    found = pages.indexes(p.select(address(k).alias("url"), html.alias("html")), site)
+    seeds = p.groupBy("p_brand").agg(F.min("p_partkey").alias("least")).select(address(F.col("least")).alias("url"))
+    return pages.reached(found.select("url", F.explode("listing_urls").alias("to")), seeds, 4)
+
+
 @query("j09_unseen", "SELECT DISTINCT p_brand AS url FROM part WHERE p_brand NOT IN (SELECT p_brand FROM part WHERE p_size = 1)")
 def j09(spark, d):
     p = table(spark, d, "part").withColumn("url", F.col("p_brand"))
@@ -692,8 +714,7 @@ def j06(spark, d):
 @query("a14_any_image", "SELECT doc_id % 5 AS part, bool_or(doc_id % 10 <> 0) AS any_image, count(*) FILTER (WHERE doc_id % 10 <> 0) AS images FROM documents GROUP BY 1 ORDER BY 1")
 def a14(spark, d):
     rows = listings(spark, d).select((F.col("seq") % 5).alias("part"), F.col("image_urls").alias("local_paths"))
-    each = [images.totals(rows.where(F.col("part") == k)).withColumn("part", F.lit(k).cast("long")) for k in range(5)]
-    return reduce(DataFrame.unionByName, each).select("part", "any_image", "images")
+    return images.totals(rows, ["part"]).select("part", "any_image", "images")
 
 
 @query("o01_sorted_entries", "SELECT p_partkey AS seq, array_to_string(list_sort([p_type, p_brand, CAST(p_size AS VARCHAR)]), ',') AS keys, array_to_string(list_transform(list_sort([p_type || '=t', p_brand || '=b', p_size || '=s']), lambda x: x[-1]), '') AS kinds FROM part")

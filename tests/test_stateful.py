@@ -6,7 +6,8 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from loomtable.plans.schema import LISTING, bikes
-from loomtable.streaming import stateful
+from loomtable.sources import samples
+from loomtable.streaming import live, stateful
 
 
 def arrive(spark, tmp_path, k, rows, shape, make, mode="append"):
@@ -55,3 +56,41 @@ def test_requests_end_by_usage_or_silence(spark, tmp_path):
     assert set(third) == {"a", "b", "c", "d"}  # b and c were silent for a minute
     assert (third["b"].ttft_ms, third["b"].completion_tokens, third["b"].token_latencies_ms) == (2000.0, 2, [4000.0])
     assert (third["c"].completion_tokens, third["c"].tokens_per_sec) == (1, 0.0)
+
+
+def test_samples_are_neither_lost_nor_repeated(spark, tmp_path):
+    """A source with offsets: lines appended between runs, a line in the making, a limit a trigger, and a restart."""
+    logs, sizes = tmp_path / "logs", []
+    logs.mkdir()
+    spark.dataSource.register(samples.Samples)
+
+    def append(host, numbers, tail=""):
+        with open(logs / f"{host}.log", "a") as f:
+            f.write("".join(f"2024-01-01T00:00:{n:02}+00:00,{n}.5,{n * 10},80000\n" for n in numbers) + tail)
+
+    def run():
+        def keep(df, k):
+            sizes.append(df.count())
+            df.write.mode("append").parquet(str(tmp_path / "out"))
+
+        stream = spark.readStream.format("loom_samples").option("path", str(logs)).option("lines", "4").load()
+        q = stream.writeStream.foreachBatch(keep).option("checkpointLocation", str(tmp_path / "check")).start()
+        q.processAllAvailable()
+        q.stop()
+
+    append("a", range(10))
+    append("b", range(3), "oops\n2024-01-01T00:00:4")
+    run()
+    assert max(sizes) <= 8
+    append("b", [], "0+00:00,1,2,3\n")
+    append("a", range(10, 15))
+    append("c", [1])
+    run()
+    run()
+    got = [(r.host, r.utilization_pct) for r in spark.read.parquet(str(tmp_path / "out")).collect()]
+    assert sorted(got) == sorted([("a", n + 0.5) for n in range(15)] + [("b", n + 0.5) for n in range(3)] + [("b", 1.0), ("c", 1.5)])
+    stream = spark.readStream.format("loom_samples").option("path", str(logs)).load()
+    q = live.telemetry(stream, "10 seconds").writeStream.format("memory").queryName("seen").outputMode("complete").start()
+    q.processAllAvailable()
+    q.stop()
+    assert spark.table("seen").agg(F.sum("samples"), F.max("peak_memory_mb")).first()[:] == (20, 140.0)
