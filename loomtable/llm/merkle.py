@@ -177,7 +177,7 @@ def manifest(docs: DataFrame, columns: Sequence[str] = COLUMNS, group: str = "so
         leaf([F.col(f"`{c}`") for c in columns]).alias("d"), *[F.col(f"`{c}`").alias(f"__k{i}") for i, c in enumerate(keep)],
     )
     carried = ["__id", "__group", *[f"__k{i}" for i in range(len(keep))]]
-    nodes = placed(slim, "g", [F.asc_nulls_first("__id"), F.asc("d")])
+    nodes = placed(written(slim), "g", [F.asc_nulls_first("__id"), F.asc("d")])  # texts are hashed once, not again for the sample of the sort
     inside = _uppers(nodes, block_levels)
     tops = placed(inside.where("i = 0").select(F.lit("").alias("g"), F.col("g").alias("__name"), F.col("size").alias("n"), F.col("top").alias("d")), "g", [F.asc("__name")])
     over = written(_proved(tops, _uppers(tops, block_levels).select("g", "i", F.col("top").alias("root"), "proof"), block_levels, keep=("__name", "n")))

@@ -123,7 +123,7 @@ def faulted(rows: DataFrame) -> DataFrame:
     first = F.when(F.ltrim(trimmed, F.lit(SPACES)) == "", "b").when(~F.right(trimmed, F.lit(1)).isin(".", "!", "?"), "t").otherwise("0")
     initial = F.when(F.col("role") == "", "e").when(F.substring("role", 1, 1).isin("s", "u", "a"), F.substring("role", 1, 1)).otherwise("x")
     slim = _keyed(rows).select("g", "turn", "role", "key", initial.alias("initial"), first.alias("first"))
-    nodes = placed(slim, "g", [F.asc_nulls_first("turn"), F.asc("role"), F.asc("key")])
+    nodes = placed(written(slim), "g", [F.asc_nulls_first("turn"), F.asc("role"), F.asc("key")])
     many = written(nodes.groupBy("g", "key").agg(F.min("i").alias("least"), F.count("*").alias("n")).where("n > 1"))
     again = beside(nodes.select("g", "key", "i"), many, ["g", "key"]).where("i > least").select("g", "i", F.lit(True).alias("again"))
     fault = F.when(F.col("first") == "b", "b").when(F.col("again"), "d").otherwise(F.col("first"))
@@ -243,12 +243,14 @@ def repaired(rows: DataFrame, found: DataFrame, edits: DataFrame, chunk: int = C
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for g, k, start, audit, codes in zip(*[b.column(c).to_pylist() for c in ("g", "run", "start", "audit", "codes")], strict=True):
-                left = list(replay(codes, start, audit))
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([g] * len(left), pa.string()), pa.array([k * STEPS + n for n in range(len(left))], pa.int64()), pa.array([x[0] for x in left], pa.string()),
-                    pa.array([None if x[1] is None else k * chunk + x[1] for x in left], pa.int64()), pa.array([x[2] for x in left], pa.string()),
-                ], names=["g", "step", "edit", "i", "given"])
+            rows = [
+                (g, k * STEPS + n, letter, None if i is None else k * chunk + i, role)
+                for g, k, start, audit, codes in zip(*[b.column(c).to_pylist() for c in ("g", "run", "start", "audit", "codes")], strict=True)
+                for n, (letter, i, role) in enumerate(replay(codes, start, audit))
+            ]
+            if rows:
+                columns = zip(zip(*rows, strict=True), (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string()), strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in columns], names=["g", "step", "edit", "i", "given"])
 
     steps = written(edits.select("g", "run", "start", "audit", "codes").mapInArrow(run, "g string, step long, edit string, i long, given string"))
     texts = _keyed(rows).select("g", "key", "role", "text").dropDuplicates(["g", "key"])
