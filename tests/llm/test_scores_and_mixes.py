@@ -333,6 +333,48 @@ def test_nbsvm(corpus, labels, spark):
     assert {r.score for r in nbsvm.score(docs, marks.limit(0)).collect()} == {0.5}
 
 
+def brute_cut(rows, item):
+    """(doc_id, text, n_chars) without the passages of ``item``: runs of words that a ten-word window covers, with what stands between them."""
+    lower = lambda t: "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t)
+    word = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+    wanted = word.findall(lower(item))
+    windows = {tuple(wanted[k : k + 10]) for k in range(max(1, len(wanted) - 9))} if wanted else set()
+    size, out = min(10, len(wanted)), []
+    for i, text in rows:
+        found = list(word.finditer(lower(text or "")))
+        hit = [False] * len(found)
+        for k in range(len(found) - size + 1):
+            if tuple(m.group() for m in found[k : k + size]) in windows:
+                hit[k : k + size] = [True] * size
+        if any(hit) and all(hit):
+            continue
+        kept, at, k = [], 0, 0
+        while k < len(found):
+            if hit[k]:
+                end = k
+                while end + 1 < len(found) and hit[end + 1]:
+                    end += 1
+                kept.append(text[at : found[k].start()])
+                at, k = found[end].end(), end
+            k += 1
+        left = "".join(kept) + text[at:] if any(hit) else text
+        out.append((i, left, None if left is None else len(left)))
+    return out
+
+
+def brute_epochs(rows):
+    """(doc_id, epoch, text, taken, n_chars): whole texts while they fit, then the first words of the rest."""
+    out = []
+    for i, text, taken in rows:
+        of, epoch = WORD.findall(text or ""), 0
+        while taken > 0:
+            epoch, now = epoch + 1, min(taken, len(of))
+            part = text if now == len(of) else " ".join(of[:now])
+            out.append((i, epoch, part, now, len(part)))
+            taken -= now
+    return out
+
+
 def test_pipeline_stages(spark, corpus, tmp_path):
     from tests.llm.test_pairs_and_spans import brute_fingerprint, brute_groups, brute_templates
 
@@ -361,6 +403,7 @@ def test_pipeline_stages(spark, corpus, tmp_path):
     assert keyed(near, "doc_id") == sorted(((left[g][0],) for g in set(group)), key=repr)
     clean = stages["decontaminate"](spark, near, str(tmp_path)).cache()
     assert clean.columns == list(corpus_pipeline.COLUMNS)
+    assert keyed(clean, "doc_id", "text", "n_chars") == sorted(brute_cut([(r.doc_id, r.text) for r in near.collect()], item), key=repr)
     assert fmindex.scan(clean, spark.read.parquet(str(tmp_path / "benchmark.parquet"))).agg(F.sum("n_hit")).first()[0] == 0
     mixed = stages["mix_sources"](spark, clean, str(tmp_path))
     plan = {r.doc_id: r for r in mixing.mix(clean).collect()}
@@ -369,6 +412,7 @@ def test_pipeline_stages(spark, corpus, tmp_path):
         got[r.doc_id] += r.taken
         assert len(WORD.findall(r.text)) == r.taken
     assert dict(got) == {i: r.taken for i, r in plan.items() if r.taken}
+    assert keyed(mixed, "doc_id", "epoch", "text", "taken", "n_chars") == sorted(brute_epochs([(r.doc_id, r.text, plan[r.doc_id].taken) for r in clean.collect()]), key=repr)
     whole = corpus_pipeline.run(spark, str(tmp_path))
     assert keyed(whole, "doc_id", "epoch", "text") == keyed(mixed, "doc_id", "epoch", "text")
 
@@ -381,11 +425,14 @@ def test_stages_take_odd_rows(spark, corpus, tmp_path):
         got = stage(spark, odd, str(tmp_path))
         assert got.columns[:5] == list(corpus_pipeline.COLUMNS) and got.count() > 0
     near = keyed(dict(corpus_pipeline.STAGES)["near_dedup"](spark, odd, str(tmp_path)), "doc_id", "text")
-    assert len(near) == len(set(near)) and (None, None) in near or any(i is None for i, _ in near)
+    assert len(near) == len(set(near))
+    assert any(i is None for i, _ in near)
+    kept = {i for i, _ in near}
+    assert kept <= {r.doc_id for r in odd.collect()} and 1 in kept
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
 
 
 def test_licenses_beyond_notices(spark):
