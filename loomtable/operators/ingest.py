@@ -65,7 +65,9 @@ def _with_values(typed: Column, texts: Column) -> Column:
     as_json = F.zip_with(kinds, raw, lambda k, r: F.when(is_text(k), k).otherwise(r))
     printed = F.when(F.forall(kinds, is_text), raw).otherwise(python_texts(F.when(~F.forall(kinds, is_text), as_json)))
     entries = F.arrays_zip(F.map_keys(typed).alias("k"), kinds.alias("kind"), printed.alias("v"))
-    kept = F.filter(entries, lambda e: ~e["kind"].rlike(FALSY))
+    backwards, n = F.reverse(F.map_keys(typed)), F.size(F.map_keys(typed))
+    last = F.filter(entries, lambda e, i: F.array_position(backwards, e["k"]) == n - i)
+    kept = F.filter(last, lambda e: ~e["kind"].rlike(FALSY))
     return F.map_from_entries(F.transform(kept, lambda e: F.struct(e["k"], e["v"])))
 
 
@@ -75,7 +77,7 @@ def typed_listings(lines: DataFrame, mapping: Mapping | None = None, value: str
     A record whose attributes are an object is a listing already: one address instead of a list is wrapped, an empty one is
     none, and attributes that are null, false, zero or empty are left out, the others printed as Python prints them ("0" and
     " " are values). Any other record is flat and goes by ``mapping``; without one it has no attributes. Of repeated keys the last
-    counts (``spark.sql.mapKeyDedupPolicy`` LAST_WIN). A missing or null url or title is empty. Malformed lines fail.
+    counts. A missing or null url or title is empty. Malformed lines fail.
     """
     none, bad = F.create_map().cast("map<string,string>"), F.raise_error(F.concat(F.lit("malformed record: "), F.col(value))).cast("string")
     line = F.when(F.json_object_keys(value).isNull(), bad).otherwise(F.col(value))

@@ -29,12 +29,14 @@ _PART = re.compile(r"(?P<name>\*|[\w-]+)|\.(?P<cls>[\w-]+)|#(?P<id>[\w-]+)|\[(?P
 
 
 class Node:
-    __slots__ = ("name", "attrs", "parent", "kids", "place")
+    __slots__ = ("name", "attrs", "parent", "kids", "place", "before", "last")
 
     def __init__(self, name: str, attrs: dict[str, str], parent: Node | None):
         self.name, self.attrs, self.parent = name, attrs, parent
         self.kids: list[Node | str] = []
         self.place = 0  # among its parent's elements, from 1
+        self.before: Node | None = None  # the element before it there
+        self.last: Node | None = None  # its own last element so far
 
     def elements(self) -> Iterator[Node]:
         """All below, in the order of the page."""
@@ -70,7 +72,8 @@ class _Tree(HTMLParser):
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         node = Node(tag, {k: v or "" for k, v in reversed(attrs)}, self.at)
-        node.place = 1 + sum(isinstance(k, Node) for k in self.at.kids)
+        node.before, self.at.last = self.at.last, node
+        node.place = 1 + (node.before.place if node.before else 0)
         self.at.kids.append(node)
         if tag not in _VOID:
             self.at = node
@@ -166,8 +169,10 @@ def _matches(node: Node, chain: list, at: int) -> bool:
     if at == 0:
         return True
     if how in "+~":
-        others = [k for k in node.parent.kids if isinstance(k, Node) and k.place < node.place] if node.parent else []
-        others = others[-1:] if how == "+" else others
+        others, back = [], node.before
+        while back is not None:
+            others.append(back)
+            back = back.before if how == "~" else None
     else:
         others, up = [], node.parent
         while up is not None and up.name:
