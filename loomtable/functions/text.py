@@ -130,8 +130,20 @@ def data_uri(content: Column, kind: str = "jpeg") -> Column:
 
 
 def percent(x: Column) -> Column:
-    """One decimal and a percent sign, rounded half up (T25); reports that must round half even format on the driver."""
-    return F.format_string("%.1f%%", x * 100)
+    """One decimal and a percent sign (T25), rounded as Python rounds: to the nearest by the number's exact binary value, ties to even.
+
+    Twice the tenths of a percent are 20 times y = 100 x, which is 16 y + 4 y. Both are exact, and so is what their sum loses, so the sum and
+    the loss together tell on which side of a half the number lies.
+    """
+    y = F.abs(x * F.lit(100.0))
+    twice = y * 16 + y * 4
+    loss = y * 4 - (twice - y * 16)
+    tenths = F.floor(twice / 2)
+    half = tenths * 2 + 1
+    up = (twice > half) | ((twice == half) & ((loss > 0) | ((loss == 0) & (tenths % 2 == 1))))
+    rounded = tenths + up.cast("long")
+    text = F.concat(F.when(x < 0, "-").otherwise(""), F.floor(rounded / 10).cast("string"), F.lit("."), (rounded % 10).cast("string"), F.lit("%"))
+    return F.when(y < 1e12, text).otherwise(F.format_string("%.1f%%", x * 100))
 
 
 def utc_iso(ts: Column) -> Column:

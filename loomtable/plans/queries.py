@@ -849,6 +849,12 @@ def t25(spark, d):
     return table(spark, d, "part").select("p_partkey", X.percent((F.col("p_size") * 2 + 1) / 200).alias("text"))
 
 
+@query("t25_percent_halves", "SELECT p_partkey, printf('%.1f', round_even((p_partkey % 1025) * 25 / 256.0, 1)) || '%' AS text FROM part")
+def t25_halves(spark, d):
+    """Shares in 1024ths, of which every 128th is a half between two tenths of a percent."""
+    return table(spark, d, "part").select("p_partkey", X.percent(F.col("p_partkey") % 1025 / 1024.0).alias("text"))
+
+
 @query("t28_speedup", "SELECT event_id, CASE WHEN user_id % 4 > 0 THEN round(value / (user_id % 4), 6) ELSE 0.0 END AS ratio FROM events")
 def t28(spark, d):
     return table(spark, d, "events").select("event_id", F.round(latency.speedup(F.col("value"), F.col("user_id") % 4), 6).alias("ratio"))

@@ -129,3 +129,10 @@ def test_splits_are_counted_as_they_are_written(spark, tmp_path):
     assert sinks.write_splits(rows, str(tmp_path / "s")) == {"train": 20, "val": 5, "test": 0, "total": 25}
     assert runs.value == 30
     assert sinks.write_splits(rows.where("id < 0"), str(tmp_path / "none"))["total"] == 0
+
+
+def test_percent_rounds_as_python_does(spark):
+    rng = random.Random(6)
+    values = [0.0, 0.1225, 0.00125, 0.15, 0.0005, 0.00049999, 1.0, -0.123456, 2 / 3, 1e9, 12345.67885] + [rng.randrange(20001) / 20000 for _ in range(500)] + [rng.random() for _ in range(500)] + [rng.randrange(4001) / 4000 for _ in range(500)]
+    got = spark.createDataFrame(list(enumerate(values)), "i int, x double").select("i", X.percent(F.col("x")).alias("p")).collect()
+    assert {r.i: r.p for r in got} == {i: f"{x:.1%}" for i, x in enumerate(values)}
