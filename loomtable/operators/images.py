@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import uuid
 from collections.abc import Callable, Iterator, Sequence
 from io import BytesIO
 
@@ -12,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomtable.operators.clean import first_by
+from loomtable.sources.committed import write_files
 
 try:  # pixels need Pillow; all else works without
     from PIL import Image
@@ -57,40 +56,23 @@ def manifests(listings: DataFrame, images: DataFrame, root: str, seq: str = "seq
     )
 
 
-def stored(images: DataFrame, column: str = "jpeg") -> DataFrame:
-    """Writes each image's bytes to its path (K09) and gives back the other columns of those written.
+def stored(images: DataFrame, root: str, column: str = "jpeg") -> DataFrame:
+    """Writes each image's bytes to its path under ``root`` (K09) and gives back the other columns of those written.
 
-    Tasks write by themselves, so the folder must be one that all executors share. A file is written under another name and
-    then renamed, so a task that runs again leaves whole files. Rows without bytes are left out.
+    All files appear or, where a task fails for good, none (``committed.write_files``). Rows without bytes are left out.
     """
-    from pyspark.sql import types as T
-
-    rows = images.where(F.col(column).isNotNull())
-    names = rows.columns
-    path, body = names.index("path"), names.index(column)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for p, x in zip(b.column(path).to_pylist(), b.column(body).to_pylist(), strict=True):
-                os.makedirs(os.path.dirname(p), exist_ok=True)
-                part = f"{p}.{uuid.uuid4().hex}"
-                with open(part, "wb") as f:
-                    f.write(x)
-                os.replace(part, p)
-            yield b.drop_columns([column])
-
-    return rows.mapInArrow(run, T.StructType([f for f in rows.schema.fields if f.name != column]))
+    return write_files(images, root, column)
 
 
 def download(listings: DataFrame, root: str, fetch: Callable[[str], tuple[str, bytes] | None], most: int = 1024, *, tasks: int = 8, raw: bool = False) -> DataFrame:
     """Images of listings to files, and their manifest (C07): fetch, hash, first of each hash, pixels over white (T22), JPEG.
 
-    A failed or unreadable image is left out. ``raw`` writes bytes as they came, where Pillow is not at hand. The rows that
-    come back are to be written before they are used again, or images are fetched again.
+    A failed or unreadable image is left out. ``raw`` writes bytes as they came, where Pillow is not at hand. Files are in place when
+    this returns, and images are fetched once, whatever is done with the manifest.
     """
     got = first_of_each(fetched(of_listings(listings).repartition(tasks), fetch))
     got = got.withColumnRenamed("content", "jpeg") if raw else pixels(got, most, white=True).drop("content")
-    files = stored(got.withColumn("path", stored_path(root, F.col("seq"), F.col("img_idx"))))
+    files = stored(got.withColumn("path", stored_path(root, F.col("seq"), F.col("img_idx"))), root)
     return manifests(listings, files.select("seq", "img_idx", "hash"), root)
 
 
