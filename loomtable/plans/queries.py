@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from loomtable.functions import text as X
 from loomtable.operators import chat, clean, compare, images, ingest, latency, metrics, pages, predict, split
-from loomtable.sources import files, sinks
+from loomtable.sources import committed, files, sinks
 from loomtable.sources.shared import fresh
 from loomtable.streaming import live, stateful
 from loomtable.operators.quantiles import percentiles
@@ -224,6 +224,14 @@ def t08(spark, d):
     return table(spark, d, "pages").select("page_id", images.content_sha(F.col("html").cast("binary")).alias("h"))
 
 
+@query("k09_stored_files", "SELECT concat(page_id, '.jpg') AS file, sha256(html) AS h FROM pages WHERE html IS NOT NULL")
+def k09(spark, d):
+    root = fresh(spark)
+    committed.write_files(table(spark, d, "pages").select(F.concat(F.lit(f"{root}/"), F.col("page_id").cast("string"), F.lit(".jpg")).alias("path"), F.col("html").cast("binary").alias("body")), root)
+    found = spark.read.schema("path string, modificationTime timestamp, length long, content binary").format("binaryFile").load(root)
+    return found.select(X.basename(F.col("path")).alias("file"), images.content_sha(F.col("content")).alias("h"))
+
+
 @query("t09_selector_parts", r"""SELECT raw, CASE WHEN regexp_matches(raw, '^.+?@\w+$') THEN regexp_extract(raw, '^(.+?)@(\w+)$', 1) ELSE raw END AS css,
        CASE WHEN regexp_matches(raw, '^.+?@\w+$') THEN regexp_extract(raw, '^(.+?)@(\w+)$', 2) END AS attr
 FROM (SELECT DISTINCT concat('a.', p_type, CASE p_size % 3 WHEN 0 THEN '@href' WHEN 1 THEN '@data-src' ELSE '' END) AS raw FROM part)""")

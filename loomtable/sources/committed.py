@@ -9,6 +9,7 @@ done again: a file that has gone is one that has arrived. Paths are those of any
 from __future__ import annotations
 
 import json
+import re
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -80,8 +81,15 @@ class StagedFiles(DataSource):
         return StagedWriter(self.options)
 
 
-def _uri(path: str) -> str:
-    return path if "://" in path else pyarrow.fs.LocalFileSystem().normalize_path(path)
+def _uri(spark: SparkSession, path: str) -> str:
+    """A folder with its scheme, the cluster's own where it names none, as both Spark and Arrow read it."""
+    fs, p = _file_system(spark, path.rstrip("/"))
+    return re.sub("^file:/+", "file:///", fs.makeQualified(p).toString())
+
+
+def _place(path: str) -> str:
+    """Where a path lies in its file system."""
+    return pyarrow.fs.FileSystem.from_uri(re.sub("^file:/+", "file:///", path))[1] if re.match(r"\w+:/", path) else path
 
 
 def _arrived(spark: SparkSession, folder: str, attempts: list[str]) -> DataFrame | None:
@@ -91,11 +99,11 @@ def _arrived(spark: SparkSession, folder: str, attempts: list[str]) -> DataFrame
         rows = spark.read.parquet(*[f"{folder}/{a}/{ROWS}" for a in attempts]).selectExpr("*", "_metadata.file_path AS __from")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            fs, root = pyarrow.fs.FileSystem.from_uri(_uri(folder))
+            fs, root = pyarrow.fs.FileSystem.from_uri(folder)
             gone = lambda p: fs.get_file_info(p).type == pyarrow.fs.FileType.NotFound
             for b in batches:
                 for at, held, path in zip(*[b.column(b.schema.get_field_index(c)).to_pylist() for c in ("__at", "__from", "path")], strict=True):
-                    source, place = f"{root}/{held.rsplit('/', 2)[1]}/{at}", pyarrow.fs.FileSystem.from_uri(_uri(path))[1]
+                    source, place = f"{root}/{held.rsplit('/', 2)[1]}/{at}", _place(path)
                     fs.create_dir(place.rsplit("/", 1)[0])
                     try:
                         fs.move(source, place)
@@ -121,7 +129,7 @@ def write_files(rows: DataFrame, root: str, body: str = "body") -> DataFrame:
     """
     spark = rows.sparkSession
     spark.dataSource.register(StagedFiles)
-    folder = f"{_uri(root).rstrip('/')}/{PREFIX}{uuid.uuid4().hex}"
+    folder = f"{_uri(spark, root)}/{PREFIX}{uuid.uuid4().hex}"
     rows = rows.where(rows[body].isNotNull())
     fs, p = _file_system(spark, folder)
     fs.mkdirs(p)
@@ -145,7 +153,7 @@ def settle(spark: SparkSession, root: str) -> int:
     fs, p = _file_system(spark, root)
     left = [s.getPath() for s in fs.listStatus(p) if s.getPath().getName().startswith(PREFIX)] if fs.exists(p) else []
     for found in left:
-        folder = f"{_uri(root).rstrip('/')}/{found.getName()}"
+        folder = f"{_uri(spark, root)}/{found.getName()}"
         inner, mark = _file_system(spark, f"{folder}/{MARK}")
         if inner.exists(mark):
             _arrived(spark, folder, _attempts(spark, folder))
