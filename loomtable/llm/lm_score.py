@@ -14,13 +14,20 @@ sample of the target's size would not know most repeats. Counts grow with the co
 are told apart by 63 bits and pairs by 63, so a sum may, once in some 10^9 different ones, hold two of them.
 
 Documents are dealt into blocks by a hash of their id. A block asks for each of its different words and pairs once:
-it sends their hashes with its own counts, packed and cut by ranges of the hash, so a word that a third of all texts
-hold is one entry a block. Each range adds up its counts and answers every block in the order that it asked, and the
-block reads its documents again with all counts at hand. Documents are dealt twice, by the same hash.
+it sends their hashes with its own counts, packed and cut by ranges of the hash. Each range adds up its counts and answers
+every block in the order that it asked, and the block reads its documents again with all counts at hand. Documents are
+dealt twice, by the same hash.
+
+The most frequent words and pairs, ``LISTED`` at most, which stand in most blocks, take another way: blocks send what they
+count of them as one message, a task adds up those of ``TOGETHER`` blocks, a sum by word or pair follows, and the totals
+are broadcast. Which ones are listed is guessed from a sample; only the way hangs on it, no count does. So a range's
+entries are of words that most blocks lack, and its task does not grow with the corpus.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
@@ -28,9 +35,11 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomtable.llm.common import WordHashes, parts, text_bytes, written
+from loomtable.llm.common import WordHashes, frequent, parts, text_bytes, written
 
 BLOCK_BYTES, RANGE_BYTES = 8 << 20, 8 << 20
+#: One text in ``SAMPLE`` is looked through for frequent words and pairs: those found ``OFTEN`` times or more, ``LISTED`` at most.
+SAMPLE, OFTEN, LISTED, TOGETHER = 256, 8, 1 << 16, 256
 MIX = 0.5
 _TOP = 1 << 63
 
@@ -46,6 +55,22 @@ def _unpack(raw: bytes, kind: type) -> np.ndarray:
     return np.ascontiguousarray(flat.reshape(width, -1).T).reshape(-1).view(kind)
 
 
+def numbers(texts: Iterable[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of all words of some texts, of the word before each (0 at a start) and of each pair, and the words of each text."""
+    hashes, each = WordHashes(), []
+    for s in texts:
+        w = s.encode().lower().split() if s else []
+        each.append(np.fromiter(map(hashes.__getitem__, w), np.int64, len(w)).view(np.uint64) | np.uint64(1))  # 0 is the start
+    lens = np.array([len(p) for p in each], np.int64)
+    words = np.concatenate(each) if each else np.empty(0, np.uint64)
+    before = np.concatenate([[np.uint64(0)], words[:-1]]) if len(words) else words
+    if len(words):
+        before[(np.cumsum(lens) - lens)[lens > 0]] = 0
+    pairs = before * np.uint64(0x9E3779B97F4A7C15) + words * np.uint64(0xC2B2AE3D27D4EB4F)
+    pairs ^= pairs >> np.uint64(29)
+    return words, before, (pairs * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(1), lens
+
+
 class Block:
     """The documents of one block as numbers: each place's word and pair, among the block's different ones."""
 
@@ -53,24 +78,12 @@ class Block:
         good = {i for i, y in zip(rows.column("doc_id").to_pylist(), rows.column("y").to_pylist(), strict=True) if y == 1}
         docs = rows.filter(pa.compute.is_null(rows.column("y")))
         self.ids = docs.column("doc_id").combine_chunks()
-        hashes, parts_ = WordHashes(), []
-        for t in docs.column("t"):
-            s = t.as_py()
-            w = s.encode().lower().split() if s else []
-            parts_.append(np.fromiter(map(hashes.__getitem__, w), np.int64, len(w)).view(np.uint64) | np.uint64(1))  # 0 is the start
-        self.lens = np.array([len(p) for p in parts_], np.int64)
-        words = np.concatenate(parts_) if parts_ else np.empty(0, np.uint64)
-        self.doc = np.repeat(np.arange(len(parts_)), self.lens)
-        before = np.concatenate([[np.uint64(0)], words[:-1]]) if len(words) else words
-        starts = (np.cumsum(self.lens) - self.lens)[self.lens > 0]
-        if len(words):
-            before[starts] = 0
-        pairs = before * np.uint64(0x9E3779B97F4A7C15) + words * np.uint64(0xC2B2AE3D27D4EB4F)
-        pairs ^= pairs >> np.uint64(29)
-        pairs = (pairs * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(1)
-        mine = np.isin(np.arange(len(parts_)), [k for k, i in enumerate(self.ids.to_pylist()) if i is not None and i in good])
+        words, before, pairs, self.lens = numbers(t.as_py() for t in docs.column("t"))
+        self.doc = np.repeat(np.arange(len(self.lens)), self.lens)
+        starts = np.zeros(int((self.lens > 0).sum()), np.uint64)
+        mine = np.isin(np.arange(len(self.lens)), [k for k, i in enumerate(self.ids.to_pylist()) if i is not None and i in good])
         self.target = mine[self.doc]
-        self.words, at, n = np.unique(np.concatenate([words, np.zeros(len(starts), np.uint64)]), return_inverse=True, return_counts=True)
+        self.words, at, n = np.unique(np.concatenate([words, starts]), return_inverse=True, return_counts=True)
         self.at = at[: len(words)]
         self.n_words = n, np.bincount(at, np.concatenate([self.target, mine[self.lens > 0]]), len(n))
         self.before = np.searchsorted(self.words, before)
@@ -92,6 +105,26 @@ class Block:
         return times(self.at, self.at), times(self.at, self.before), times(self.pair, self.pair)
 
 
+def _listed(docs: DataFrame) -> np.ndarray:
+    """Hashes of frequent words and pairs in order, the start of a document among them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for t in b.column(0):
+                words, _, pairs, _ = numbers([t.as_py()])
+                yield pa.record_batch([pa.array(np.concatenate([words, pairs]).view(np.int64))], names=["key"])
+
+    some = docs.where(F.pmod(F.xxhash64("text"), F.lit(SAMPLE)) == 0).select("text").mapInArrow(run, "key long")
+    return np.unique(np.concatenate([frequent(some, OFTEN, LISTED)[0], np.zeros(1, np.uint64)]))
+
+
+def _among(keys: np.ndarray, listed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which of ``keys`` are listed, and the places of those."""
+    at = np.minimum(np.searchsorted(listed, keys), len(listed) - 1)
+    here = listed[at] == keys
+    return here, at[here]
+
+
 def _dealt(docs: DataFrame, labels: DataFrame, label: str, blocks: int) -> DataFrame:
     """Texts and labels of a block together."""
     key = F.coalesce(F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id")), F.xxhash64("t"))
@@ -102,6 +135,23 @@ def _dealt(docs: DataFrame, labels: DataFrame, label: str, blocks: int) -> DataF
     return every.withColumn("block", F.pmod(key, F.lit(blocks)).cast("int")).repartition(max(8, blocks // 2), "block")
 
 
+def _totals(sums: DataFrame, n: int) -> np.ndarray:
+    """By pair or not, by model, the counts of each listed word or pair, of packed sums: ``LISTED`` rows at most of each come to the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for pair, *raw in zip(*(b.column(c).to_pylist() for c in range(3)), strict=True):
+                x, y = (_unpack(r, np.uint64).astype(np.int64) for r in raw)
+                at = np.flatnonzero(x)
+                yield pa.record_batch([pa.array(np.full(len(at), pair, np.int32)), pa.array(at), pa.array(x[at]), pa.array(y[at])], names=["pair", "at", "n", "t"])
+
+    found = sums.select("pair", "n", "t").mapInArrow(run, "pair int, at long, n long, t long").groupBy("pair", "at").agg(F.sum("n").alias("n"), F.sum("t").alias("t")).toArrow()
+    out = np.zeros((2, 2, n), np.int64)
+    for k, c in enumerate(("n", "t")):
+        out[found.column("pair").to_numpy(), k, found.column("at").to_numpy()] = found.column(c).to_numpy()
+    return out
+
+
 def score(docs: DataFrame, labels: DataFrame, label: str = "quality", good: int = 1) -> DataFrame:
     """doc_id, n_tokens, loss_target, loss_background, score of every row.
 
@@ -117,11 +167,16 @@ def score(docs: DataFrame, labels: DataFrame, label: str = "quality", good: int
     dealt = _dealt(docs, labels, label, blocks)
     kind = docs.schema["doc_id"].dataType.simpleString()
     edges = np.array([_TOP // ranges * k for k in range(1, ranges)], np.uint64)
+    known = docs.sparkSession.sparkContext.broadcast(_listed(docs))
 
     def ask(key: tuple, rows: pa.Table) -> pa.Table:
         b = Block(rows)
         out = []
         for pair, (keys, (n, t)) in enumerate(((b.words, b.n_words), (b.pairs, b.n_pairs))):
+            hot, at = _among(keys, known.value)
+            if len(at):
+                out.append((ranges + key[0].as_py() // TOGETHER, key[0].as_py(), pair, _pack(at.astype(np.uint32)), _pack(n[hot].astype(np.uint32)), _pack(t[hot].astype(np.uint32))))
+            keys, n, t = keys[~hot], n[~hot], t[~hot]
             cuts = [0, *np.searchsorted(keys, edges).tolist(), len(keys)]
             for k, (i, j) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
                 if j > i:
@@ -130,9 +185,22 @@ def score(docs: DataFrame, labels: DataFrame, label: str = "quality", good: int
         kinds = (pa.int32(), pa.int32(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
         return pa.table([pa.array(c, x) for c, x in zip(zip(*out, strict=True) if out else [[]] * 6, kinds, strict=True)], names=["range", "block", "pair", "keys", "n", "t"])
 
-    def add(key: tuple, rows: pa.Table) -> pa.Table:
+    def add_listed(rows: pa.Table) -> list[tuple]:
+        """What some blocks counted of the listed words and pairs, as one message each."""
         out = []
         for pair in (0, 1):
+            sums = np.zeros((2, len(known.value)), np.uint64)
+            mine = rows.filter(pa.compute.equal(rows.column("pair"), pair))
+            for keys, *counts in zip(*(mine.column(c).to_pylist() for c in ("keys", "n", "t")), strict=True):
+                for k, raw in enumerate(counts):
+                    sums[k, _unpack(keys, np.uint32)] += _unpack(raw, np.uint32)  # a place stands once in a message
+            out.append((-2, 0, pair, _pack(sums[0]), _pack(sums[1])))
+        return out
+
+    def add(key: tuple, rows: pa.Table) -> pa.Table:
+        hot = key[0].as_py() >= ranges
+        out = add_listed(rows) if hot else []
+        for pair in () if hot else (0, 1):
             mine = rows.filter(pa.compute.equal(rows.column("pair"), pair))
             asked = [np.cumsum(_unpack(k, np.uint64)) for k in mine.column("keys").to_pylist()]
             if not asked:
@@ -154,9 +222,14 @@ def score(docs: DataFrame, labels: DataFrame, label: str = "quality", good: int
         return pa.table([pa.array(c, x) for c, x in zip(zip(*out, strict=True) if out else [[]] * 5, kinds, strict=True)], names=["block", "range", "pair", "n", "t"])
 
     asked = dealt.groupBy("block").applyInArrow(ask, "range int, block int, pair int, keys binary, n binary, t binary")
+    asked = asked.repartition(max(8, ranges // 2), "range")  # by the input, whatever the session's number of partitions
     told = written(asked.groupBy("range").applyInArrow(add, "block int, range int, pair int, n binary, t binary"))
     whole = told.where("block = -1").agg(F.sum("pair"), F.sum(F.col("n").cast("string").cast("long")), F.sum(F.col("t").cast("string").cast("long"))).first()
-    vocabulary, sizes = whole[0] or 0, (whole[1] or 0, whole[2] or 0)
+    listed = _totals(told.where("block = -2"), len(known.value))
+    real = listed[0, 0] * (known.value > 0)
+    vocabulary = (whole[0] or 0) + int((real > 0).sum())
+    sizes = tuple((whole[k + 1] or 0) + int((listed[0, k] * (known.value > 0)).sum()) for k in (0, 1))
+    totals = docs.sparkSession.sparkContext.broadcast(listed.astype(np.float64))
 
     def read(key: tuple, rows: pa.Table, answers: pa.Table) -> pa.Table:
         b = Block(rows)
@@ -164,12 +237,15 @@ def score(docs: DataFrame, labels: DataFrame, label: str = "quality", good: int
         losses, own, whole = [], b.own(), b.lens[b.doc]
         for c, size in (("t", sizes[1]), ("n", sizes[0])):
             mine = b.target if c == "t" else np.ones(len(b.doc), bool)
-            words, pairs = (
-                np.concatenate([np.empty(0), *[_unpack(x, np.uint64).astype(np.float64) for x in answers.filter(pa.compute.equal(answers.column("pair"), p)).column(c).to_pylist()]])
-                for p in (0, 1)
-            )
-            if len(words) != len(b.words) or len(pairs) != len(b.pairs):
-                raise RuntimeError("a block's documents changed between the two reads")
+            counts = []
+            for p, keys in enumerate((b.words, b.pairs)):
+                hot, at = _among(keys, known.value)
+                got = np.concatenate([np.empty(0), *[_unpack(x, np.uint64).astype(np.float64) for x in answers.filter(pa.compute.equal(answers.column("pair"), p)).column(c).to_pylist()]])
+                if len(got) + len(at) != len(keys):
+                    raise RuntimeError("a block's documents changed between the two reads")
+                counts.append(np.empty(len(keys)))
+                counts[p][hot], counts[p][~hot] = totals.value[p, int(c == "t")][at], got
+            words, pairs = counts
             context = words[b.before] - mine * own[1]
             p = (words[b.at] - mine * own[0] + 1) / (size - mine * whole + vocabulary)
             seen = np.where(context > 0, MIX, 0.0)

@@ -59,6 +59,21 @@ def test_lm_score(corpus, labels):
     assert uniform.loss_target == pytest.approx(math.log(v))
 
 
+@pytest.mark.parametrize("often", [1, 3, 1 << 40])
+def test_lm_score_by_any_way(corpus, labels, monkeypatch, often):
+    """Scores are the same whichever words and pairs go as frequent ones (all, some, none), and however many blocks there are."""
+
+    def scores():
+        return sorted((repr(r.doc_id), r.n_tokens, r.loss_target or 0, r.loss_background or 0) for r in lm_score.score(corpus, labels).collect())
+
+    want = scores()
+    for name, value in (("SAMPLE", 1), ("OFTEN", often), ("BLOCK_BYTES", 4000), ("RANGE_BYTES", 8000)):
+        monkeypatch.setattr(lm_score, name, value)
+    got = scores()
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    assert np.allclose([g[2:] for g in got], [w[2:] for w in want], rtol=1e-12)
+
+
 def test_lm_score_tells_repeats(spark):
     """A text that stands twice is known to the background, one that stands once is not."""
     rng = np.random.default_rng(2)
