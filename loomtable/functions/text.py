@@ -32,6 +32,12 @@ def unescape(x: Column) -> Column:
     return F.when(x.contains("&"), _decode(F.when(x.contains("&"), x))).otherwise(x)
 
 
+def whole_references(x: Column) -> Column:
+    """Text or HTML in which an & that begins no reference up to a semicolon stands as &amp;: decoding then keeps a reference that was cut (&amp, &quo) as it
+    stands, where browsers and ``html.unescape`` take some names without their semicolon."""
+    return F.regexp_replace(x, r"&(?!#?[0-9A-Za-z]+;)", "&amp;")
+
+
 def squeeze(x: Column) -> Column:
     """Stripped, with each run of white space as one space."""
     return F.trim(F.regexp_replace(x, _RUNS, " "))
