@@ -27,3 +27,19 @@ def test_reached_is_the_plain_walk(spark):
     paced = pages.reached(df, start, 50, per_host=2).collect()  # slower, and all the same pages
     assert {r.url for r in paced} == set(plain(links, dict.fromkeys(seeds), 50)) and len(paced) == len({r.url for r in paced})
     assert pages.reached(df, start.limit(0), 3).count() == 0
+
+
+def test_links_are_made_once(spark):
+    """Rounds read written links: what makes the links, a parse of all pages, does not run again in each round."""
+    made = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    df = spark.createDataFrame([(f"http://h/{k}", f"http://h/{k + 1}") for k in range(40)], "url string, to string").coalesce(1)
+    start = spark.createDataFrame([("http://h/0",)], "url string")
+    got = pages.reached(df.mapInArrow(count, "url string, to string"), start, 3)
+    assert sorted((r.url, r.depth) for r in got.collect()) == [(f"http://h/{k}", k) for k in range(4)]
+    assert made.value == 40
