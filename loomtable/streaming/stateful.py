@@ -73,9 +73,8 @@ class Requests(StatefulProcessor):
         self.handle = handle
         self.state = handle.getValueState("request", "begun long, first long, last long, chunks long, content long, gaps array<double>")
 
-    def _finished(self, key: Any, usage: int | None) -> Row:
-        begun, first, last, chunks, _, gaps = self.state.get()
-        self.state.clear()
+    def _finished(self, key: Any, usage: int | None, state: tuple) -> Row:
+        begun, first, last, chunks, _, gaps = state
         first = last if first is None else first
         tokens = chunks if usage is None else usage
         return Row(
@@ -84,28 +83,40 @@ class Requests(StatefulProcessor):
         )
 
     def handleInputRows(self, key: Any, rows: Iterable[Row], timerValues: Any) -> Iterator[Row]:
-        begun, first, last, chunks, content, gaps = self.state.get() if self.state.exists() else (None, None, None, 0, None, [])
+        old = self.state.get()
+        begun, first, last, chunks, content, gaps = old or (None, None, None, 0, None, [])
         gaps, usage = list(gaps or []), None
-        for r in sorted(rows, key=lambda r: r["__us"]):
-            at = r["__us"]
-            begun, last = r["__begun"] if begun is None else min(begun, r["__begun"]), at if last is None else max(last, at)
-            if r["has_content"]:
+        for at, since, has_content, tokens in sorted(((r["__us"], r["__begun"], r["has_content"], r["usage_tokens"]) for r in rows), key=lambda r: r[0]):
+            begun, last = since if begun is None else min(begun, since), at if last is None else max(last, at)
+            if has_content:
                 first, chunks = at if first is None else min(first, at), chunks + 1
                 if content is not None:
                     gaps.append((at - content) / 1000)
                 content = at
-            usage = r["usage_tokens"] if usage is None else usage
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer)
-        self.state.update((begun, first, last, chunks, content, gaps))
-        if usage is not None:
-            yield self._finished(key, usage)
-        else:
-            self.handle.registerTimer(last // 1000 + self.silence_ms)
+            usage = tokens if usage is None else usage
+        now = (begun, first, last, chunks, content, gaps)
+        if usage is None:
+            self.state.update(now)
+            if old is None:
+                self.handle.registerTimer(last // 1000 + self.silence_ms)
+            return
+        if old is not None:
+            for timer in list(self.handle.listTimers()):
+                self.handle.deleteTimer(timer)
+            self.state.clear()
+        yield self._finished(key, usage, now)
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[Row]:
-        if self.state.exists():
-            yield self._finished(key, None)
+        """A request has one timer, for the silence after the chunks that it began with; one that has gone on since then is waited for again."""
+        state = self.state.get()
+        if state is None:
+            return
+        due = state[2] // 1000 + self.silence_ms
+        if due > timerValues.getCurrentWatermarkInMs():
+            self.handle.registerTimer(due)
+            return
+        self.state.clear()
+        yield self._finished(key, None, state)
 
     def close(self) -> None:
         pass
@@ -128,6 +139,18 @@ def requests(chunks: DataFrame, silence: str = "1 minute", late: str = "10 secon
     return rows.groupBy("request_id").transformWithState(Requests(silence_ms), outputStructType=REQUEST.format(kind=kind), outputMode="Append", timeMode="EventTime")
 
 
-def run_arrived(stream: DataFrame, path: str, checkpoint: str) -> None:
-    """Runs a stream over all that has arrived and appends its rows to ``path``; started again, it goes on from its checkpoint."""
-    stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+def run_arrived(stream: DataFrame, path: str, checkpoint: str, settle: bool = True) -> None:
+    """Runs a stream over all that has arrived and appends its rows to ``path``; started again, it goes on from its checkpoint.
+
+    The time that the rows move on ends silent keys in a batch without rows, at once; without ``settle`` the next run's batch ends them, which saves a
+    round over all state where more is known to follow.
+    """
+    conf, name = stream.sparkSession.conf, "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = conf.get(name)
+    if not settle:
+        conf.set(name, "false")
+    try:
+        query = stream.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    finally:
+        conf.set(name, before)
+    query.awaitTermination()
