@@ -24,6 +24,17 @@ from loomtable.sources.shared import written
 FEW_SPLITS = 1_000_000
 
 
+#: Rows that a task turns into Python's objects at a time, and characters that it gathers before it hands them on.
+SLICE, GATHERED = 250, 1 << 20
+
+
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Parts of batches: a batch of many long records is never whole in Python's objects."""
+    for b in batches:
+        for at in range(0, b.num_rows, SLICE):
+            yield b.slice(at, SLICE)
+
+
 class Csv:
     """Lines; quoted is the state, and a record ends with a line that ends outside quotes. Quotes inside an unquoted cell are text."""
 
@@ -80,7 +91,7 @@ def _pieces(spark: SparkSession, path: str, kind) -> DataFrame:
 
 def _runs(batches: Iterator[pa.RecordBatch], *more: str) -> Iterator[tuple]:
     """file, start, value and more columns of a task's pieces, in order."""
-    for b in batches:
+    for b in _slices(batches):
         yield from zip(*[b.column(c).to_pylist() for c in ("file", "start", "value", *more)], strict=True)
 
 
@@ -160,7 +171,7 @@ def records(spark: SparkSession, path: str, kind) -> DataFrame:
             done.clear()
             return made
 
-        key = None
+        key, gathered = None, 0
         for file, start, value, state0, depth0, origin in _runs(batches, "state", "depth", "origin"):
             if (file, start) != key:
                 if key and held:
@@ -177,9 +188,11 @@ def records(spark: SparkSession, path: str, kind) -> DataFrame:
                     n += 1
                 else:
                     done.append((*owner, -1, start, text))
-                held, owner = [], key
-            if len(done) >= 5000:
-                yield full()
+                held, owner, gathered = [], key, gathered + len(text)
+            if len(done) >= 5000 or gathered >= GATHERED:
+                if done:
+                    yield full()
+                gathered = 0
         if key and held:
             done.append((*owner, n if owner == key else -1, key[1], kind.sep.join(held)))
         if done:
@@ -199,7 +212,7 @@ def csv_cells(spark: SparkSession, path: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         csv.field_size_limit((1 << 31) - 1)
-        for b in batches:
+        for b in _slices(batches):
             cells = [next(csv.reader(io.StringIO(t, newline="")), []) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("seq"), b.column("file"), pa.array(cells, pa.list_(pa.string()))], names=["seq", "file", "cells"])
 
